@@ -7,6 +7,7 @@ contract stays one flat projection.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -92,6 +93,38 @@ def _datelike(text: Column) -> Column:
     return (F.length(text) > 3) & text.rlike(r"\d")
 
 
+_TOKEN = re.compile(
+    r"'(?P<literal>[^']*)'|(?P<run>(?P<letter>[A-Za-z])(?P=letter)*)|(?P<other>.)", re.DOTALL
+)
+
+
+def shape(pattern: str) -> str | None:
+    """Regular expression that all text the date pattern fits will match.
+
+    Trying a pattern on other text costs an exception per value; matching the
+    shape first costs a small part of that. ``None`` for a pattern with letters
+    whose text has no simple shape.
+    """
+    parts = []
+    for token in _TOKEN.finditer(pattern):
+        run = token["run"]
+        if not run:
+            parts.append(re.escape(token["literal"] or token["other"] or "'"))
+        elif run[0] == "a" or run.startswith("MMM"):
+            parts.append(r"\p{L}[\p{L}.]*")
+        elif run[0] in "yMdHhmsS":
+            parts.append(r"\d+")
+        else:
+            return None
+    return "^" + "".join(parts) + "$"
+
+
+def _fitting(text: Column, pattern: str) -> Column:
+    """The text if it has the pattern's shape, else NULL."""
+    expected = shape(pattern)
+    return text if expected is None else F.when(text.rlike(expected), text)
+
+
 def timestamp(
     text: Column, formats: Sequence[str] = TIMESTAMP_FORMATS, as_of: Moment = None
 ) -> Column:
@@ -106,7 +139,7 @@ def timestamp(
         text.rlike(r"^\s*T?\d{1,2}:"), F.concat(day, F.lit("T"), F.ltrim(text, F.lit("T ")))
     ).otherwise(text)
     tries = [F.try_to_timestamp(dated)]
-    tries += [F.try_to_timestamp(text, F.lit(f)) for f in formats]
+    tries += [F.try_to_timestamp(_fitting(text, f), F.lit(f)) for f in formats]
     return F.when(_datelike(text), F.coalesce(*tries))
 
 
@@ -114,7 +147,7 @@ def date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Date from text: the ISO form, then each format."""
     text = text.cast("string")
     tries = [F.when(text.rlike(ISO_DATE), F.try_to_date(text))]
-    tries += [F.try_to_date(text, f) for f in formats]
+    tries += [F.try_to_date(_fitting(text, f), f) for f in formats]
     return F.when(_datelike(text), F.coalesce(*tries))
 
 

@@ -21,7 +21,7 @@ ROWS, KNOWN = "__rows", "__known"
 
 def new_rows(
     batch: DataFrame,
-    existing: DataFrame,
+    existing: DataFrame | None,
     key: str,
     *,
     dedupe: bool = False,
@@ -35,7 +35,7 @@ def new_rows(
 
     A NULL key matches nothing, so such rows are always new. Rows of the batch
     that share a new key all stay, unless ``dedupe`` keeps one of them, the
-    first by ``order_by``.
+    first by ``order_by``. ``existing`` may be ``None``: nothing is held yet.
 
     The sizes of both sides decide the way; they are counted unless given, and
     over columnar files a count reads footers only. Only what is counted to be
@@ -44,24 +44,27 @@ def new_rows(
     * few existing keys: these are broadcast, the batch is not shuffled;
     * small batch: its keys are broadcast to thin out the existing keys where
       they are read, so the large target is not shuffled;
-    * both large: see :func:`_by_tally`.
+    * both large, or a large batch to dedupe: see :func:`_by_tally`.
     """
-    if existing_rows is None:
+    if existing is not None and existing_rows is None:
         existing_rows = existing.count()
-    if existing_rows == 0:
-        fresh = batch
-    elif existing_rows <= broadcast_rows:
-        fresh = _without(batch, F.broadcast(existing.select(ref(key))), key)
+    if existing is not None and existing_rows > broadcast_rows:
+        held = existing.select(ref(key))
     else:
-        if batch_rows is None:
-            batch_rows = batch.count()
-        if batch_rows <= broadcast_rows:
-            offered = F.broadcast(batch.select(ref(key)))
-            met = existing.select(ref(key)).join(offered, key, "left_semi").distinct()
-            fresh = _without(batch, F.broadcast(met), key)
-        else:
-            return _by_tally(batch, existing, key, dedupe, order_by, broadcast_rows, hot_rows)
-    return first_per_key(fresh, key, order_by) if dedupe else fresh
+        held = None
+    if batch_rows is None and (held is not None or dedupe):
+        batch_rows = batch.count()
+    if held is None and existing_rows:
+        batch = _without(batch, F.broadcast(existing.select(ref(key))), key)
+    if held is None and not dedupe:
+        return batch
+    if batch_rows > broadcast_rows:
+        return _by_tally(batch, held, key, dedupe, order_by, broadcast_rows, hot_rows)
+    if held is not None:
+        offered = F.broadcast(batch.select(ref(key)))
+        met = held.join(offered, key, "left_semi").distinct()
+        batch = _without(batch, F.broadcast(met), key)
+    return first_per_key(batch, key, order_by) if dedupe else batch
 
 
 def _without(batch: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -69,10 +72,10 @@ def _without(batch: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def _within(batch: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    return batch.join(keys.select(ref(key)), key, "left_semi").select(*map(ref, batch.columns))
+    return batch.join(keys, key, "left_semi").select(*map(ref, batch.columns))
 
 
-def _by_tally(batch, existing, key, dedupe, order_by, broadcast_rows, hot_rows) -> DataFrame:
+def _by_tally(batch, held, key, dedupe, order_by, broadcast_rows, hot_rows) -> DataFrame:
     """Decide on keys alone, then pick the rows.
 
     Both sides are first brought to one row per key, which collapses a hot key
@@ -81,44 +84,53 @@ def _by_tally(batch, existing, key, dedupe, order_by, broadcast_rows, hot_rows)
     then these are broadcast and the wide rows are filtered where they are
     read. Else the wide rows are shuffled, but for those of hot keys: a key is
     hot from ``hot_rows`` rows on, or more if that many keys could not be
-    broadcast, so there are at most ``broadcast_rows`` of them.
+    broadcast, so there are at most ``broadcast_rows`` of them. Rows of keys
+    that occur once pass by the dedupe in the same manner.
     """
     use_checkpoints(batch.sparkSession)
     keyed = batch.filter(ref(key).isNotNull())
-    known = existing.select(ref(key)).filter(ref(key).isNotNull()).distinct()
-    tally = (
-        keyed.groupBy(ref(key))
-        .agg(F.count(F.lit(1)).alias(ROWS))
-        .join(known.withColumn(KNOWN, F.lit(True)), key, "left")
-        .checkpoint()
-    )
-    fresh, met = tally.filter(ref(KNOWN).isNull()), tally.filter(ref(KNOWN).isNotNull())
+    tally = keyed.groupBy(ref(key)).agg(F.count(F.lit(1)).alias(ROWS))
+    if held is None:
+        tally = tally.withColumn(KNOWN, F.lit(None).cast("boolean"))
+    else:
+        known = held.filter(ref(key).isNotNull()).distinct()
+        tally = tally.join(known.withColumn(KNOWN, F.lit(True)), key, "left")
+    tally = tally.checkpoint()
+    is_fresh = ref(KNOWN).isNull()
     size = tally.agg(
-        F.count_if(ref(KNOWN).isNull()).alias("fresh"),
+        F.count_if(is_fresh).alias("fresh"),
         F.count(ref(KNOWN)).alias("met"),
         F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows"),
-        F.count_if(ref(KNOWN).isNull() & (ref(ROWS) > 1)).alias("repeated"),
-        F.max(ROWS).alias("most"),
+        F.count_if(is_fresh & (ref(ROWS) > 1)).alias("repeated"),
+        F.coalesce(F.max(ROWS), F.lit(0)).alias("most"),
     ).first()
+
+    def keys(condition: Column) -> DataFrame:
+        return tally.filter(condition).select(ref(key))
+
     if size["fresh"] == 0:
         found = keyed.limit(0)
     elif size["met"] == 0:
         found = keyed
     elif size["fresh"] <= broadcast_rows:
-        found = _within(keyed, F.broadcast(fresh), key)
+        found = _within(keyed, F.broadcast(keys(is_fresh)), key)
     elif size["met"] <= broadcast_rows:
-        found = _without(keyed, F.broadcast(met.select(ref(key))), key)
+        found = _without(keyed, F.broadcast(keys(~is_fresh)), key)
     else:
         hot_rows = max(hot_rows, size["rows"] // broadcast_rows + 1)
+        is_hot = ref(ROWS) >= hot_rows
         if size["most"] < hot_rows:
-            found = _within(keyed, fresh, key)
+            found = _within(keyed, keys(is_fresh), key)
         else:
-            hot = tally.filter(ref(ROWS) >= hot_rows)
-            cold_rows = _without(keyed, F.broadcast(hot.select(ref(key))), key)
-            cold = _within(cold_rows, fresh.filter(ref(ROWS) < hot_rows), key)
-            hot_fresh = hot.filter(ref(KNOWN).isNull())
-            found = cold.unionByName(_within(keyed, F.broadcast(hot_fresh), key))
-    if dedupe and size["repeated"]:
+            cold = _without(keyed, F.broadcast(keys(is_hot)), key)
+            found = _within(cold, keys(is_fresh & ~is_hot), key).unionByName(
+                _within(keyed, F.broadcast(keys(is_fresh & is_hot)), key)
+            )
+    if dedupe and 0 < size["repeated"] <= broadcast_rows:
+        repeated = F.broadcast(keys(is_fresh & (ref(ROWS) > 1)))
+        single = _without(found, repeated, key)
+        found = single.unionByName(first_per_key(_within(found, repeated, key), key, order_by))
+    elif dedupe and size["repeated"]:
         found = first_per_key(found, key, order_by)
     return found.unionByName(batch.filter(ref(key).isNull()))
 

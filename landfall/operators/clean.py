@@ -31,8 +31,11 @@ def _cleaned(source: T.StructField, target: T.StructField, contract: Contract, a
     is_text = isinstance(source.dataType, T.StringType)
     text = value if is_text else value.cast("string")
     if target.name in contract.json:
-        check = lenient.python_json if contract.json_check == "python" else cleaning.valid_json
-        return check(text)
+        valid = cleaning.valid_json(text)
+        if contract.json_check == "python":
+            rest = F.when(valid.isNull(), text)
+            valid = F.coalesce(valid, lenient.python_json(rest))
+        return valid
     if isinstance(kind, TIMESTAMPS):
         if isinstance(source.dataType, (*TIMESTAMPS, T.DateType)):
             parsed = value.cast(kind)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.audit import stamp
-from ..operators.changes import first_per_key, new_rows
+from ..operators.changes import new_rows
 from ..operators.clean import clean, settle_future
 from ..operators.conform import conform, project, validate
 from ..operators.keys import add_key
@@ -126,9 +126,7 @@ def _fill_targets(spark, spec: TableSpec, batch: DataFrame, result: LoadResult)
             result.landing_before, result.landed, result.landing_after = counts
         if spec.warehouse:
             rows, offered = batch, result.offered
-            # The warehouse follows the landed rows, so the two cannot drift
-            # apart, and a load that failed earlier is made up for.
-            if spec.landing and spec.mode in ("historical", "incremental", "incremental_insert"):
+            if spec.landing and _from_landing(spark, spec, result.landing_before):
                 rows, offered = spec.landing.read(spark), result.landing_after
             counts = fill(spark, spec, spec.warehouse, rows, offered)
             result.warehouse_before, result.loaded, result.warehouse_after = counts
@@ -139,33 +137,40 @@ def _fill_targets(spark, spec: TableSpec, batch: DataFrame, result: LoadResult)
         result.reason = "no new rows"
 
 
+def _from_landing(spark: SparkSession, spec: TableSpec, landing_before: int) -> bool:
+    """Whether the warehouse takes the whole landed table instead of the batch.
+
+    A replaced warehouse copies what was landed. One that is added to needs the
+    batch alone while it is in step with the landed table; if an earlier load
+    failed half way it is not, and all landed rows are looked at.
+    """
+    if spec.replaces:
+        return True
+    if spec.mode not in ("incremental", "incremental_insert"):
+        return False
+    return spec.warehouse.count(spark) != landing_before
+
+
 def fill(
     spark: SparkSession, spec: TableSpec, target: Target, batch: DataFrame, offered: int
 ) -> tuple[int, int, int]:
     """Write a batch to one target by the spec's mode; rows before, written, after."""
     key = spec.key_column
     held = target.read(spark)
-    before = 0 if held is None else held.count()
+    before = 0 if held is None else target.count(spark)
     if held is None and spec.mode not in ("historical", "incremental"):
         raise TargetAbsent("target does not exist")
     if spec.replaces:
         before, write, rows = 0, target.overwrite, batch
-    elif held is None:
-        write, rows = target.overwrite, first_per_key(batch, key) if spec.dedupe else batch
     elif spec.mode in ("append", "truncate_append"):
         if spec.mode == "truncate_append":
             target.truncate(spark, batch.schema, key)
             before = 0
         write, rows = target.append, batch
     else:
-        write = target.append
+        write = target.overwrite if held is None else target.append
         rows = new_rows(
-            batch,
-            held,
-            key,
-            dedupe=spec.dedupe,
-            batch_rows=offered,
-            existing_rows=before,
+            batch, held, key, dedupe=spec.dedupe, batch_rows=offered, existing_rows=before
         )
         if before >= offered and not target.buckets:
             # Few of the rows read may be new: write few files, not one per task.

@@ -11,23 +11,35 @@ from pyspark.sql import types as T
 from ..functions.names import ref
 from ..sources.tables import TableSource, empty_frame, read_if_present
 
+# Reader options that go with a table, not with a query.
+_SCAN_OPTIONS = {"dbtable", "partitioncolumn", "lowerbound", "upperbound", "numpartitions"}
+
 
 @dataclass(frozen=True)
 class Target:
     """A table rows are written to, by path, catalog name or connector options.
 
-    ``format`` is any format Spark has a connector for. ``buckets`` (catalog
-    tables only) keeps the table hashed by its key, so that finding new rows
-    never shuffles it; it asks for loads that keep one row per key.
+    ``format`` is any format Spark has a connector for, and ``options`` are what
+    the connector needs to find the table. Further options go with one kind of
+    write only, as ``overwriteSchema`` with ``on_overwrite`` and ``mergeSchema``
+    with ``on_append`` (K3).
+
+    ``exists_sql`` asks a connector that has no other way to tell whether the
+    table is there: the query yields a row if it is.
+
+    ``buckets`` (catalog tables only) keeps the table hashed by its key, so that
+    finding new rows never shuffles it; it asks for loads that keep one row per
+    key.
     """
 
     path: str | None = None
     table: str | None = None
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
-    write_options: Mapping[str, str] = field(default_factory=dict)
-    # What the connector needs beside ``overwrite`` to keep the table's definition.
-    truncate_options: Mapping[str, str] = field(default_factory=lambda: {"truncate": "true"})
+    on_overwrite: Mapping[str, str] = field(default_factory=dict)
+    on_append: Mapping[str, str] = field(default_factory=dict)
+    on_truncate: Mapping[str, str] = field(default_factory=lambda: {"truncate": "true"})
+    exists_sql: str | None = None
     buckets: int | None = None
 
     def __post_init__(self):
@@ -40,6 +52,8 @@ class Target:
         """The whole table, or ``None`` if it does not exist."""
         if self.table:
             return spark.read.table(self.table) if spark.catalog.tableExists(self.table) else None
+        if self.exists_sql and not self._ask(spark, self.exists_sql).take(1):
+            return None
         return read_if_present(spark, TableSource(self.path, self.format, self.options))
 
     def exists(self, spark: SparkSession) -> bool:
@@ -51,30 +65,41 @@ class Target:
         return None if held is None else held.select(ref(key))
 
     def count(self, spark: SparkSession) -> int:
-        """Rows held, 0 if the table does not exist."""
+        """Rows held, 0 if the table does not exist.
+
+        A database counts by itself; of files only footers are read.
+        """
         held = self.read(spark)
-        return 0 if held is None else held.count()
+        if held is None:
+            return 0
+        name = self.options.get("dbtable")
+        if name and not self.path:
+            return int(self._ask(spark, f"SELECT COUNT(*) AS total FROM {name}").first()[0])
+        return held.count()
+
+    def _ask(self, spark: SparkSession, sql: str) -> DataFrame:
+        """Result of a query the connector passes on."""
+        options = {k: v for k, v in self.options.items() if k.lower() not in _SCAN_OPTIONS}
+        return spark.read.format(self.format).options(**options).option("query", sql).load()
 
     def overwrite(self, df: DataFrame, key: str | None = None) -> None:
         """Replace the table (K1, K4)."""
-        self._write(df, "overwrite", key)
+        self._write(df, "overwrite", key, self.on_overwrite)
 
     def append(self, df: DataFrame, key: str | None = None) -> None:
         """Add rows (K2, K4, K6)."""
-        self._write(df, "append", key)
+        self._write(df, "append", key, self.on_append)
 
     def truncate(self, spark: SparkSession, schema: T.StructType, key: str | None = None) -> None:
         """Drop all rows, keep the table (K5)."""
-        self._write(empty_frame(spark, schema), "overwrite", key, self.truncate_options)
+        self._write(empty_frame(spark, schema), "overwrite", key, self.on_truncate)
 
-    def _write(self, df, mode, key, extra: Mapping[str, str] = {}) -> None:
+    def _write(
+        self, df: DataFrame, mode: str, key: str | None, more: Mapping[str, str]
+    ) -> None:
         if self.buckets:
             df = df.repartition(self.buckets, ref(key))
-        writer = (
-            df.write.format(self.format)
-            .options(**{**self.options, **self.write_options, **extra})
-            .mode(mode)
-        )
+        writer = df.write.format(self.format).options(**{**self.options, **more}).mode(mode)
         if self.buckets:
             writer = writer.bucketBy(self.buckets, key).sortBy(key)
         if self.table:
