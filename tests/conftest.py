@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+os.environ["TZ"] = "UTC"
+
 AS_OF = "2024-01-15 12:00:00"
 
 
