@@ -2,7 +2,7 @@
 
 from .contracts import Contract
 from .functions.digest import content_key
-from .functions.names import key_name, qualified_name
+from .functions.names import key_name, qualified_name, snake, staged_name
 from .operators.audit import AUDIT_COLUMNS, stamp
 from .operators.changes import first_per_key, new_rows
 from .operators.clean import clean, clean_timestamps, settle_future
@@ -15,8 +15,9 @@ from .operators.conform import (
     violations,
     violations_frame,
 )
-from .operators.keys import add_key
+from .operators.keys import add_key, key_sample
 from .operators.naming import NameCollision, clean_names
+from .plans.discover import discover
 from .plans.load import LoadResult, load_table, prepare
 from .plans.run import last_success, load_all, totals
 from .plans.spec import TableSpec, missing_tables, select_specs

@@ -37,13 +37,18 @@ def squashed(name: str) -> str:
 
 
 def snake(name: str) -> str:
-    """``DeliveryLeadType`` -> ``DELIVERY_LEAD_TYPE``."""
-    return re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).upper()
+    """``DeliveryLeadType`` -> ``DELIVERY_LEAD_TYPE``, ``UTMSource`` -> ``UTM_SOURCE``."""
+    return re.sub(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", name).upper()
+
+
+def staged_name(system: str, table: str) -> str:
+    """Name of a staged table."""
+    return f"STG_{system.upper()}_{table.upper()}"
 
 
 def key_name(system: str, table: str) -> str:
     """Name of the key column of a staged table."""
-    return f"STG_{system.upper()}_{table.upper()}_KEY"
+    return f"{staged_name(system, table)}_KEY"
 
 
 class QualifiedName(NamedTuple):

@@ -78,9 +78,8 @@ def _within(batch: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 def _by_tally(batch, held, key, dedupe, order_by, broadcast_rows, hot_rows) -> DataFrame:
     """Decide on keys alone, then pick the rows.
 
-    Both sides are first brought to one row per key, which collapses a hot key
-    within each map task, and only these keys meet in a shuffle. The result is
-    checkpointed and counted. Mostly either the new or the known keys are few;
+    The keys of both sides are counted in one aggregation, which collapses a
+    hot key within each map task, and the counts are checkpointed. Mostly either the new or the known keys are few;
     then these are broadcast and the wide rows are filtered where they are
     read. Else the wide rows are shuffled, but for those of hot keys: a key is
     hot from ``hot_rows`` rows on, or more if that many keys could not be
@@ -89,17 +88,20 @@ def _by_tally(batch, held, key, dedupe, order_by, broadcast_rows, hot_rows) -> D
     """
     use_checkpoints(batch.sparkSession)
     keyed = batch.filter(ref(key).isNotNull())
-    tally = keyed.groupBy(ref(key)).agg(F.count(F.lit(1)).alias(ROWS))
-    if held is None:
-        tally = tally.withColumn(KNOWN, F.lit(None).cast("boolean"))
-    else:
-        known = held.filter(ref(key).isNotNull()).distinct()
-        tally = tally.join(known.withColumn(KNOWN, F.lit(True)), key, "left")
-    tally = tally.checkpoint()
-    is_fresh = ref(KNOWN).isNull()
+    seen = keyed.select(ref(key), F.lit(1).alias(ROWS), F.lit(False).alias(KNOWN))
+    if held is not None:
+        known = held.filter(ref(key).isNotNull())
+        seen = seen.union(known.select(ref(key), F.lit(0), F.lit(True)))
+    tally = (
+        seen.groupBy(ref(key))
+        .agg(F.sum(ROWS).alias(ROWS), F.max(KNOWN).alias(KNOWN))
+        .filter(ref(ROWS) > 0)
+        .checkpoint()
+    )
+    is_fresh = ~ref(KNOWN)
     size = tally.agg(
         F.count_if(is_fresh).alias("fresh"),
-        F.count(ref(KNOWN)).alias("met"),
+        F.count_if(ref(KNOWN)).alias("met"),
         F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows"),
         F.count_if(is_fresh & (ref(ROWS) > 1)).alias("repeated"),
         F.coalesce(F.max(ROWS), F.lit(0)).alias("most"),

@@ -37,3 +37,8 @@ def add_key(
     ]
     digested = content_key(fields, encoding=encoding, digest=digest, nested=nested)
     return df.select(digested.alias(key), *(ref(c) for c in df.columns if c != key))
+
+
+def key_sample(df: DataFrame, key: str, count: int = 5) -> DataFrame:
+    """A few keys to look at (L1); costs a job of its own, so it is never run unasked."""
+    return df.select(ref(key)).limit(count)

@@ -14,9 +14,6 @@ from ..sinks.targets import Target
 from .load import RESULT_SCHEMA, LoadResult, load_table
 from .spec import TableSpec
 
-# Fixed value: tables loaded side by side.
-WORKERS = 32
-
 
 def load_all(
     spark: SparkSession,
@@ -31,8 +28,8 @@ def load_all(
 ) -> DataFrame:
     """Load every table and report one row per table.
 
-    ``workers`` tables are loaded at a time, each in its own fair-scheduler
-    pool. Under ``isolate`` a failed table is a row of the report and the
+    ``workers`` tables are loaded at a time; with ``spark.scheduler.mode`` FAIR
+    each has its own pool, so that a large table does not hold up the others. Under ``isolate`` a failed table is a row of the report and the
     others go on; under ``fail_fast`` the first error ends the run.
     ``left_out`` (table -> reason) and the tables of ``expected`` that no spec
     covers are reported as well. The report is also added to ``run_log``.

@@ -4,7 +4,9 @@ from collections import Counter
 import pytest
 
 from landfall.functions.names import QualifiedName
+from landfall.plans.discover import discover
 from landfall.plans.load import load_table
+from landfall.plans.run import load_all
 from landfall.plans.spec import TableSpec
 from landfall.queries.databases import embedded, put
 from landfall.sinks.targets import Target
@@ -120,6 +122,37 @@ def test_from_database_to_files(spark, database, tmp_path):
     assert load_table(spark, spec).landed == 0
 
 
+def test_discovered_tables(spark, tmp_path):
+    database = embedded()
+    for name in ("region", "nation", "supplier"):
+        put(database, spark.read.parquet(f"{FOLDER}/{name}.parquet"), name)
+    specs = discover(
+        spark,
+        database,
+        "APP",
+        "shop",
+        landing=lambda name: Target(str(tmp_path / "landing" / name)),
+        warehouse=lambda name: Target(str(tmp_path / "warehouse" / name)),
+        typed=True,
+        exclude={"NATION"},
+        splits={"SUPPLIER": Split("s_suppkey", 2)},
+        mode="historical",
+    )
+    assert [(s.name, s.key_column) for s in specs] == [
+        ("REGION", "STG_SHOP_REGION_KEY"),
+        ("SUPPLIER", "STG_SHOP_SUPPLIER_KEY"),
+    ]
+    report = load_all(spark, specs, workers=2).collect()
+    assert [(r.status, r.offered, r.landed, r.loaded) for r in report] == [
+        ("success", 5, 5, 5),
+        ("success", 10, 10, 10),
+    ]
+    put(database, spark.createDataFrame([], "r_regionkey int, r_name string"), "region")
+    empty = load_all(spark, specs[:1]).first()
+    assert (empty.status, empty.reason) == ("skipped", "empty")
+    assert specs[0].landing.count(spark) == 5
+
+
 def warehouse(database, table):
     return Target(
         format="jdbc",

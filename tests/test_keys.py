@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.digest import row_text, sha3_512
-from landfall.operators.keys import add_key
+from landfall.operators.keys import add_key, key_sample
 
 TEXT = st.one_of(st.none(), st.text(alphabet="ab|-1:é😀 ", max_size=4))
 
@@ -101,3 +101,8 @@ def test_unknown_options(spark):
         add_key(spark.range(1), "k", digest="crc")
     with pytest.raises(ValueError, match="unknown key encoding"):
         add_key(spark.range(1), "k", encoding="loose")
+
+
+def test_key_sample(spark):
+    sample = key_sample(add_key(spark.range(100), "k", digest="sha2_256"), "k")
+    assert sample.columns == ["k"] and sample.count() == 5
