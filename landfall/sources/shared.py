@@ -30,6 +30,18 @@ def use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system a path lies in, and the path as that system takes it."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _hadoop(spark, path)
+    return files.exists(place)
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a folder nobody has used, below the shared one."""
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
@@ -49,6 +61,5 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        jvm = spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        files, place = _hadoop(spark, path)
+        files.delete(place, True)

@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .shared import path_exists
+
 # Error conditions that mean "nothing is there", as opposed to "cannot tell".
 ABSENT = {
     "PATH_NOT_FOUND",
@@ -52,8 +54,10 @@ def absent(error: AnalysisException) -> bool:
     return (error.getCondition() or "").split(".")[0] in ABSENT
 
 
-def read_if_present(spark: SparkSession, source) -> DataFrame | None:
+def read_if_present(spark: SparkSession, source: TableSource) -> DataFrame | None:
     """The frame, or ``None`` if there is no such table; other errors stand."""
+    if source.path and not path_exists(spark, source.path):
+        return None
     try:
         return source.scan(spark)
     except AnalysisException as error:
