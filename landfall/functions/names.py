@@ -37,7 +37,7 @@ def squashed(name: str) -> str:
 
 
 def snake(name: str) -> str:
-    """``DeliveryLeadType`` -> ``DELIVERY_LEAD_TYPE``, ``UTMSource`` -> ``UTM_SOURCE``."""
+    """``OrderLineType`` -> ``ORDER_LINE_TYPE``, ``XMLFeed`` -> ``XML_FEED``."""
     return re.sub(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", name).upper()
 
 

@@ -70,7 +70,7 @@ def test_quoted_name():
 
 def test_key_names():
     assert key_name("crm", "orders") == "STG_CRM_ORDERS_KEY"
-    assert key_name("CRM", snake("DeliveryLeadType")) == "STG_CRM_DELIVERY_LEAD_TYPE_KEY"
-    names = {"UTMSource": "UTM_SOURCE", "LORLeads": "LOR_LEADS", "LeadABC": "LEAD_ABC", "Logs": "LOGS"}
+    assert key_name("CRM", snake("OrderLineType")) == "STG_CRM_ORDER_LINE_TYPE_KEY"
+    names = {"XMLFeed": "XML_FEED", "FeedXML": "FEED_XML", "Logs": "LOGS", "Area51Map": "AREA51_MAP"}
     assert {n: snake(n) for n in names} == names
     assert squashed("LEAD_TYPE_ID") == "leadtypeid"
