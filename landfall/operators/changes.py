@@ -6,13 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import ref
 from ..sources.shared import use_checkpoints
 
-# What one broadcast key may cost: 128 hex characters, row and hash overhead.
-KEY_BYTES = 256
-BROADCAST_ROWS = (128 << 20) // KEY_BYTES
+# The most that is broadcast at a time, and what a key costs beside its bytes.
+BROADCAST_BYTES = 128 << 20
+ROW_BYTES = 128
 # A key held by this many rows of the batch is too much for one join task.
 HOT_ROWS = 1_000_000
 
@@ -28,7 +29,8 @@ def new_rows(
     order_by: Sequence[str | Column] = (),
     batch_rows: int | None = None,
     existing_rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    key_bytes: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The rows of ``batch`` whose key ``existing`` lacks.
@@ -37,34 +39,57 @@ def new_rows(
     that share a new key all stay, unless ``dedupe`` keeps one of them, the
     first by ``order_by``. ``existing`` may be ``None``: nothing is held yet.
 
-    The sizes of both sides decide the way; they are counted unless given, and
-    over columnar files a count reads footers only. Only what is counted to be
-    at most ``broadcast_rows`` keys is ever broadcast:
+    The sizes of both sides decide the way. They are counted unless given, and
+    over columnar files a count reads footers only. Only keys that are measured
+    to take at most ``broadcast_bytes`` are ever broadcast; ``key_bytes``, the
+    length of every key, saves the measuring.
 
     * few existing keys: these are broadcast, the batch is not shuffled;
     * small batch: its keys are broadcast to thin out the existing keys where
       they are read, so the large target is not shuffled;
     * both large, or a large batch to dedupe: see :func:`_by_tally`.
     """
+    limits = (key, key_bytes, broadcast_bytes)
     if existing is not None and existing_rows is None:
         existing_rows = existing.count()
-    if existing is not None and existing_rows > broadcast_rows:
-        held = existing.select(ref(key))
-    else:
-        held = None
-    if batch_rows is None and (held is not None or dedupe):
+    held = existing.select(ref(key)) if existing_rows else None
+    if batch_rows is None and (dedupe or held is not None):
         batch_rows = batch.count()
-    if held is None and existing_rows:
-        batch = _without(batch, F.broadcast(existing.select(ref(key))), key)
+    few = held is not None and _fits(held, existing_rows, *limits)
+    if few:
+        kept, held = _without(batch, F.broadcast(held), key), None
+    else:
+        kept = batch
     if held is None and not dedupe:
-        return batch
-    if batch_rows > broadcast_rows:
-        return _by_tally(batch, held, key, dedupe, order_by, broadcast_rows, hot_rows)
+        return kept
+    if not _fits(batch, batch_rows, *limits):
+        return _by_tally(kept, held, key, dedupe, order_by, broadcast_bytes, hot_rows)
     if held is not None:
         offered = F.broadcast(batch.select(ref(key)))
         met = held.join(offered, key, "left_semi").distinct()
-        batch = _without(batch, F.broadcast(met), key)
-    return first_per_key(batch, key, order_by) if dedupe else batch
+        kept = _without(batch, F.broadcast(met), key)
+    return first_per_key(kept, key, order_by) if dedupe else kept
+
+
+def _cost(df: DataFrame, key: str) -> Column:
+    """Bytes one key takes in a broadcast."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(ref(key)), F.lit(0)) + ROW_BYTES
+    return F.lit(16 + ROW_BYTES)
+
+
+def _fits(
+    df: DataFrame, rows: int, key: str, key_bytes: int | None, broadcast_bytes: int
+) -> bool:
+    """Whether the frame's keys may be broadcast.
+
+    Keys of unknown length are measured, but only if their number alone leaves
+    a chance, so never over a large table.
+    """
+    if key_bytes is None and rows * ROW_BYTES <= broadcast_bytes:
+        return (df.agg(F.sum(_cost(df, key))).first()[0] or 0) <= broadcast_bytes
+    return rows * (ROW_BYTES + (key_bytes or 0)) <= broadcast_bytes
 
 
 def _without(batch: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -75,16 +100,17 @@ def _within(batch: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return batch.join(keys, key, "left_semi").select(*map(ref, batch.columns))
 
 
-def _by_tally(batch, held, key, dedupe, order_by, broadcast_rows, hot_rows) -> DataFrame:
+def _by_tally(batch, held, key, dedupe, order_by, broadcast_bytes, hot_rows) -> DataFrame:
     """Decide on keys alone, then pick the rows.
 
     The keys of both sides are counted in one aggregation, which collapses a
-    hot key within each map task, and the counts are checkpointed. Mostly either the new or the known keys are few;
-    then these are broadcast and the wide rows are filtered where they are
-    read. Else the wide rows are shuffled, but for those of hot keys: a key is
-    hot from ``hot_rows`` rows on, or more if that many keys could not be
-    broadcast, so there are at most ``broadcast_rows`` of them. Rows of keys
-    that occur once pass by the dedupe in the same manner.
+    hot key within each map task, and the counts are checkpointed. Mostly
+    either the new or the known keys are few; then these are broadcast and the
+    wide rows are filtered where they are read. Else the wide rows are shuffled,
+    but for those of hot keys, which are few: a key is hot from ``hot_rows``
+    rows on, or from more if the keys of that many rows might be too many to
+    broadcast. Rows of keys that occur once pass by the dedupe in the same
+    manner.
     """
     use_checkpoints(batch.sparkSession)
     keyed = batch.filter(ref(key).isNotNull())
@@ -98,14 +124,16 @@ def _by_tally(batch, held, key, dedupe, order_by, broadcast_rows, hot_rows) -> D
         .filter(ref(ROWS) > 0)
         .checkpoint()
     )
-    is_fresh = ~ref(KNOWN)
-    size = tally.agg(
-        F.count_if(is_fresh).alias("fresh"),
-        F.count_if(ref(KNOWN)).alias("met"),
-        F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows"),
-        F.count_if(is_fresh & (ref(ROWS) > 1)).alias("repeated"),
-        F.coalesce(F.max(ROWS), F.lit(0)).alias("most"),
-    ).first()
+    is_fresh, is_repeated, cost = ~ref(KNOWN), ~ref(KNOWN) & (ref(ROWS) > 1), _cost(tally, key)
+    sizes = {
+        "fresh": F.sum(F.when(is_fresh, cost)),
+        "met": F.sum(F.when(~is_fresh, cost)),
+        "repeated": F.sum(F.when(is_repeated, cost)),
+        "rows": F.sum(ROWS),
+        "most": F.max(ROWS),
+        "widest": F.max(cost),
+    }
+    size = tally.agg(*(F.coalesce(v, F.lit(0)).alias(n) for n, v in sizes.items())).first()
 
     def keys(condition: Column) -> DataFrame:
         return tally.filter(condition).select(ref(key))
@@ -114,12 +142,13 @@ def _by_tally(batch, held, key, dedupe, order_by, broadcast_rows, hot_rows) -> D
         found = keyed.limit(0)
     elif size["met"] == 0:
         found = keyed
-    elif size["fresh"] <= broadcast_rows:
+    elif size["fresh"] <= broadcast_bytes:
         found = _within(keyed, F.broadcast(keys(is_fresh)), key)
-    elif size["met"] <= broadcast_rows:
+    elif size["met"] <= broadcast_bytes:
         found = _without(keyed, F.broadcast(keys(~is_fresh)), key)
     else:
-        hot_rows = max(hot_rows, size["rows"] // broadcast_rows + 1)
+        # So many rows a key that all such keys together fit the limit.
+        hot_rows = max(hot_rows, size["rows"] * size["widest"] // broadcast_bytes + 1)
         is_hot = ref(ROWS) >= hot_rows
         if size["most"] < hot_rows:
             found = _within(keyed, keys(is_fresh), key)
@@ -128,8 +157,8 @@ def _by_tally(batch, held, key, dedupe, order_by, broadcast_rows, hot_rows) -> D
             found = _within(cold, keys(is_fresh & ~is_hot), key).unionByName(
                 _within(keyed, F.broadcast(keys(is_fresh & is_hot)), key)
             )
-    if dedupe and 0 < size["repeated"] <= broadcast_rows:
-        repeated = F.broadcast(keys(is_fresh & (ref(ROWS) > 1)))
+    if dedupe and 0 < size["repeated"] <= broadcast_bytes:
+        repeated = F.broadcast(keys(is_repeated))
         single = _without(found, repeated, key)
         found = single.unionByName(first_per_key(_within(found, repeated, key), key, order_by))
     elif dedupe and size["repeated"]:
@@ -154,4 +183,3 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str | Column] = ()
     if not df.schema[key].nullable:
         return first
     return first.unionByName(df.filter(ref(key).isNull()))
-

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.digest import KEY_BYTES
 from ..operators.audit import stamp
 from ..operators.changes import new_rows
 from ..operators.clean import clean, settle_future
@@ -168,7 +169,7 @@ def fill(
     """Write a batch to one target by the spec's mode; rows before, written, after."""
     key = spec.key_column
     held = target.read(spark)
-    before = 0 if held is None else target.count(spark)
+    before = 0 if held is None else target.count(spark, held)
     if held is None and spec.mode not in ("historical", "incremental"):
         raise TargetAbsent("target does not exist")
     if spec.replaces:
@@ -181,7 +182,13 @@ def fill(
     else:
         write = target.overwrite if held is None else target.append
         rows = new_rows(
-            batch, held, key, dedupe=spec.dedupe, batch_rows=offered, existing_rows=before
+            batch,
+            held,
+            key,
+            dedupe=spec.dedupe,
+            batch_rows=offered,
+            existing_rows=before,
+            key_bytes=KEY_BYTES[spec.key_digest],
         )
         if before >= offered and not target.buckets:
             # Few of the rows read may be new: write few files, not one per task.

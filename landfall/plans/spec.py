@@ -98,5 +98,5 @@ def missing_tables(
 ) -> DataFrame:
     """Expected tables the source does not list: column ``table_name``."""
     wanted = spark.createDataFrame([(name,) for name in expected], "table_name string")
-    return wanted.join(discovered, "table_name", "left_anti")
+    return wanted.join(discovered.select("table_name").distinct(), "table_name", "left_anti")
 

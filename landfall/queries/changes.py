@@ -69,7 +69,7 @@ def new_rows_null_keys(spark, folder):
 @query(_NULL_KEYS)
 def new_rows_by_tally(spark, folder):
     """The same by the way that two large sides take."""
-    return _null_keys(spark, folder, broadcast_rows=1, hot_rows=20)
+    return _null_keys(spark, folder, broadcast_bytes=1 << 12, hot_rows=20)
 
 
 _DEDUPED = f"""
@@ -100,18 +100,19 @@ def new_rows_deduped(spark, folder):
 
 @query(_DEDUPED)
 def new_rows_deduped_by_tally(spark, folder):
-    return _deduped(spark, folder, broadcast_rows=1, hot_rows=10)
+    return _deduped(spark, folder, broadcast_bytes=1 << 12, hot_rows=10)
 
 
 @query(
-    f"""
-    SELECT o.* FROM orders o WHERE NOT EXISTS (
-        SELECT 1 FROM orders held
-        WHERE held.o_orderdate >= TIMESTAMP '1995-03-01' AND held.o_orderkey = o.o_orderkey)
+    """
+    SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_quantity >= 45 AND l_partkey = p_partkey)
     """
 )
 def new_rows_small_batch(spark, folder):
-    """The way of a small batch against a large target."""
-    orders = table(spark, folder, "orders")
-    held = orders.filter(F.col("o_orderdate") >= "1995-03-01").select("o_orderkey")
-    return new_rows(orders, held, "o_orderkey", broadcast_rows=held.count() - 1, batch_rows=0)
+    """Parts never sold in large lots, with a limit only the parts stay below."""
+    parts = table(spark, folder, "part")
+    lots = table(spark, folder, "lineitem").filter(F.col("l_quantity") >= 45)
+    sold = lots.select(F.col("l_partkey").alias("p_partkey"))
+    count = parts.count()
+    return new_rows(parts, sold, "p_partkey", batch_rows=count, broadcast_bytes=count * 150)

@@ -64,12 +64,14 @@ class Target:
         held = self.read(spark)
         return None if held is None else held.select(ref(key))
 
-    def count(self, spark: SparkSession) -> int:
+    def count(self, spark: SparkSession, held: DataFrame | None = None) -> int:
         """Rows held, 0 if the table does not exist.
 
-        A database counts by itself; of files only footers are read.
+        A database counts by itself; of files only footers are read. ``held`` is
+        the table if it was just read.
         """
-        held = self.read(spark)
+        if held is None:
+            held = self.read(spark)
         if held is None:
             return 0
         name = self.options.get("dbtable")

@@ -9,18 +9,15 @@ from landfall.operators.changes import first_per_key, new_rows
 
 KEY = st.one_of(st.none(), st.sampled_from("abcdefgh"))
 SHAPE = "k string, v int"
-# Sizes that lead down each way, for the same small data.
+# Sizes that lead down each way, for the same small data; a key takes 129 bytes.
+BOTH_LARGE = {"batch_rows": 1 << 40, "existing_rows": 1 << 40}
 WAYS = {
     "few existing": {},
-    "small batch": {"broadcast_rows": 6, "batch_rows": 0, "existing_rows": 1 << 40},
-    "both large, few keys": {"broadcast_rows": 8, "batch_rows": 1 << 40, "existing_rows": 1 << 40},
-    "both large, many keys": {"broadcast_rows": 1, "batch_rows": 1 << 40, "existing_rows": 1 << 40},
-    "both large, hot keys": {
-        "broadcast_rows": 2,
-        "batch_rows": 1 << 40,
-        "existing_rows": 1 << 40,
-        "hot_rows": 2,
-    },
+    "few existing, large batch": {"batch_rows": 1 << 40},
+    "small batch": {"existing_rows": 1 << 40},
+    "both large, few keys": {**BOTH_LARGE, "broadcast_bytes": 800},
+    "both large, many keys": {**BOTH_LARGE, "broadcast_bytes": 1},
+    "both large, hot keys": {**BOTH_LARGE, "broadcast_bytes": 400, "hot_rows": 2},
 }
 
 
@@ -73,7 +70,7 @@ def test_fixture(spark):
 
 
 @pytest.mark.parametrize("held", [None, []])
-@pytest.mark.parametrize("sizes", [{}, {"broadcast_rows": 1}, {"broadcast_rows": 0 + 1, "hot_rows": 1}])
+@pytest.mark.parametrize("sizes", [{}, {"broadcast_bytes": 1}, {"broadcast_bytes": 150, "hot_rows": 1}])
 def test_nothing_held(spark, held, sizes):
     batch = spark.createDataFrame(BATCH, SHAPE)
     existing = None if held is None else spark.createDataFrame([], "k string")
@@ -102,9 +99,9 @@ def test_a_third_of_all_rows_on_one_key(spark):
         F.col("id").alias("v"),
     )
     held = rows.filter("id < 30000").select("k")
-    fresh = new_rows(rows, held, "k", broadcast_rows=1000, hot_rows=1000)
+    fresh = new_rows(rows, held, "k", broadcast_bytes=200_000, hot_rows=1000)
     assert fresh.count() == 180_000
-    once = new_rows(rows, held.filter("k <> 'hot'"), "k", dedupe=True, broadcast_rows=1000)
+    once = new_rows(rows, held.filter("k <> 'hot'"), "k", dedupe=True, broadcast_bytes=200_000)
     assert once.count() == 180_001
     assert once.filter("k = 'hot'").count() == 1
 
@@ -123,7 +120,7 @@ def test_large_target_is_not_shuffled_for_a_small_batch(spark, tmp_path):
     spark.range(1000).selectExpr("CAST(id AS string) AS k", "id AS v").write.parquet(str(tmp_path / "t"))
     target = spark.read.parquet(str(tmp_path / "t"))
     batch = spark.createDataFrame([("5", 1), ("x", 2)], SHAPE)
-    fresh = new_rows(batch, target, "k", broadcast_rows=10)
+    fresh = new_rows(batch, target, "k", broadcast_bytes=1000)
     text = plan(fresh)
     assert "SortMergeJoin" not in text
     assert text.count("BroadcastHashJoin") == 2
@@ -143,3 +140,18 @@ def test_dedupe_limits_ranks_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("CAST(id % 3 AS string) AS k", "id AS v")
     text = plan(first_per_key(df, "k", ["v"]))
     assert "Partial" in text and text.index("Exchange hashpartitioning") < text.index("Partial")
+
+
+def test_long_keys_are_not_broadcast_for_being_few(spark):
+    batch = spark.createDataFrame([("x" * 5000, 1), ("y" * 5000, 2)], SHAPE)
+    held = batch.limit(1).select("k")
+    fresh = new_rows(batch, held, "k", broadcast_bytes=4000)
+    assert [r.v for r in fresh.collect()] == [2]
+    assert "LeftAnti, BuildRight" not in plan(fresh)
+
+
+def test_number_keys(spark):
+    batch = spark.range(10).selectExpr("id AS k", "id AS v")
+    for sizes in WAYS.values():
+        fresh = new_rows(batch, spark.range(3, 7).selectExpr("CAST(id AS int) AS k"), "k", **sizes)
+        assert sorted(r.k for r in fresh.collect()) == [0, 1, 2, 7, 8, 9]

@@ -148,7 +148,7 @@ def test_warehouse_makes_up_for_a_lost_load(spark, target, tmp_path):
 
 
 def test_count_mismatch_is_an_error(spark, target, monkeypatch):
-    monkeypatch.setattr(Target, "count", lambda self, spark: 7)
+    monkeypatch.setattr(Target, "count", lambda self, spark, held=None: 7)
     with pytest.raises(CountMismatch, match="offered 1, wrote 1, holds 7"):
         load_table(spark, spec(frame(spark, (1, "a")), landing=target, mode="historical"))
 
@@ -184,7 +184,7 @@ def test_target_without_the_key_is_an_error(spark, target):
 
 
 def test_large_sides_go_by_tally(spark, target, monkeypatch):
-    small = {**new_rows.__kwdefaults__, "broadcast_rows": 1}
+    small = {**new_rows.__kwdefaults__, "broadcast_bytes": 1}
     monkeypatch.setattr(new_rows, "__kwdefaults__", small)
     load_table(spark, spec(frame(spark, (1, "a"), (1, "a"), (2, "b")), landing=target), NOW)
     result = load_table(
