@@ -27,39 +27,21 @@ def _instant(as_of: Moment) -> datetime:
 
 def _cleaned(source: T.StructField, target: T.StructField, contract: Contract, as_of) -> Column:
     """The one rule that applies to a column, roles before types."""
-    value, kind = ref(source.name), target.dataType
-    is_text = isinstance(source.dataType, T.StringType)
-    text = value if is_text else value.cast("string")
+    value, kind = _raw(source, as_of), target.dataType
+    text = value if isinstance(source.dataType, T.StringType) else value.cast("string")
     if target.name in contract.json:
         valid = cleaning.valid_json(text)
         if contract.json_check == "python":
             rest = F.when(valid.isNull(), text)
             valid = F.coalesce(valid, lenient.python_json(rest))
         return valid
-    if isinstance(kind, TIMESTAMPS):
-        if isinstance(source.dataType, (*TIMESTAMPS, T.DateType)):
-            parsed = value.cast(kind)
-        else:
-            parsed = cleaning.timestamp(text, contract.timestamp_formats, as_of)
-            if contract.free_form_zone:
-                rest = F.when(parsed.isNull(), text)
-                zone = contract.free_form_zone
-                parsed = F.coalesce(
-                    parsed, lenient.free_form_timestamp(rest, _instant(as_of), zone)
-                )
-        return cleaning.in_range(parsed.cast(kind), as_of)
-    if isinstance(kind, T.DateType):
+    if isinstance(kind, (*TIMESTAMPS, T.DateType)):
         if isinstance(source.dataType, (*TIMESTAMPS, T.DateType)):
             return value.cast(kind)
-        parsed = cleaning.date(text, contract.date_formats)
-        if contract.free_form_zone:
-            rest = F.when(parsed.isNull(), text)
-            zone = contract.free_form_zone
-            parsed = F.coalesce(parsed, lenient.free_form_date(rest, _instant(as_of), zone))
-        return parsed
+        return _moment(source, kind, value, text, contract, as_of)
     if isinstance(kind, (T.DecimalType, T.DoubleType)):
-        whole = isinstance(source.dataType, T.IntegralType)
-        return value.try_cast(kind) if whole else cleaning.number(text, kind)
+        exact = isinstance(source.dataType, (T.IntegralType, T.DecimalType))
+        return value.try_cast(kind) if exact else cleaning.number(text, kind)
     if isinstance(kind, T.BooleanType):
         return value if source.dataType == kind else cleaning.truth(text)
     if target.name in contract.flags:
@@ -67,14 +49,39 @@ def _cleaned(source: T.StructField, target: T.StructField, contract: Contract, a
     return text
 
 
+def _raw(source: T.StructField, as_of: Moment) -> Column:
+    """The column as it came, but for timestamps out of range."""
+    value = ref(source.name)
+    return cleaning.in_range(value, as_of) if isinstance(source.dataType, TIMESTAMPS) else value
+
+
+def _moment(source, kind, value, text, contract: Contract, as_of) -> Column:
+    """Timestamp or date from text, or from a number of seconds."""
+    is_date = isinstance(kind, T.DateType)
+    if is_date:
+        parsed = cleaning.date(text, contract.date_formats)
+    elif isinstance(source.dataType, T.NumericType):
+        parsed = F.when(F.length(text) > 3, value.try_cast("timestamp"))
+    else:
+        parsed = cleaning.timestamp(text, contract.timestamp_formats, as_of)
+    if contract.free_form_zone:
+        free_form = lenient.free_form_date if is_date else lenient.free_form_timestamp
+        rest = F.when(parsed.isNull(), text)
+        parsed = F.coalesce(parsed, free_form(rest, _instant(as_of), contract.free_form_zone))
+    return parsed if is_date else cleaning.in_range(parsed.cast(kind), as_of)
+
+
 def clean(df: DataFrame, contract: Contract, as_of: Moment = None) -> DataFrame:
-    """Clean every contract column in one projection; others pass through."""
+    """Clean every contract column in one projection; others pass through.
+
+    Of the others, only timestamps are range-checked (P8, C12).
+    """
     targets = {f.name: f for f in contract.business.fields}
     return df.select(
         *(
             _cleaned(field, targets[field.name], contract, as_of).alias(field.name)
             if field.name in targets
-            else ref(field.name)
+            else _raw(field, as_of).alias(field.name)
             for field in df.schema.fields
         )
     )

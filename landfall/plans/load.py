@@ -7,8 +7,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, fields
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.digest import KEY_BYTES
@@ -193,9 +192,7 @@ def fill(
         if before >= offered and not target.buckets:
             # Few of the rows read may be new: write few files, not one per task.
             rows = rows.hint("rebalance")
-    seen = Observation()
-    write(rows.observe(seen, F.count(F.lit(1)).alias("rows")), key)
-    written = seen.get["rows"]
+    written = write(rows, key)
     after = target.count(spark)
     if after != before + written or (spec.replaces and offered not in (None, written)):
         raise CountMismatch(f"held {before}, offered {offered}, wrote {written}, holds {after}")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +49,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def load_time(spark: SparkSession) -> datetime:
-    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
-    return datetime.fromisoformat(AS_OF).replace(tzinfo=zone)
+    """``AS_OF`` as an instant."""
+    return spark.sql(f"SELECT TIMESTAMP '{AS_OF}' AS now").first().now.astimezone()
 
 
 def wall_clock(df: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import ref
@@ -84,23 +85,25 @@ class Target:
         options = {k: v for k, v in self.options.items() if k.lower() not in _SCAN_OPTIONS}
         return spark.read.format(self.format).options(**options).option("query", sql).load()
 
-    def overwrite(self, df: DataFrame, key: str | None = None) -> None:
-        """Replace the table (K1, K4)."""
-        self._write(df, "overwrite", key, self.on_overwrite)
+    def overwrite(self, df: DataFrame, key: str | None = None) -> int:
+        """Replace the table (K1, K4); rows written."""
+        return self._write(df, "overwrite", key, self.on_overwrite)
 
-    def append(self, df: DataFrame, key: str | None = None) -> None:
-        """Add rows (K2, K4, K6)."""
-        self._write(df, "append", key, self.on_append)
+    def append(self, df: DataFrame, key: str | None = None) -> int:
+        """Add rows (K2, K4, K6); rows written."""
+        return self._write(df, "append", key, self.on_append)
 
     def truncate(self, spark: SparkSession, schema: T.StructType, key: str | None = None) -> None:
         """Drop all rows, keep the table (K5)."""
         self._write(empty_frame(spark, schema), "overwrite", key, self.on_truncate)
 
-    def _write(
-        self, df: DataFrame, mode: str, key: str | None, more: Mapping[str, str]
-    ) -> None:
+    def _write(self, df: DataFrame, mode: str, key: str | None, more: Mapping[str, str]) -> int:
         if self.buckets:
             df = df.repartition(self.buckets, ref(key))
+        # Counted in the tasks that write, as rows of a task that is run again
+        # count once only there.
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         writer = df.write.format(self.format).options(**{**self.options, **more}).mode(mode)
         if self.buckets:
             writer = writer.bucketBy(self.buckets, key).sortBy(key)
@@ -110,3 +113,4 @@ class Target:
             writer.save(self.path)
         else:
             writer.save()
+        return seen.get["rows"]

@@ -251,3 +251,16 @@ def test_null_unsupported(spark):
 
 def test_raw_names_by_rule():
     assert squashed("ADDR_ID") == "addrid"
+
+
+def test_raw_timestamps_are_range_checked_whatever_they_become(spark):
+    shape = Contract(name="t", columns="BORN string", extras="hash")
+    df = spark.sql("SELECT TIMESTAMP '1850-01-01' AS born, TIMESTAMP '3000-01-01' AS other")
+    assert clean(conform(df, shape), shape, AS_OF).first() == (None, None)
+
+
+def test_timestamp_from_seconds(spark):
+    shape = Contract(name="t", columns="A timestamp, B timestamp, C date")
+    df = spark.sql("SELECT 1704067200L AS a, 12 AS b, 20240103 AS c")
+    found = clean(conform(df, shape), shape, AS_OF).first()
+    assert found == (datetime(2024, 1, 1), None, date(2024, 1, 3))
