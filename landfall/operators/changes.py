@@ -30,6 +30,7 @@ def new_rows(
     batch_rows: int | None = None,
     existing_rows: int | None = None,
     key_bytes: int | None = None,
+    existing_buckets: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -42,12 +43,13 @@ def new_rows(
     The sizes of both sides decide the way. They are counted unless given, and
     over columnar files a count reads footers only. Only keys that are measured
     to take at most ``broadcast_bytes`` are ever broadcast; ``key_bytes``, the
-    length of every key, saves the measuring.
+    length of every key, saves the measuring. ``existing_buckets`` says that
+    ``existing`` is a table in that many buckets by key.
 
     * few existing keys: these are broadcast, the batch is not shuffled;
     * small batch: its keys are broadcast to thin out the existing keys where
       they are read, so the large target is not shuffled;
-    * both large, or a large batch to dedupe: see :func:`_by_tally`.
+    * both large, or a large batch to dedupe: see :func:`_tally`.
     """
     limits = (key, key_bytes, broadcast_bytes)
     if existing is not None and existing_rows is None:
@@ -63,7 +65,8 @@ def new_rows(
     if held is None and not dedupe:
         return kept
     if not _fits(batch, batch_rows, *limits):
-        return _by_tally(kept, held, key, dedupe, order_by, broadcast_bytes, hot_rows)
+        tally = _tally(kept, held, key, existing_buckets)
+        return _by_tally(kept, tally, key, dedupe, order_by, broadcast_bytes, hot_rows)
     if held is not None:
         offered = F.broadcast(batch.select(ref(key)))
         met = held.join(offered, key, "left_semi").distinct()
@@ -100,30 +103,47 @@ def _within(batch: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return batch.join(keys, key, "left_semi").select(*map(ref, batch.columns))
 
 
-def _by_tally(batch, held, key, dedupe, order_by, broadcast_bytes, hot_rows) -> DataFrame:
-    """Decide on keys alone, then pick the rows.
+def _tally(
+    batch: DataFrame, held: DataFrame | None, key: str, buckets: int | None
+) -> DataFrame:
+    """How many rows of the batch each key has, and whether it is known.
 
     The keys of both sides are counted in one aggregation, which collapses a
-    hot key within each map task, and the counts are checkpointed. Mostly
-    either the new or the known keys are few; then these are broadcast and the
-    wide rows are filtered where they are read. Else the wide rows are shuffled,
-    but for those of hot keys, which are few: a key is hot from ``hot_rows``
-    rows on, or from more if the keys of that many rows might be too many to
-    broadcast. Rows of keys that occur once pass by the dedupe in the same
-    manner.
+    hot key within each map task. Keys held in buckets need no shuffle; there
+    the counted keys of the batch are sent to the buckets instead.
     """
     use_checkpoints(batch.sparkSession)
-    keyed = batch.filter(ref(key).isNotNull())
-    seen = keyed.select(ref(key), F.lit(1).alias(ROWS), F.lit(False).alias(KNOWN))
-    if held is not None:
-        known = held.filter(ref(key).isNotNull())
-        seen = seen.union(known.select(ref(key), F.lit(0), F.lit(True)))
-    tally = (
-        seen.groupBy(ref(key))
+    seen = batch.filter(ref(key).isNotNull()).select(ref(key))
+    if held is None or buckets:
+        tally = seen.groupBy(ref(key)).agg(F.count(F.lit(1)).alias(ROWS))
+        is_known = F.lit(False)
+        if held is not None:
+            known = held.filter(ref(key).isNotNull()).distinct().withColumn(KNOWN, F.lit(True))
+            tally = tally.repartition(buckets, ref(key)).join(known, key, "left")
+            is_known = ref(KNOWN).isNotNull()
+        return tally.select(ref(key), ref(ROWS), is_known.alias(KNOWN)).checkpoint()
+    known = held.filter(ref(key).isNotNull())
+    return (
+        seen.select(ref(key), F.lit(1).alias(ROWS), F.lit(False).alias(KNOWN))
+        .union(known.select(ref(key), F.lit(0), F.lit(True)))
+        .groupBy(ref(key))
         .agg(F.sum(ROWS).alias(ROWS), F.max(KNOWN).alias(KNOWN))
         .filter(ref(ROWS) > 0)
         .checkpoint()
     )
+
+
+def _by_tally(batch, tally, key, dedupe, order_by, broadcast_bytes, hot_rows) -> DataFrame:
+    """Pick the rows by what is known of their keys.
+
+    Mostly either the new or the known keys are few; then these are broadcast
+    and the wide rows are filtered where they are read. Else the wide rows are
+    shuffled, but for those of hot keys, which are few: a key is hot from
+    ``hot_rows`` rows on, or from more if the keys of that many rows might be
+    too many to broadcast. Rows of keys that occur once pass by the dedupe in
+    the same manner.
+    """
+    keyed = batch.filter(ref(key).isNotNull())
     is_fresh, is_repeated, cost = ~ref(KNOWN), ~ref(KNOWN) & (ref(ROWS) > 1), _cost(tally, key)
     sizes = {
         "fresh": F.sum(F.when(is_fresh, cost)),

@@ -188,6 +188,7 @@ def fill(
             batch_rows=offered,
             existing_rows=before,
             key_bytes=KEY_BYTES[spec.key_digest],
+            existing_buckets=target.buckets,
         )
         if before >= offered and not target.buckets:
             # Few of the rows read may be new: write few files, not one per task.

@@ -60,8 +60,9 @@ class TableSpec:
         if self.mode == "incremental_insert" and not self.key_column:
             raise ValueError(f"{self.name}: incremental_insert needs a key column")
         for target in filter(None, (self.landing, self.warehouse)):
-            if target.buckets and not (self.key_column and self.dedupe):
-                raise ValueError(f"{self.name}: buckets need a key and dedupe")
+            by_key = self.mode in ("incremental", "incremental_insert") and self.key_column
+            if target.buckets and not (by_key and self.dedupe):
+                raise ValueError(f"{self.name}: buckets need a load by key, with dedupe")
 
     @property
     def key_column(self) -> str | None:

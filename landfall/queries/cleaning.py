@@ -24,30 +24,30 @@ _NUMBER = """
 """
 
 
-def _number_sql(kind: str) -> str:
+def _number_sql(kind: str, shown: str) -> str:
     return f"""
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, raw,
-               CASE WHEN regexp_full_match(bare, '-?\\d+(\\.\\d+)?')
-                    THEN TRY_CAST(bare AS {kind}) END AS value
+               CAST(CASE WHEN regexp_full_match(bare, '-?\\d+(\\.\\d+)?')
+                         THEN TRY_CAST(bare AS {kind}) END AS {shown}) AS value
         FROM (SELECT *, trim(replace(raw, ',', '')) AS bare
               FROM (SELECT *, {_NUMBER} AS raw FROM lineitem) r) b
     """
 
 
-def _number(spark, folder, kind):
+def _number(spark, folder, kind, shown):
     rows = table(spark, folder, "lineitem").withColumn("raw", F.expr(_NUMBER))
     kept = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "raw")
-    return rows.select(*kept, cleaning.number(F.col("raw"), kind).alias("value"))
+    return rows.select(*kept, cleaning.number(F.col("raw"), kind).cast(shown).alias("value"))
 
 
-@query(_number_sql("DECIMAL(38,0)"))
+@query(_number_sql("DECIMAL(38,0)", "VARCHAR"))
 def parse_decimal(spark, folder):
-    return _number(spark, folder, T.DecimalType(38, 0))
+    return _number(spark, folder, T.DecimalType(38, 0), "string")
 
 
-@query(_number_sql("DOUBLE"))
+@query(_number_sql("DOUBLE", "DOUBLE"))
 def parse_double(spark, folder):
-    return _number(spark, folder, T.DoubleType())
+    return _number(spark, folder, T.DoubleType(), "double")
 
 
 _WORD = """
@@ -240,7 +240,7 @@ EVENT = Contract(
 
 @query(
     f"""
-    SELECT CAST(event_id AS DECIMAL(38,0)) AS "EVENT_ID",
+    SELECT CAST(event_id AS VARCHAR) AS "EVENT_ID",
            CASE WHEN ts > TIMESTAMP '{AS_OF}' THEN TIMESTAMP '{AS_OF}' ELSE ts END
                AS "OCCURRED_AT",
            CAST(user_id AS VARCHAR) AS "USER_ID",
@@ -263,4 +263,5 @@ def clean_by_contract(spark, folder):
         F.lit("not in the contract").alias("note"),
     )
     cleaned = clean(conform(raw, EVENT), EVENT, AS_OF)
-    return wall_clock(project(settle_future(cleaned, EVENT, AS_OF), EVENT.business))
+    shaped = project(settle_future(cleaned, EVENT, AS_OF), EVENT.business)
+    return wall_clock(shaped.withColumn("EVENT_ID", F.col("EVENT_ID").cast("string")))

@@ -1,3 +1,4 @@
+import hashlib
 import json
 from datetime import UTC, date, datetime
 from decimal import Decimal
@@ -264,3 +265,18 @@ def test_timestamp_from_seconds(spark):
     df = spark.sql("SELECT 1704067200L AS a, 12 AS b, 20240103 AS c")
     found = clean(conform(df, shape), shape, AS_OF).first()
     assert found == (datetime(2024, 1, 1), None, date(2024, 1, 3))
+
+
+def test_compat_key_of_a_contract_is_made_in_frame_order(spark):
+    """Cleaned values and extras as they stand in the frame; filled columns do not count."""
+    df = spark.createDataFrame(
+        [("x", "1/2/2024", "1,000", "g", "me")],
+        "extra string, seen string, amount string, leadguid string, created_by string",
+    )
+    shape = contract(key="K", extras="hash", columns="LEAD_GUID string, AMOUNT decimal(10,2),"
+                     " SEEN timestamp, NEVER string")
+    spec = TableSpec(
+        "t", FrameSource(df), "S", contract=shape, landing=Target("unused"), key_encoding="compat"
+    )
+    text = "x||2024-01-02 00:00:00||1000.00||g"
+    assert prepare(spark, spec, NOW).first().K == hashlib.sha3_512(text.encode()).hexdigest()

@@ -212,19 +212,40 @@ def test_catalog_table(spark):
     assert target.keys(spark, "K").columns == ["K"]
 
 
-def test_bucketed_table_is_not_shuffled(spark):
+def test_bucketed_table(spark, monkeypatch):
+    """Large sides, so that the keys are looked up in the buckets."""
+    small = {**new_rows.__kwdefaults__, "broadcast_bytes": 1}
+    monkeypatch.setattr(new_rows, "__kwdefaults__", small)
     target = Target(table="bucketed_orders", buckets=4)
     rows = spark.range(100).selectExpr("CAST(id AS int) AS id", "'n' AS note")
     load_table(spark, spec(rows.limit(50), landing=target))
-    result = load_table(spark, spec(rows, landing=target))
+    result = load_table(spark, spec(rows.union(rows), landing=target))
     assert (result.landed, result.landing_after) == (50, 100)
+    assert load_table(spark, spec(rows, landing=target)).landed == 0
+
+
+def test_bucketed_keys_are_not_shuffled(spark, monkeypatch):
+    spark.range(1000).selectExpr("CAST(id AS string) AS K").write.bucketBy(4, "K").saveAsTable("held")
+    plans = []
+
+    def checkpoint(self, *_):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return self
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", checkpoint)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        keys = target.keys(spark, "K")
-        joined = keys.groupBy("K").count().join(keys, "K")
-        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        batch = spark.range(900, 1100).selectExpr("CAST(id AS string) AS K", "id AS v")
+        fresh = new_rows(
+            batch, spark.read.table("held"), "K", existing_buckets=4, broadcast_bytes=1
+        )
+        assert fresh.count() == 100
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    held_side = plans[0][plans[0].index("FileScan") - 400 :]
+    assert "Bucketed: true" in held_side
+    # Two shuffles, both of the batch: to count its keys and to send them.
+    assert plans[0].count("Exchange hashpartitioning") == 2
 
 
 def test_schema_may_grow(spark, tmp_path):
@@ -345,6 +366,7 @@ def test_missing_tables(spark):
         ({}, "no target"),
         ({"mode": "incremental_insert", "key": None, "landing": Target("x")}, "needs a key"),
         ({"dedupe": False, "landing": Target(table="x", buckets=2)}, "buckets need"),
+        ({"mode": "historical", "landing": Target(table="x", buckets=2)}, "buckets need"),
     ],
 )
 def test_specs_are_checked(spark, options, message):
