@@ -33,6 +33,7 @@ HEADLINE = (
     "content_key_strict",
     "distinct_content",
     "clean_by_contract",
+    "lead_assignment_contract",
     "parse_decimal",
     "parse_double",
     "parse_boolean",

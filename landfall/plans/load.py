@@ -30,6 +30,7 @@ class LoadResult:
     mode: str
     status: str = "success"
     reason: str | None = None
+    source_rows: int | None = None
     offered: int | None = None
     landing_before: int | None = None
     landed: int | None = None
@@ -44,7 +45,7 @@ class LoadResult:
         return tuple(getattr(self, f.name) for f in fields(self))
 
 
-_COUNTS = {"offered", "landing_before", "landed", "landing_after"} | {
+_COUNTS = {"source_rows", "offered", "landing_before", "landed", "landing_after"} | {
     "warehouse_before",
     "loaded",
     "warehouse_after",
@@ -59,7 +60,7 @@ RESULT_SCHEMA = T.StructType(
 
 
 class CountMismatch(RuntimeError):
-    """A target does not hold what was written to it."""
+    """Rows got lost or came up on the way."""
 
 
 class TargetAbsent(LookupError):
@@ -117,15 +118,24 @@ def load_table(spark: SparkSession, spec: TableSpec, as_of: datetime | None = No
     started = time.monotonic()
     as_of = as_of or datetime.now(UTC)
     result = LoadResult(spec.name, spec.mode, as_of=as_of)
+    if spec.count_source:
+        result.source_rows = spec.source.count(spark)
     with _batch(spark, spec, as_of) as (batch, result.offered):
+        _check_source(result)
         if result.offered == 0:
             result.status, result.reason = "skipped", "empty"
         else:
             _fill_targets(spark, spec, batch, result)
+            _check_source(result)
     result.seconds = round(time.monotonic() - started, 3)
     return result
 
 
+def _check_source(result: LoadResult) -> None:
+    if None not in (result.source_rows, result.offered) and result.source_rows != result.offered:
+        raise CountMismatch(f"counted {result.source_rows}, read {result.offered}")
+
+
 def _fill_targets(spark, spec: TableSpec, batch: DataFrame, result: LoadResult) -> None:
     try:
         if spec.landing:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Collection, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
@@ -14,6 +15,8 @@ from ..sinks.targets import Target
 from .load import RESULT_SCHEMA, LoadResult, load_table
 from .spec import TableSpec
 
+log = logging.getLogger(__name__)
+
 
 def load_all(
     spark: SparkSession,
@@ -22,6 +25,7 @@ def load_all(
     *,
     workers: int = 1,
     policy: str = "isolate",
+    attempts: int = 1,
     left_out: Mapping[str, str] | None = None,
     expected: Collection[str] = (),
     run_log: Target | None = None,
@@ -30,7 +34,9 @@ def load_all(
 
     ``workers`` tables are loaded at a time; with ``spark.scheduler.mode`` FAIR
     each has its own pool, so that a large table does not hold up the others. Under ``isolate`` a failed table is a row of the report and the
-    others go on; under ``fail_fast`` the first error ends the run.
+    others go on; under ``fail_fast`` the first error ends the run. A table is
+    tried ``attempts`` times. Each try finds the rows an earlier one brought in;
+    ``append`` does not look for them, so it is tried once.
     ``left_out`` (table -> reason) and the tables of ``expected`` that no spec
     covers are reported as well. The report is also added to ``run_log``.
     """
@@ -38,10 +44,18 @@ def load_all(
         raise ValueError(f"unknown failure policy: {policy!r}")
     specs, as_of = list(specs), as_of or datetime.now(UTC)
 
+    def tried(spec: TableSpec) -> LoadResult:
+        for _again in range(0 if spec.mode == "append" else attempts - 1):
+            try:
+                return load_table(spark, spec, as_of)
+            except Exception:
+                log.warning("%s: failed, will be tried again", spec.name, exc_info=True)
+        return load_table(spark, spec, as_of)
+
     def one(spec: TableSpec) -> LoadResult:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
         try:
-            return load_table(spark, spec, as_of)
+            return tried(spec)
         except Exception as error:
             if policy == "fail_fast":
                 raise

@@ -51,12 +51,16 @@ class TableSpec:
     landing: Target | None = None
     warehouse: Target | None = None
     creator: str = CREATOR
+    # Ask the source for its own row count and hold the rows read against it.
+    count_source: bool = False
 
     def __post_init__(self):
         if self.mode not in MODES:
             raise ValueError(f"unknown load mode: {self.mode!r}, expected one of {MODES}")
         if not (self.landing or self.warehouse):
             raise ValueError(f"{self.name}: no target to load into")
+        if self.count_source and not hasattr(self.source, "count"):
+            raise ValueError(f"{self.name}: the source cannot count its rows")
         if self.mode == "incremental_insert" and not self.key_column:
             raise ValueError(f"{self.name}: incremental_insert needs a key column")
         for target in filter(None, (self.landing, self.warehouse)):

@@ -6,10 +6,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import Contract
+from ..contracts.leads import LEAD_ASSIGNMENT, lead_contracts
 from ..functions import cleaning
+from ..functions.names import key_name
 from ..operators.clean import clean, settle_future
 from ..operators.conform import conform, project
-from .registry import AS_OF, query, table, wall_clock
+from ..plans.load import prepare
+from ..plans.spec import TableSpec
+from ..sinks.targets import Target
+from ..sources.tables import FrameSource
+from .registry import AS_OF, audit_sql, compat_text, load_time, query, table, wall_clock
 
 _NUMBER = """
     CASE l_linenumber
@@ -265,3 +271,68 @@ def clean_by_contract(spark, folder):
     cleaned = clean(conform(raw, EVENT), EVENT, AS_OF)
     shaped = project(settle_future(cleaned, EVENT, AS_OF), EVENT.business)
     return wall_clock(shaped.withColumn("EVENT_ID", F.col("EVENT_ID").cast("string")))
+
+
+# The widest ready contract that events can fill, as SQL.
+_SQL_TYPES = {"string": "VARCHAR", "timestamp": "TIMESTAMP", "double": "DOUBLE", "boolean": "BOOLEAN"}
+_ASSIGNMENT = [column.split() for column in LEAD_ASSIGNMENT.split(",")]
+_ASSIGNMENT_KEY = key_name("shop", "lead_assignment")
+_PRICE = "CASE event_type WHEN 'click' THEN 'n/a' ELSE CAST(round(value, 2) AS STRING) END"
+_FILLED = {
+    "LEAD_ASSIGNMENT_GUID": "guid",
+    "AGENT_CODE": "agent",
+    "PURCHASE_DATE": f"CASE WHEN bought > TIMESTAMP '{AS_OF}' THEN TIMESTAMP '{AS_OF}'"
+    " ELSE bought END",
+    "PURCHASE_PRICE": "price",
+    "STATUS": "event_type",
+    "METADATA": "props",
+    "IS_DELETED_SOURCE": "deleted",
+}
+
+
+def _assignment_sql() -> str:
+    columns = ", ".join(
+        f'{_FILLED[name]} AS "{name}"'
+        if name in _FILLED
+        else f'CAST(NULL AS {_SQL_TYPES[kind]}) AS "{name}"'
+        for name, kind in _ASSIGNMENT
+    )
+    key = compat_text("guid", "agent", "bought", "price", "event_type", "props", "deleted", "note")
+    return f"""
+        SELECT sha256({key}) AS "{_ASSIGNMENT_KEY}", {columns}, {audit_sql("SHOP")}
+        FROM (
+            SELECT CAST(event_id AS VARCHAR) AS guid, CAST(user_id AS VARCHAR) AS agent,
+                   coalesce(TRY_CAST(CASE WHEN raw LIKE '%-%' THEN raw END AS TIMESTAMP),
+                            try_strptime(raw, ['%-m/%-d/%Y %H:%M', '%-m/%-d/%Y', '%Y%m%d']))
+                       AS bought,
+                   TRY_CAST(paid AS DOUBLE) AS price, event_type,
+                   CASE WHEN json_valid(broken) THEN broken END AS props,
+                   event_type = 'error' AS deleted, event_type || ' note' AS note
+            FROM (SELECT *, {_MOMENT} AS raw, {_PRICE} AS paid, {_PROPS} AS broken FROM events) r
+        ) c
+    """
+
+
+@query(_assignment_sql())
+def lead_assignment_contract(spark, folder):
+    """Events as raw assignments, through the ready contract: every step before a write."""
+    raw = table(spark, folder, "events").select(
+        F.col("event_id").alias("LeadAssignmentGuid"),
+        F.col("user_id").cast("string").alias("AgentCode"),
+        F.expr(_MOMENT).alias("PurchaseDate"),
+        F.expr(_PRICE).alias("PurchasePrice"),
+        F.col("event_type").alias("Status"),
+        F.expr(_PROPS).alias("Metadata"),
+        F.when(F.col("event_type") == "error", "T").otherwise("no").alias("IsDeletedSource"),
+        F.concat("event_type", F.lit(" note")).alias("Note"),
+    )
+    spec = TableSpec(
+        name="lead_assignment",
+        source=FrameSource(raw),
+        system="SHOP",
+        contract=lead_contracts("shop")["lead_assignment"],
+        key_encoding="compat",
+        key_digest="sha2_256",
+        warehouse=Target(format="noop"),
+    )
+    return wall_clock(prepare(spark, spec, load_time(spark)))

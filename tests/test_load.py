@@ -325,6 +325,42 @@ def test_fail_fast(spark, target):
         load_all(spark, specs, policy="hope")
 
 
+@pytest.mark.parametrize("mode, status", [("incremental", "success"), ("append", "failed")])
+def test_a_table_is_tried_again(spark, target, monkeypatch, mode, status):
+    load_table(spark, spec(frame(spark, (1, "a")), landing=target), NOW)
+    write, calls = Target.append, []
+
+    def flaky(self, df, key=None):
+        calls.append(1)
+        rows = write(self, df, key)
+        if len(calls) == 1:
+            raise ConnectionError("no answer")
+        return rows
+
+    monkeypatch.setattr(Target, "append", flaky)
+    rows = spec(frame(spark, (1, "a"), (2, "b")), landing=target, mode=mode)
+    report = load_all(spark, [rows], NOW, attempts=3)
+    assert report.first().status == status
+    assert len(calls) == (2 if status == "success" else 1)
+    if status == "success":
+        assert held(spark, target) == Counter([(1, "a"), (2, "b")])
+
+
+def test_source_count_is_held_against_the_rows_read(spark, target):
+    class Counted(FrameSource):
+        def count(self, spark):
+            return 2
+
+    good = spec(Counted(frame(spark, (1, "a"), (2, "b"))), landing=target, count_source=True)
+    assert load_table(spark, good).source_rows == 2
+    with pytest.raises(CountMismatch, match="counted 2, read 1"):
+        load_table(
+            spark, spec(Counted(frame(spark, (1, "a"))), landing=target, count_source=True)
+        )
+    with pytest.raises(ValueError, match="cannot count"):
+        spec(frame(spark, (1, "a")), landing=target, count_source=True)
+
+
 def test_tables_load_side_by_side(spark, tmp_path):
     barrier = Barrier(3, timeout=60)
 
