@@ -88,11 +88,6 @@ def valid_json(text: Column) -> Column:
     return F.when(F.try_variant_get(parsed, "$[1]", "bigint") == mark, text)
 
 
-def _datelike(text: Column) -> Column:
-    """Text that can be a date at all: four characters or more, with a digit."""
-    return (F.length(text) > 3) & text.rlike(r"\d")
-
-
 _TOKEN = re.compile(
     r"'(?P<literal>[^']*)'|(?P<run>(?P<letter>[A-Za-z])(?P=letter)*)|(?P<other>.)", re.DOTALL
 )
@@ -112,17 +107,27 @@ def shape(pattern: str) -> str | None:
             parts.append(re.escape(token["literal"] or token["other"] or "'"))
         elif run[0] == "a" or run.startswith("MMM"):
             parts.append(r"\p{L}[\p{L}.]*")
-        elif run[0] in "yMdHhmsS":
-            parts.append(r"\d+")
-        else:
+        elif run[0] not in "yMdHhmsS":
             return None
+        elif run == "yyyy":
+            parts.append(r"\d{4,}")
+        else:
+            parts.append(r"\d{2}" if len(run) == 2 else r"\d+")
     return "^" + "".join(parts) + "$"
 
 
+# Text that can be a date at all: four characters or more, with a digit.
+_DATELIKE = r"(?s)^(?=.{4}).*\d"
+
+
 def _fitting(text: Column, pattern: str) -> Column:
-    """The text if it has the pattern's shape, else NULL."""
+    """The text if it is date-like and has the pattern's shape, else NULL."""
     expected = shape(pattern)
-    return text if expected is None else F.when(text.rlike(expected), text)
+    if expected is None:
+        expected = _DATELIKE
+    elif "yyyy" not in pattern:
+        expected = expected.replace("^", "^(?=.{4})", 1)
+    return F.when(text.rlike(expected), text)
 
 
 def timestamp(
@@ -138,23 +143,28 @@ def timestamp(
     dated = F.when(
         text.rlike(r"^\s*T?\d{1,2}:"), F.concat(day, F.lit("T"), F.ltrim(text, F.lit("T ")))
     ).otherwise(text)
-    tries = [F.try_to_timestamp(dated)]
-    tries += [F.try_to_timestamp(_fitting(text, f), F.lit(f)) for f in formats]
-    return F.when(_datelike(text), F.coalesce(*tries))
+    # A coalesce on the outside, not a condition: Catalyst would push what is
+    # done with the result into the branches, and parse once for each use.
+    return F.coalesce(
+        F.try_to_timestamp(F.when(F.length(text) > 3, dated)),
+        *(F.try_to_timestamp(_fitting(text, f), F.lit(f)) for f in formats),
+    )
 
 
 def date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Date from text: the ISO form, then each format."""
     text = text.cast("string")
-    tries = [F.when(text.rlike(ISO_DATE), F.try_to_date(text))]
-    tries += [F.try_to_date(_fitting(text, f), f) for f in formats]
-    return F.when(_datelike(text), F.coalesce(*tries))
+    return F.coalesce(
+        F.try_to_date(F.when(text.rlike(ISO_DATE), text)),
+        *(F.try_to_date(_fitting(text, f), f) for f in formats),
+    )
 
 
 def in_range(value: Column, as_of: Moment = None) -> Column:
     """NULL for a timestamp before 1900 or after next year."""
-    year = F.year(value)
-    return F.when((year >= FIRST_YEAR) & (year <= F.year(moment(as_of)) + 1), value)
+    first = F.lit(f"{FIRST_YEAR}-01-01 00:00:00").cast("timestamp")
+    end = (F.year(moment(as_of)) + 2).cast("string")
+    return F.when((value >= first) & (value < end.cast("timestamp")), value)
 
 
 def audit_default(value: Column, as_of: Moment = None) -> Column:
