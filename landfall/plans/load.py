@@ -194,7 +194,7 @@ def fill(
             batch,
             held,
             key,
-            dedupe=spec.dedupe,
+            dedupe=spec.one_per_key,
             batch_rows=offered,
             existing_rows=before,
             key_bytes=KEY_BYTES[spec.key_digest],

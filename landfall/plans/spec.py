@@ -34,7 +34,9 @@ class TableSpec:
     ``append``              append everything, a target must be there already;
     ``truncate_append``     the same after dropping the rows it holds.
 
-    Without a key every load of the first two kinds replaces.
+    Without a key every load of the first two kinds replaces. ``dedupe`` keeps
+    one row per new key; by default only under the strict encoding, where equal
+    keys mean equal rows.
     """
 
     name: str
@@ -47,7 +49,7 @@ class TableSpec:
     key_encoding: str = "strict"
     key_digest: str = "sha3_512"
     nested: str = "reject"
-    dedupe: bool = True
+    dedupe: bool | None = None
     landing: Target | None = None
     warehouse: Target | None = None
     creator: str = CREATOR
@@ -65,13 +67,17 @@ class TableSpec:
             raise ValueError(f"{self.name}: incremental_insert needs a key column")
         for target in filter(None, (self.landing, self.warehouse)):
             by_key = self.mode in ("incremental", "incremental_insert") and self.key_column
-            if target.buckets and not (by_key and self.dedupe):
+            if target.buckets and not (by_key and self.one_per_key):
                 raise ValueError(f"{self.name}: buckets need a load by key, with dedupe")
 
     @property
     def key_column(self) -> str | None:
         return self.key or (self.contract.key if self.contract else None)
 
+    @property
+    def one_per_key(self) -> bool:
+        return self.key_encoding == "strict" if self.dedupe is None else self.dedupe
+
     @property
     def replaces(self) -> bool:
         return self.mode == "historical" or (self.mode == "incremental" and not self.key_column)

@@ -41,7 +41,12 @@ class TableSource:
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
     schema: T.StructType | str | None = None
-    repeatable: bool = True
+    # Whether a second read gives the same rows; files are taken to, others not.
+    repeatable: bool | None = None
+
+    def __post_init__(self):
+        if self.repeatable is None:
+            object.__setattr__(self, "repeatable", self.path is not None)
 
     def scan(self, spark: SparkSession) -> DataFrame:
         reader = spark.read.format(self.format).options(**self.options)

@@ -76,6 +76,19 @@ def test_batch_duplicates_stay_without_dedupe(spark, target):
     assert load_table(spark, twice).landed == 0
 
 
+def test_rows_that_share_a_compat_key_stay(spark, target):
+    """(1, NULL) and (NULL, "1") have one compat key, but are two rows."""
+    rows = spec(frame(spark, (1, None), (None, "1")), landing=target, key_encoding="compat")
+    assert load_table(spark, rows).landed == 2
+    assert load_table(spark, rows).landed == 0
+
+
+def test_what_can_be_read_twice(spark):
+    assert TableSource("some/path").repeatable
+    assert not TableSource(format="jdbc", options={"dbtable": "T"}).repeatable
+    assert TableSource(format="jdbc", repeatable=True).repeatable
+
+
 def test_historical_replaces(spark, target):
     load_table(spark, spec(frame(spark, (1, "a"), (1, "a")), landing=target, mode="historical"))
     result = load_table(spark, spec(frame(spark, (2, "b")), landing=target, mode="historical"))
