@@ -40,7 +40,8 @@ def new_rows_by_content_key(spark, folder):
     spaced = orders.toDF(*(c.replace("_", " ") for c in ORDERS))
     keyed = add_key(clean_names(spaced), "order_key", encoding="compat", digest="sha2_256")
     held = add_key(_loaded(orders), "order_key", encoding="compat", digest="sha2_256")
-    fresh = new_rows(stamp(keyed, "ORDERS", AS_OF), held.select("order_key"), "order_key")
+    stamped = stamp(keyed, "ORDERS", AS_OF)
+    fresh = new_rows(stamped, held.select("order_key"), "order_key", key_bytes=64)
     return wall_clock(fresh.select("order_key", *ORDERS, *AUDIT_COLUMNS))
 
 

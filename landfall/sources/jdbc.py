@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -165,20 +167,24 @@ class JdbcTable:
                 lower, upper = self._bounds(spark)
             if lower is not None:
                 reader = reader.options(
-                    partitionColumn=self.database.dialect.quote(split.column),
+                    partitionColumn=split.column,
                     lowerBound=str(lower),
                     upperBound=str(upper),
                     numPartitions=str(split.partitions),
                 )
         return reader.load()
 
-    def _bounds(self, spark: SparkSession):
+    def _bounds(self, spark: SparkSession) -> tuple:
+        """Least and greatest value of the split column; Spark takes whole numbers only."""
         column = self.database.dialect.quote(self.split.column)
-        return self.database.query(
+        low, high = self.database.query(
             spark,
             f"SELECT MIN({column}) AS low, MAX({column}) AS high"
             f" FROM {self.database._quoted(self.name)}",
         ).first()
+        if isinstance(low, (float, Decimal)):
+            low, high = math.floor(low), math.ceil(high)
+        return low, high
 
     def count(self, spark: SparkSession) -> int:
         return self.database.count(spark, self.name)

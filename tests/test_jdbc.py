@@ -2,6 +2,7 @@ import uuid
 from collections import Counter
 
 import pytest
+from pyspark.sql.functions import spark_partition_id
 
 from landfall.functions.names import QualifiedName
 from landfall.plans.discover import discover
@@ -76,6 +77,21 @@ def test_scan(spark, database, split, tasks):
     assert Counter(map(tuple, scan.collect())) == customers(spark)
 
 
+@pytest.mark.parametrize("column", ["id", "amount", "share", "day", "seen"])
+def test_split_by_any_ordered_column(spark, database, column):
+    rows = spark.sql(
+        "SELECT id, CAST(id / 3 AS decimal(10,2)) AS amount, id / 7 AS share,"
+        " date_add(DATE '2024-01-01', CAST(id AS int)) AS day,"
+        " TIMESTAMP '2024-01-01 00:00:00.5' + make_dt_interval(0, 0, CAST(id AS int)) AS seen"
+        " FROM range(1, 50)"
+    )
+    name = put(database, rows, f"split_by_{column}")
+    scan = JdbcTable(database, name, Split(column, 4)).scan(spark)
+    assert scan.rdd.getNumPartitions() == 4
+    assert sorted(r.id for r in scan.collect()) == list(range(1, 50))
+    assert len(set(scan.select(spark_partition_id()).distinct().collect())) > 1
+
+
 def test_bounds_of_an_empty_table(spark, database):
     put(database, spark.createDataFrame([], "n int"), "empty")
     scan = JdbcTable(database, QualifiedName("APP", "EMPTY"), Split("n", 4)).scan(spark)

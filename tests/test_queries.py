@@ -2,6 +2,7 @@
 
 import datetime
 import decimal
+import hashlib
 import os
 
 import duckdb
@@ -51,6 +52,13 @@ def test_all_but_sha3_have_sql():
     assert set(QUERIES) - set(ORACLES) == {"content_key_sha3"}
 
 
+def test_sha3_query_is_hashlib(spark):
+    for row in QUERIES["content_key_sha3"](spark, FOLDER).toLocalIterator():
+        key, *values = row
+        text = "||".join(str(v) for v in values)
+        assert key == hashlib.sha3_512(text.encode()).hexdigest()
+
+
 def test_entry(spark):
     import __spark_entry__ as contract
 
