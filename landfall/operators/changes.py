@@ -31,6 +31,7 @@ def new_rows(
     existing_rows: int | None = None,
     key_bytes: int | None = None,
     existing_buckets: int | None = None,
+    compact: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -44,7 +45,9 @@ def new_rows(
     over columnar files a count reads footers only. Only keys that are measured
     to take at most ``broadcast_bytes`` are ever broadcast; ``key_bytes``, the
     length of every key, saves the measuring. ``existing_buckets`` says that
-    ``existing`` is a table in that many buckets by key.
+    ``existing`` is a table in that many buckets by key. ``compact`` brings the
+    new rows together in few partitions if they turn out to be few among many
+    rows read, so that writing them does not leave a small file per task.
 
     * few existing keys: these are broadcast, the batch is not shuffled;
     * small batch: its keys are broadcast to thin out the existing keys where
@@ -66,12 +69,14 @@ def new_rows(
         return kept
     if not _fits(batch, batch_rows, *limits):
         tally = _tally(kept, held, key, existing_buckets)
-        return _by_tally(kept, tally, key, dedupe, order_by, broadcast_bytes, hot_rows)
+        return _by_tally(kept, tally, key, dedupe, order_by, compact, broadcast_bytes, hot_rows)
     if held is not None:
         offered = F.broadcast(batch.select(ref(key)))
         met = held.join(offered, key, "left_semi").distinct()
         kept = _without(batch, F.broadcast(met), key)
-    return first_per_key(kept, key, order_by) if dedupe else kept
+    if dedupe:
+        kept = first_per_key(kept, key, order_by)
+    return kept.hint("rebalance") if compact else kept
 
 
 def _cost(df: DataFrame, key: str) -> Column:
@@ -133,7 +138,9 @@ def _tally(
     )
 
 
-def _by_tally(batch, tally, key, dedupe, order_by, broadcast_bytes, hot_rows) -> DataFrame:
+def _by_tally(
+    batch, tally, key, dedupe, order_by, compact, broadcast_bytes, hot_rows
+) -> DataFrame:
     """Pick the rows by what is known of their keys.
 
     Mostly either the new or the known keys are few; then these are broadcast
@@ -183,7 +190,8 @@ def _by_tally(batch, tally, key, dedupe, order_by, broadcast_bytes, hot_rows) ->
         found = single.unionByName(first_per_key(_within(found, repeated, key), key, order_by))
     elif dedupe and size["repeated"]:
         found = first_per_key(found, key, order_by)
-    return found.unionByName(batch.filter(ref(key).isNull()))
+    found = found.unionByName(batch.filter(ref(key).isNull()))
+    return found.hint("rebalance") if compact and size["fresh"] <= broadcast_bytes else found
 
 
 def first_per_key(df: DataFrame, key: str, order_by: Sequence[str | Column] = ()) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions.digest import KEY_BYTES
 from ..operators.audit import stamp
 from ..operators.changes import new_rows
 from ..operators.clean import clean, settle_future
-from ..operators.conform import conform, project, validate
+from ..operators.conform import ContractViolation, conform, project, validate, violations
 from ..operators.keys import add_key
 from ..operators.naming import clean_names
 from ..sinks.targets import Target
@@ -172,6 +172,13 @@ def _from_landing(spark: SparkSession, spec: TableSpec, landing_before: int) ->
     return spec.warehouse.count(spark) != landing_before
 
 
+def _check_types(batch: DataFrame, target: Target, held: DataFrame) -> None:
+    """Files take rows of any type, and cannot be read back if the types differ."""
+    faults = [v for v in violations(batch, held.schema) if v.problem == "type"]
+    if faults and (target.path or target.table):
+        raise ContractViolation(faults)
+
+
 def fill(
     spark: SparkSession, spec: TableSpec, target: Target, batch: DataFrame, offered: int | None
 ) -> tuple[int, int, int]:
@@ -181,6 +188,8 @@ def fill(
     before = 0 if held is None else target.count(spark, held)
     if held is None and spec.mode not in ("historical", "incremental"):
         raise TargetAbsent("target does not exist")
+    if held is not None and not spec.replaces:
+        _check_types(batch, target, held)
     if spec.replaces:
         before, write, rows = 0, target.overwrite, batch
     elif spec.mode in ("append", "truncate_append"):
@@ -199,10 +208,8 @@ def fill(
             existing_rows=before,
             key_bytes=KEY_BYTES[spec.key_digest],
             existing_buckets=target.buckets,
+            compact=not target.buckets,
         )
-        if before >= offered and not target.buckets:
-            # Few of the rows read may be new: write few files, not one per task.
-            rows = rows.hint("rebalance")
     written = write(rows, key)
     after = target.count(spark)
     if after != before + written or (spec.replaces and offered not in (None, written)):

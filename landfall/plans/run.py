@@ -33,12 +33,13 @@ def load_all(
     """Load every table and report one row per table.
 
     ``workers`` tables are loaded at a time; with ``spark.scheduler.mode`` FAIR
-    each has its own pool, so that a large table does not hold up the others. Under ``isolate`` a failed table is a row of the report and the
-    others go on; under ``fail_fast`` the first error ends the run. A table is
-    tried ``attempts`` times. Each try finds the rows an earlier one brought in;
-    ``append`` does not look for them, so it is tried once.
-    ``left_out`` (table -> reason) and the tables of ``expected`` that no spec
-    covers are reported as well. The report is also added to ``run_log``.
+    each has its own pool, so that a large table does not hold up the others.
+    Under ``isolate`` a failed table is a row of the report and the others go
+    on; under ``fail_fast`` the first error ends the run. A table is tried
+    ``attempts`` times. Each try finds the rows an earlier one brought in;
+    ``append`` does not look for them, so it is tried once. ``left_out`` (table
+    -> reason) and the tables of ``expected`` that no spec covers are reported
+    as well. The report is also added to ``run_log``.
     """
     if policy not in ("isolate", "fail_fast"):
         raise ValueError(f"unknown failure policy: {policy!r}")

@@ -270,6 +270,16 @@ def test_schema_may_grow(spark, tmp_path):
     assert found == {(1, None), (2, "new")}
 
 
+def test_types_must_not_change(spark, target):
+    load_table(spark, spec(frame(spark, (1, "a")), landing=target))
+    other = spark.createDataFrame([("2", "b")], "id string, note string")
+    for mode in ("incremental", "append"):
+        with pytest.raises(ContractViolation, match="id: type, expected int, found string"):
+            load_table(spark, spec(other, landing=target, mode=mode))
+    load_table(spark, spec(other, landing=target, mode="historical"))
+    assert held(spark, target) == Counter([("2", "b")])
+
+
 def test_contract_load(spark, target):
     shape = Contract(
         name="t", columns="ID decimal(38,0), SEEN timestamp", key="K", future={"SEEN": "clamp"}
