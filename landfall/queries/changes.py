@@ -45,18 +45,21 @@ def new_rows_by_content_key(spark, folder):
     return wall_clock(fresh.select("order_key", *ORDERS, *AUDIT_COLUMNS))
 
 
-_CUSTOMER = "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END"
+_CUSTOMER = "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_custkey AS STRING) END"
 _NULL_KEYS = f"""
     SELECT o.* FROM (SELECT * REPLACE ({_CUSTOMER} AS o_custkey) FROM orders) o
     WHERE NOT EXISTS (
         SELECT 1 FROM orders held
-        WHERE held.o_orderdate < TIMESTAMP '1995-06-01' AND held.o_custkey = o.o_custkey)
+        WHERE held.o_orderdate < TIMESTAMP '1995-06-01'
+          AND CAST(held.o_custkey AS STRING) = o.o_custkey)
 """
 
 
 def _null_keys(spark, folder, **sizes):
     orders = table(spark, folder, "orders")
-    held = orders.filter(F.col("o_orderdate") < "1995-06-01").select("o_custkey")
+    held = orders.filter(F.col("o_orderdate") < "1995-06-01").select(
+        F.col("o_custkey").cast("string").alias("o_custkey")
+    )
     batch = orders.withColumn("o_custkey", F.expr(_CUSTOMER))
     return new_rows(batch, held, "o_custkey", **sizes)
 

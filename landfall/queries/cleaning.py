@@ -144,7 +144,7 @@ _DAY = f"""
 @query(
     f"""
     SELECT event_id, raw,
-           CASE WHEN day > DATE '2024-01-15' THEN NULL ELSE day END AS value
+           CAST(CASE WHEN day > DATE '2024-01-15' THEN NULL ELSE day END AS VARCHAR) AS value
     FROM (SELECT *, coalesce(TRY_CAST(CASE WHEN raw LIKE '%-%' THEN raw END AS DATE),
                              CAST(try_strptime(raw, ['%-m/%-d/%Y', '%Y%m%d']) AS DATE)) AS day
           FROM (SELECT *, {_DAY} AS raw FROM events) r) v
@@ -153,7 +153,7 @@ _DAY = f"""
 def parse_date(spark, folder):
     rows = table(spark, folder, "events").withColumn("raw", F.expr(_DAY))
     value = cleaning.future(cleaning.date(F.col("raw")), "null", AS_OF, "date")
-    return rows.select("event_id", "raw", value.alias("value"))
+    return rows.select("event_id", "raw", value.cast("string").alias("value"))
 
 
 _SHIFTED = """

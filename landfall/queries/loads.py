@@ -131,7 +131,8 @@ def reconcile_counts(spark, folder):
 
 @query(
     """
-    SELECT "table", status, reason, offered, landed FROM (
+    SELECT "table", status, reason, CAST(offered AS VARCHAR) AS offered,
+           CAST(landed AS VARCHAR) AS landed FROM (
         SELECT 'customer' AS "table", 'success' AS status, CAST(NULL AS VARCHAR) AS reason,
                count(*) AS offered, count(*) AS landed FROM customer
         UNION ALL SELECT 'supplier', 'success', NULL, count(*), count(*) FROM supplier
@@ -164,14 +165,16 @@ def run_report(spark, folder):
         spec("region"),
     ]
     chosen, left_out = select_specs(specs, exclude={"region"})
-    return load_all(
+    report = load_all(
         spark,
         chosen,
         load_time(spark),
         workers=4,
         left_out=left_out,
         expected=("customer", "partsupp"),
-    ).select("table", "status", "reason", "offered", "landed")
+    )
+    counts = (F.col(c).cast("string").alias(c) for c in ("offered", "landed"))
+    return report.select("table", "status", "reason", *counts)
 
 
 @query(
