@@ -143,55 +143,56 @@ def _by_tally(
 ) -> DataFrame:
     """Pick the rows by what is known of their keys.
 
-    Mostly either the new or the known keys are few; then these are broadcast
-    and the wide rows are filtered where they are read. Else the wide rows are
-    shuffled, but for those of hot keys, which are few: a key is hot from
-    ``hot_rows`` rows on, or from more if the keys of that many rows might be
-    too many to broadcast. Rows of keys that occur once pass by the dedupe in
-    the same manner.
+    Rows of new keys are picked, with ``dedupe`` apart for keys that occur once
+    and for keys to dedupe. Mostly either the keys wanted or all others are few;
+    then these are broadcast and the wide rows are filtered where they are read.
+    Else the wide rows are shuffled, but for those of hot keys, which are few: a
+    key is hot from ``hot_rows`` rows on, or from more if the keys of that many
+    rows might be too many to broadcast.
     """
     keyed = batch.filter(ref(key).isNotNull())
-    is_fresh, is_repeated, cost = ~ref(KNOWN), ~ref(KNOWN) & (ref(ROWS) > 1), _cost(tally, key)
-    sizes = {
-        "fresh": F.sum(F.when(is_fresh, cost)),
-        "met": F.sum(F.when(~is_fresh, cost)),
-        "repeated": F.sum(F.when(is_repeated, cost)),
-        "rows": F.sum(ROWS),
-        "most": F.max(ROWS),
-        "widest": F.max(cost),
-    }
-    size = tally.agg(*(F.coalesce(v, F.lit(0)).alias(n) for n, v in sizes.items())).first()
+    is_fresh, once, cost = ~ref(KNOWN), ref(ROWS) == 1, _cost(tally, key)
+    size = tally.agg(
+        F.coalesce(F.sum(F.when(is_fresh & once, cost)), F.lit(0)).alias("once"),
+        F.coalesce(F.sum(F.when(is_fresh & ~once, cost)), F.lit(0)).alias("more"),
+        F.coalesce(F.sum(cost), F.lit(0)).alias("all"),
+        F.coalesce(F.max(cost), F.lit(0)).alias("widest"),
+        F.coalesce(F.sum(ROWS), F.lit(0)).alias("rows"),
+        F.coalesce(F.max(ROWS), F.lit(0)).alias("most"),
+    ).first()
+    # So many rows a key that all such keys together fit the limit.
+    hot_rows = max(hot_rows, size["rows"] * size["widest"] // broadcast_bytes + 1)
+    is_hot = ref(ROWS) >= hot_rows
 
     def keys(condition: Column) -> DataFrame:
         return tally.filter(condition).select(ref(key))
 
-    if size["fresh"] == 0:
-        found = keyed.limit(0)
-    elif size["met"] == 0:
-        found = keyed
-    elif size["fresh"] <= broadcast_bytes:
-        found = _within(keyed, F.broadcast(keys(is_fresh)), key)
-    elif size["met"] <= broadcast_bytes:
-        found = _without(keyed, F.broadcast(keys(~is_fresh)), key)
-    else:
-        # So many rows a key that all such keys together fit the limit.
-        hot_rows = max(hot_rows, size["rows"] * size["widest"] // broadcast_bytes + 1)
-        is_hot = ref(ROWS) >= hot_rows
+    def pick(wanted: Column, bytes_wanted: int) -> DataFrame:
+        if bytes_wanted == 0:
+            return keyed.limit(0)
+        if bytes_wanted == size["all"]:
+            return keyed
+        if bytes_wanted <= broadcast_bytes:
+            return _within(keyed, F.broadcast(keys(wanted)), key)
+        if size["all"] - bytes_wanted <= broadcast_bytes:
+            return _without(keyed, F.broadcast(keys(~wanted)), key)
         if size["most"] < hot_rows:
-            found = _within(keyed, keys(is_fresh), key)
-        else:
-            cold = _without(keyed, F.broadcast(keys(is_hot)), key)
-            found = _within(cold, keys(is_fresh & ~is_hot), key).unionByName(
-                _within(keyed, F.broadcast(keys(is_fresh & is_hot)), key)
-            )
-    if dedupe and 0 < size["repeated"] <= broadcast_bytes:
-        repeated = F.broadcast(keys(is_repeated))
-        single = _without(found, repeated, key)
-        found = single.unionByName(first_per_key(_within(found, repeated, key), key, order_by))
-    elif dedupe and size["repeated"]:
-        found = first_per_key(found, key, order_by)
+            return _within(keyed, keys(wanted), key)
+        cold = _without(keyed, F.broadcast(keys(is_hot)), key)
+        return _within(cold, keys(wanted & ~is_hot), key).unionByName(
+            _within(keyed, F.broadcast(keys(wanted & is_hot)), key)
+        )
+
+    fresh = size["once"] + size["more"]
+    if dedupe:
+        repeated = pick(is_fresh & ~once, size["more"])
+        found = pick(is_fresh & once, size["once"]).unionByName(
+            first_per_key(repeated, key, order_by)
+        )
+    else:
+        found = pick(is_fresh, fresh)
     found = found.unionByName(batch.filter(ref(key).isNull()))
-    return found.hint("rebalance") if compact and size["fresh"] <= broadcast_bytes else found
+    return found.hint("rebalance") if compact and fresh <= broadcast_bytes else found
 
 
 def first_per_key(df: DataFrame, key: str, order_by: Sequence[str | Column] = ()) -> DataFrame:
