@@ -40,8 +40,8 @@ DIGESTS: dict[str, Callable[[Column], Column]] = {
     "sha2_256": lambda text: F.sha2(text, 256),
 }
 
-# Length of a digest in hex characters.
-KEY_BYTES = {"sha3_512": 128, "sha2_512": 128, "sha2_256": 64}
+# Length of a digest in hex digits.
+HEX_DIGITS = {"sha3_512": 128, "sha2_512": 128, "sha2_256": 64}
 
 
 def _holds(data_type: T.DataType, kinds: tuple[type, ...]) -> bool:

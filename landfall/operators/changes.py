@@ -17,7 +17,7 @@ ROW_BYTES = 128
 # A key held by this many rows of the batch is too much for one join task.
 HOT_ROWS = 1_000_000
 
-ROWS, KNOWN = "__rows", "__known"
+KEY, ROWS, KNOWN = "__key", "__rows", "__known"
 
 
 def new_rows(
@@ -29,7 +29,7 @@ def new_rows(
     order_by: Sequence[str | Column] = (),
     batch_rows: int | None = None,
     existing_rows: int | None = None,
-    key_bytes: int | None = None,
+    hex_digits: int | None = None,
     existing_buckets: int | None = None,
     compact: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
@@ -43,8 +43,9 @@ def new_rows(
 
     The sizes of both sides decide the way. They are counted unless given, and
     over columnar files a count reads footers only. Only keys that are measured
-    to take at most ``broadcast_bytes`` are ever broadcast; ``key_bytes``, the
-    length of every key, saves the measuring. ``existing_buckets`` says that
+    to take at most ``broadcast_bytes`` are ever broadcast. ``hex_digits`` says
+    that keys are hex digests of that length: it saves the measuring, and large
+    sets of keys travel as bytes, half as long. ``existing_buckets`` says that
     ``existing`` is a table in that many buckets by key. ``compact`` brings the
     new rows together in few partitions if they turn out to be few among many
     rows read, so that writing them does not leave a small file per task.
@@ -54,7 +55,7 @@ def new_rows(
       they are read, so the large target is not shuffled;
     * both large, or a large batch to dedupe: see :func:`_tally`.
     """
-    limits = (key, key_bytes, broadcast_bytes)
+    limits = (key, hex_digits, broadcast_bytes)
     if existing is not None and existing_rows is None:
         existing_rows = existing.count()
     held = existing.select(ref(key)) if existing_rows else None
@@ -68,8 +69,13 @@ def new_rows(
     if held is None and not dedupe:
         return kept
     if not _fits(batch, batch_rows, *limits):
-        tally = _tally(kept, held, key, existing_buckets)
-        return _by_tally(kept, tally, key, dedupe, order_by, compact, broadcast_bytes, hot_rows)
+        # Buckets are by the key as it stands.
+        packed = hex_digits if not existing_buckets else None
+        tally = _tally(kept, held, key, packed, existing_buckets)
+        rows = _by_tally(
+            kept, tally, key, packed, dedupe, order_by, compact, broadcast_bytes, hot_rows
+        )
+        return rows.select(*map(ref, batch.columns))
     if held is not None:
         offered = F.broadcast(batch.select(ref(key)))
         met = held.join(offered, key, "left_semi").distinct()
@@ -108,8 +114,28 @@ def _within(batch: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return batch.join(keys, key, "left_semi").select(*map(ref, batch.columns))
 
 
+def _as_bytes(key: str) -> Column:
+    """A digest as bytes, of half its length.
+
+    Never NULL: Catalyst would check for it before a join, and make the digest
+    once more for that.
+    """
+    return F.coalesce(F.unhex(ref(key)), F.lit("").cast("binary"))
+
+
+def _checked(key: str, hex_digits: int) -> Column:
+    """A key that is no digest of that length stops the job."""
+    wrong = F.raise_error(F.concat(F.lit(f"a key is not {hex_digits} hex digits: "), ref(key)))
+    good = (F.length(ref(key)) == hex_digits) & F.unhex(ref(key)).isNotNull()
+    return F.when(good, ref(key)).otherwise(wrong.cast("string"))
+
+
 def _tally(
-    batch: DataFrame, held: DataFrame | None, key: str, buckets: int | None
+    batch: DataFrame,
+    held: DataFrame | None,
+    key: str,
+    hex_digits: int | None,
+    buckets: int | None,
 ) -> DataFrame:
     """How many rows of the batch each key has, and whether it is known.
 
@@ -118,20 +144,23 @@ def _tally(
     the counted keys of the batch are sent to the buckets instead.
     """
     use_checkpoints(batch.sparkSession)
-    seen = batch.filter(ref(key).isNotNull()).select(ref(key))
+    seen = batch.filter(ref(key).isNotNull()).select(ref(key).alias(KEY))
+    if hex_digits:
+        seen = seen.select(_checked(KEY, hex_digits).alias(KEY)).select(_as_bytes(KEY).alias(KEY))
     if held is None or buckets:
-        tally = seen.groupBy(ref(key)).agg(F.count(F.lit(1)).alias(ROWS))
+        tally = seen.groupBy(KEY).agg(F.count(F.lit(1)).alias(ROWS))
         is_known = F.lit(False)
         if held is not None:
-            known = held.filter(ref(key).isNotNull()).distinct().withColumn(KNOWN, F.lit(True))
-            tally = tally.repartition(buckets, ref(key)).join(known, key, "left")
+            known = held.filter(ref(key).isNotNull()).distinct()
+            known = known.select(ref(key).alias(KEY), F.lit(True).alias(KNOWN))
+            tally = tally.repartition(buckets, KEY).join(known, KEY, "left")
             is_known = ref(KNOWN).isNotNull()
-        return tally.select(ref(key), ref(ROWS), is_known.alias(KNOWN)).checkpoint()
-    known = held.filter(ref(key).isNotNull())
+        return tally.select(KEY, ROWS, is_known.alias(KNOWN)).checkpoint()
+    known = held.select((F.unhex(ref(key)) if hex_digits else ref(key)).alias(KEY))
     return (
-        seen.select(ref(key), F.lit(1).alias(ROWS), F.lit(False).alias(KNOWN))
-        .union(known.select(ref(key), F.lit(0), F.lit(True)))
-        .groupBy(ref(key))
+        seen.select(KEY, F.lit(1).alias(ROWS), F.lit(False).alias(KNOWN))
+        .union(known.filter(ref(KEY).isNotNull()).select(KEY, F.lit(0), F.lit(True)))
+        .groupBy(KEY)
         .agg(F.sum(ROWS).alias(ROWS), F.max(KNOWN).alias(KNOWN))
         .filter(ref(ROWS) > 0)
         .checkpoint()
@@ -139,7 +168,7 @@ def _tally(
 
 
 def _by_tally(
-    batch, tally, key, dedupe, order_by, compact, broadcast_bytes, hot_rows
+    batch, tally, key, hex_digits, dedupe, order_by, compact, broadcast_bytes, hot_rows
 ) -> DataFrame:
     """Pick the rows by what is known of their keys.
 
@@ -150,8 +179,10 @@ def _by_tally(
     key is hot from ``hot_rows`` rows on, or from more if the keys of that many
     rows might be too many to broadcast.
     """
-    keyed = batch.filter(ref(key).isNotNull())
-    is_fresh, once, cost = ~ref(KNOWN), ref(ROWS) == 1, _cost(tally, key)
+    keyed, on = batch.filter(ref(key).isNotNull()), key
+    if hex_digits:
+        keyed, on = keyed.withColumn(KEY, _as_bytes(key)), KEY
+    is_fresh, once, cost = ~ref(KNOWN), ref(ROWS) == 1, _cost(tally, KEY)
     size = tally.agg(
         F.coalesce(F.sum(F.when(is_fresh & once, cost)), F.lit(0)).alias("once"),
         F.coalesce(F.sum(F.when(is_fresh & ~once, cost)), F.lit(0)).alias("more"),
@@ -165,7 +196,7 @@ def _by_tally(
     is_hot = ref(ROWS) >= hot_rows
 
     def keys(condition: Column) -> DataFrame:
-        return tally.filter(condition).select(ref(key))
+        return tally.filter(condition).select(ref(KEY).alias(on))
 
     def pick(wanted: Column, bytes_wanted: int) -> DataFrame:
         if bytes_wanted == 0:
@@ -173,14 +204,14 @@ def _by_tally(
         if bytes_wanted == size["all"]:
             return keyed
         if bytes_wanted <= broadcast_bytes:
-            return _within(keyed, F.broadcast(keys(wanted)), key)
+            return _within(keyed, F.broadcast(keys(wanted)), on)
         if size["all"] - bytes_wanted <= broadcast_bytes:
-            return _without(keyed, F.broadcast(keys(~wanted)), key)
+            return _without(keyed, F.broadcast(keys(~wanted)), on)
         if size["most"] < hot_rows:
-            return _within(keyed, keys(wanted), key)
-        cold = _without(keyed, F.broadcast(keys(is_hot)), key)
-        return _within(cold, keys(wanted & ~is_hot), key).unionByName(
-            _within(keyed, F.broadcast(keys(wanted & is_hot)), key)
+            return _within(keyed, keys(wanted), on)
+        cold = _without(keyed, F.broadcast(keys(is_hot)), on)
+        return _within(cold, keys(wanted & ~is_hot), on).unionByName(
+            _within(keyed, F.broadcast(keys(wanted & is_hot)), on)
         )
 
     fresh = size["once"] + size["more"]
@@ -191,7 +222,7 @@ def _by_tally(
         )
     else:
         found = pick(is_fresh, fresh)
-    found = found.unionByName(batch.filter(ref(key).isNull()))
+    found = found.drop(KEY).unionByName(batch.filter(ref(key).isNull()))
     return found.hint("rebalance") if compact and fresh <= broadcast_bytes else found
 
 

@@ -10,7 +10,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..functions.digest import KEY_BYTES
+from ..functions.digest import HEX_DIGITS
 from ..operators.audit import stamp
 from ..operators.changes import new_rows
 from ..operators.clean import clean, settle_future
@@ -206,7 +206,7 @@ def fill(
             dedupe=spec.one_per_key,
             batch_rows=offered,
             existing_rows=before,
-            key_bytes=KEY_BYTES[spec.key_digest],
+            hex_digits=HEX_DIGITS[spec.key_digest],
             existing_buckets=target.buckets,
             compact=not target.buckets,
         )

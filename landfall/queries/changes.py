@@ -41,7 +41,7 @@ def new_rows_by_content_key(spark, folder):
     keyed = add_key(clean_names(spaced), "order_key", encoding="compat", digest="sha2_256")
     held = add_key(_loaded(orders), "order_key", encoding="compat", digest="sha2_256")
     stamped = stamp(keyed, "ORDERS", AS_OF)
-    fresh = new_rows(stamped, held.select("order_key"), "order_key", key_bytes=64)
+    fresh = new_rows(stamped, held.select("order_key"), "order_key", hex_digits=64)
     return wall_clock(fresh.select("order_key", *ORDERS, *AUDIT_COLUMNS))
 
 

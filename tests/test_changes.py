@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter
 
 import pytest
@@ -142,6 +143,41 @@ def test_dedupe_limits_ranks_before_the_shuffle(spark):
     assert "Partial" in text and text.index("Exchange hashpartitioning") < text.index("Partial")
 
 
+@pytest.mark.parametrize("dedupe", [False, True])
+@pytest.mark.parametrize("way", WAYS)
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    batch=st.lists(st.tuples(KEY, st.integers(0, 3)), max_size=25),
+    held=st.lists(KEY, max_size=12),
+)
+def test_every_way_is_right_for_digests(spark, way, dedupe, batch, held):
+    def digested(key):
+        return key and hashlib.sha256(key.encode()).hexdigest()
+
+    batch = [(digested(k), v) for k, v in batch]
+    # Keys of another making in the target match nothing.
+    held = [digested(k) for k in held] + ["no digest", "", "0A"]
+    rows = new_rows(
+        spark.createDataFrame(batch, SHAPE),
+        spark.createDataFrame([(k,) for k in held], "k string"),
+        "k",
+        dedupe=dedupe,
+        order_by=["v"],
+        hex_digits=64,
+        **WAYS[way],
+    )
+    assert found(rows) == brute_force(batch, held, dedupe)
+    assert rows.columns == ["k", "v"]
+
+
+@pytest.mark.parametrize("key", ["abcd", "z" * 64, "A" * 63])
+def test_keys_that_are_no_digests_stop_the_job(spark, key):
+    batch = spark.createDataFrame([(key, 1)], SHAPE)
+    held = spark.createDataFrame([("x",)], "k string")
+    with pytest.raises(Exception, match="a key is not 64 hex digits"):
+        new_rows(batch, held, "k", hex_digits=64, **BOTH_LARGE, broadcast_bytes=1).collect()
+
+
 def test_long_keys_are_not_broadcast_for_being_few(spark):
     batch = spark.createDataFrame([("x" * 5000, 1), ("y" * 5000, 2)], SHAPE)
     held = batch.limit(1).select("k")
