@@ -44,8 +44,8 @@ def new_rows(
     The sizes of both sides decide the way. They are counted unless given, and
     over columnar files a count reads footers only. Only keys that are measured
     to take at most ``broadcast_bytes`` are ever broadcast. ``hex_digits`` says
-    that keys are hex digests of that length: it saves the measuring, and large
-    sets of keys travel as bytes, half as long. ``existing_buckets`` says that
+    that the batch's keys are hex digests of that length: it saves the measuring,
+    and large sets of keys travel as bytes, half as long. ``existing_buckets`` says that
     ``existing`` is a table in that many buckets by key. ``compact`` brings the
     new rows together in few partitions if they turn out to be few among many
     rows read, so that writing them does not leave a small file per task.
@@ -59,6 +59,9 @@ def new_rows(
     if existing is not None and existing_rows is None:
         existing_rows = existing.count()
     held = existing.select(ref(key)) if existing_rows else None
+    if held is not None and hex_digits:
+        # Keys of another making match none of the batch's, and may be of any length.
+        held = held.filter(F.length(ref(key)) == hex_digits)
     if batch_rows is None and (dedupe or held is not None):
         batch_rows = batch.count()
     few = held is not None and _fits(held, existing_rows, *limits)

@@ -186,6 +186,15 @@ def test_long_keys_are_not_broadcast_for_being_few(spark):
     assert "LeftAnti, BuildRight" not in plan(fresh)
 
 
+def test_long_foreign_keys_are_left_out_of_a_broadcast_of_digests(spark):
+    key = hashlib.sha256(b"a").hexdigest()
+    batch = spark.createDataFrame([(key, 1)], SHAPE)
+    held = spark.createDataFrame([("x" * 100_000,), (key,)], "k string")
+    fresh = new_rows(batch, held, "k", hex_digits=64, broadcast_bytes=1000)
+    assert "length(k" in plan(fresh) and "BroadcastHashJoin" in plan(fresh)
+    assert fresh.isEmpty()
+
+
 def test_number_keys(spark):
     batch = spark.range(10).selectExpr("id AS k", "id AS v")
     for sizes in WAYS.values():

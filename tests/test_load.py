@@ -70,6 +70,16 @@ def test_incremental(spark, target):
     assert (third.status, third.reason, third.landed) == ("success", "no new rows", 0)
 
 
+def test_other_file_formats(spark, tmp_path):
+    orc = Target(str(tmp_path / "orc"), format="orc")
+    for records in ([(1, "a")], [(1, "a"), (2, "b")]):
+        load_table(spark, spec(frame(spark, *records), landing=orc), NOW)
+    assert held(spark, orc) == Counter([(1, "a"), (2, "b")])
+    copied = Target(str(tmp_path / "copy"))
+    load_table(spark, spec(TableSource(orc.path, format="orc"), landing=copied, mode="historical"))
+    assert held(spark, copied) == held(spark, orc)
+
+
 def test_batch_duplicates_stay_without_dedupe(spark, target):
     twice = spec(frame(spark, (1, "a"), (1, "a")), landing=target, dedupe=False)
     assert load_table(spark, twice).landed == 2
