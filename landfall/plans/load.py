@@ -184,14 +184,14 @@ def fill(
 ) -> tuple[int, int, int]:
     """Write a batch to one target by the spec's mode; rows before, written, after."""
     key = spec.key_column
-    held = target.read(spark)
+    held = None if spec.replaces else target.read(spark)
     before = 0 if held is None else target.count(spark, held)
     if held is None and spec.mode not in ("historical", "incremental"):
         raise TargetAbsent("target does not exist")
-    if held is not None and not spec.replaces:
+    if held is not None:
         _check_types(batch, target, held)
     if spec.replaces:
-        before, write, rows = 0, target.overwrite, batch
+        write, rows = target.overwrite, batch
     elif spec.mode in ("append", "truncate_append"):
         if spec.mode == "truncate_append":
             target.truncate(spark, batch.schema, key)

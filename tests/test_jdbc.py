@@ -193,3 +193,13 @@ def test_database_as_warehouse(spark, tmp_path):
     emptied = load("truncate_append")
     assert (emptied.warehouse_before, emptied.warehouse_after) == (0, 150)
     assert load("historical").warehouse_after == 150
+
+
+def test_replacing_needs_no_way_to_ask_for_the_table(spark):
+    url = f"jdbc:derby:memory:r{uuid.uuid4().hex};create=true"
+    target = Target(format="jdbc", options={"url": url, "dbtable": "APP.NATION"})
+    spec = TableSpec(
+        "nation", TableSource(f"{FOLDER}/nation.parquet"), "CRM", mode="historical", warehouse=target
+    )
+    for _run in range(2):
+        assert load_table(spark, spec).warehouse_after == 25
