@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import saved
+from .common import drawn, saved
 from .statistics import COUNTS, features, text_counts
 
 TRAIN_ROWS = 20_000
@@ -118,18 +118,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def fit_quality(counted: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Boosted | None:
     """Train on at most `train_rows` labelled rows outside the held-out fold."""
     known = labels.select("doc_id", "quality").filter("quality IN (0, 1)").distinct()
-    drawn = (
-        counted.select("doc_id", "counts")
-        .join(known.filter(~held_out()), "doc_id")
-        .select("doc_id", "counts.*", "quality")
-        .orderBy(F.xxhash64("doc_id"), "quality", *COUNTS)
-        .limit(train_rows)
-        .toPandas()
-    )
-    if drawn.empty:
+    rows = counted.join(known.filter(~held_out()), "doc_id").select("doc_id", "counts.*", "quality")
+    sample = drawn(rows, train_rows, "doc_id", "quality", *COUNTS).toPandas()
+    if sample.empty:
         return None
-    x = inputs({name: drawn[name].to_numpy() for name in COUNTS})
-    return train(x, drawn["quality"].to_numpy(float))
+    x = inputs({name: sample[name].to_numpy() for name in COUNTS})
+    return train(x, sample["quality"].to_numpy(float))
 
 
 def quality_score(model: Boosted | None, counts: Column) -> Column:

@@ -6,6 +6,7 @@ import atexit
 import os
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,14 +25,26 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", home)
 
 
+# Spark drops a query's shuffle files when it ends, not when the driver collects its garbage.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, purpose: str) -> DataFrame:
     """The frame as a table in the shared folder, which outlives any executor.
 
-    The table goes when the driver's process ends.
+    The shuffle files behind it go at once, the table when the driver's process ends.
     """
     spark = df.sparkSession
     path = new_folder(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_TIDY)
+        else:
+            spark.conf.set(_TIDY, before)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -42,6 +55,18 @@ def _remove(spark: SparkSession, path: str) -> None:
         files.delete(place, True)
 
 
+def drawn(rows: DataFrame, most: int, *order: str) -> DataFrame:
+    """At most so many rows, drawn by a hash of the columns named, the same ones every time.
+
+    A threshold on the hash thins the rows where they lie, so that little more than
+    the sample itself travels.
+    """
+    grid = 1 << 30
+    share = min(1.0, 1.2 * most / max(1, rows.count()))
+    at = F.pmod(F.xxhash64(*order), F.lit(grid))
+    return rows.filter(at < int(share * grid)).orderBy(at, *order).limit(most)
+
+
 def text_of(name: str = "text") -> Column:
     """A text column with NULL as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -58,6 +83,25 @@ def numbered(words: list, known: dict | None = None) -> np.ndarray:
     return np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
 
 
+_HASHES: dict[bytes, int] = {}
+REMEMBERED = 500_000
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of each word; a worker remembers those of words it has met."""
+    if len(_HASHES) > REMEMBERED:
+        _HASHES.clear()
+    known, digest = _HASHES, xxhash.xxh3_64_intdigest
+    return np.fromiter(
+        (known.get(w) or known.setdefault(w, digest(w)) for w in words), np.uint64, len(words)
+    )
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of runs of words out of the hashes of their two parts."""
+    return mix(a * np.uint64(0x9E3779B97F4A7C15) + b)
+
+
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finalizer: distinct inputs stay distinct, bits become even."""
     x = x.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & (2**64 - 1))

@@ -85,3 +85,28 @@ FROM d JOIN r USING (source, lang, topic), s
 
 
 MIXING = _mixing()
+
+SUBSTRINGS = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), w AS MATERIALIZED (
+  SELECT doc_id, s, md5(array_to_string(words[s:s + 19], ' ')) AS path
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM d)
+), again AS (
+  SELECT doc_id, s FROM w
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY doc_id NULLS LAST, s) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, s + i AS place FROM again, range(0, 20) AS r(i)
+), each AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM d
+), left_over AS (
+  SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.place) AS kept, count(*) AS n
+  FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.place = g.place
+  GROUP BY e.doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (doc_id)
+"""

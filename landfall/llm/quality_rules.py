@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import saved
+from .common import drawn, saved
 from .statistics import COUNTS, FEATURES, features, text_counts
 
 MIN_WORDS = 50
@@ -160,15 +160,10 @@ def fit_rules(
     counts = F.col("counts")
     rows = counted.select("doc_id", "counts").join(known, "doc_id")
     rows = rows.filter(~base_failed(counts["n_words"], counts["n_repeat_words"]))
-    drawn = (
-        rows.orderBy(F.xxhash64("doc_id"), *(counts[name] for name in COUNTS))
-        .limit(sample_rows)
-        .select("counts.*")
-        .toPandas()
-    )
-    if drawn.empty:
+    sample = drawn(rows.select("doc_id", "counts.*"), sample_rows, "doc_id", *COUNTS).toPandas()
+    if sample.empty:
         return Rules(None, 1.0)
-    seen = features({name: drawn[name].to_numpy() for name in COUNTS})
+    seen = features({name: sample[name].to_numpy() for name in COUNTS})
     forest = grow_forest(seen[:, LOOKED_AT])
     bin_ = F.least(F.floor(Rules(forest, 1.0).anomaly(counts) * BINS), F.lit(BINS - 1))
     tally = rows.select(bin_.alias("bin"), "quality").groupBy("bin", "quality").count().collect()

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from . import oracles
 from .boosted_trees import score_documents
 from .common import ship, table
+from .fingerprints import fingerprint_documents
 from .licenses import scan_licences
 from .mixing import mix
 from .pieces import encode_documents, load_vocabulary
 from .quality_rules import quality_rules
+from .repeats import remove_repeats
 from .secrets import scan_secrets
 from .warc import archive_pages
 
@@ -61,6 +63,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents")).drop("spans")
@@ -75,3 +82,9 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query(oracles.SUBSTRINGS)
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return left.withColumnRenamed("kept", "kept_sha256")
