@@ -14,6 +14,7 @@ from .common import ship, table
 from .fingerprints import fingerprint_documents
 from .licenses import scan_licences
 from .mixing import mix
+from .near_dedup import near_duplicates
 from .pieces import encode_documents, load_vocabulary
 from .quality_rules import quality_rules
 from .repeats import remove_repeats
@@ -88,3 +89,8 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeats(table(spark, sf_dir, "documents"), digest=True)
     return left.withColumnRenamed("kept", "kept_sha256")
+
+
+@query()
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
