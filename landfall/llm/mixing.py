@@ -33,7 +33,7 @@ MARGINS = ("source", "lang", "topic")
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 # Share of all tokens to sample.
 SHARE = 0.6
-TOLERANCE = 1e-9
+TOLERANCE = 1e-7
 MOST_ROUNDS = 200
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -68,36 +68,35 @@ def measured(documents: DataFrame) -> DataFrame:
 
 
 def targets(cells: DataFrame, margin: str, power: float) -> DataFrame:
-    """Target share of each value of a margin."""
-    raised = cells.groupBy(margin).agg(F.pow(F.sum("n"), F.lit(power)).alias("raised"))
-    whole = raised.agg(F.sum("raised").alias("whole"))
-    return raised.join(F.broadcast(whole)).select(  # one row
-        margin, (F.col("raised") / F.col("whole")).alias("target")
-    )
+    """The sum of each value of a margin raised to a power; shares of these are the targets."""
+    return cells.groupBy(margin).agg(F.pow(F.sum("n"), F.lit(power)).alias(f"goal_{margin}"))
 
 
 def rake(cells: DataFrame, powers: Mapping[str, float] = POWERS) -> DataFrame:
-    """Cells (margins, `n` tokens) with `weight`, whose sums over each margin are its targets."""
+    """Cells (margins, `n` tokens) with `weight`, whose sums over each margin are its targets.
+
+    Each scaling is a plan of its own, cut off by a checkpoint: one aggregation by the
+    margin and a join of its sums.
+    """
     use_checkpoints(cells.sparkSession)
-    goals = cells
-    for margin in powers:
-        goals = goals.join(
-            targets(cells, margin, powers[margin]).withColumnRenamed("target", f"target_{margin}"),
-            margin,
-        )
-    current = goals.withColumn("weight", F.col("n").cast("double"))
-    names = [*powers, "n", *(f"target_{m}" for m in powers)]
+    current = cells.withColumn("weight", F.col("n").cast("double")).withColumn("off", F.lit(0.0))
+    wholes = {}
+    for margin, power in powers.items():
+        goals = targets(cells, margin, power)
+        current = current.join(goals, margin)
+        wholes[margin] = goals.agg(F.sum(f"goal_{margin}")).first()[0]
+    current = current.checkpoint()
     for _ in range(MOST_ROUNDS):
         current = current.withColumn("off", F.lit(0.0))
         for margin in powers:
             sums = current.groupBy(margin).agg(F.sum("weight").alias("sum"))
-            scale = F.col(f"target_{margin}") / F.col("sum")
-            current = current.join(sums, margin).select(
-                *names,
+            scale = F.col(f"goal_{margin}") / F.lit(wholes[margin]) / F.col("sum")
+            scaled = current.join(sums, margin).select(
+                *(c for c in current.columns if c not in ("weight", "off")),
                 (F.col("weight") * scale).alias("weight"),
                 F.greatest("off", F.abs(scale - 1)).alias("off"),
             )
-        current = current.checkpoint()
+            current = scaled.checkpoint()
         off = current.agg(F.max("off")).first()[0]
         if off is None or off < TOLERANCE:
             return current.select(*powers, "n", "weight")
