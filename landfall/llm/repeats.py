@@ -13,12 +13,12 @@ each node's suffixes only the first stays.
    group is still too large. A group's suffixes are sorted; those that agree over
    WINDOW words hang below one deep node, of which the first suffix is kept, and
    the others are repeats.
-3. The first suffixes of equal nodes of different parts meet in a shuffle by the
-   node's whole prefix. A node has one row a part there, however often its words
-   occur: a passage in a third of all documents is no hot key.
+3. The first suffixes of equal nodes of different parts meet in a shuffle by anchor.
+   A node is there once a part, however often its words occur: a passage in a third
+   of all documents is no hot key.
 4. Repeats are gathered by document and their words left out.
 
-Paths are compared by 128 bits of hashes over their words.
+Paths are compared by 128 bits of hashes, 64 over the anchor and 64 over all words.
 
 Edge cases: a NULL text has no words; texts below WINDOW words lose none. A NULL id
 comes after all others. Rows of equal ids are documents of their own, in the order in
@@ -194,51 +194,70 @@ def deep_nodes(paths: dict[int, np.ndarray], group: int = GROUP) -> np.ndarray:
     return first
 
 
-SUFFIXES = "p long, q long, id long, uid long, start int, starts array<int>"
+SUFFIXES = "anchor long, id long, uid long, start int, paths array<bigint>, starts array<int>"
+_SUFFIXES = ["anchor", "id", "uid", "start", "paths", "starts"]
+
+
+def prefix_hashes(words: np.ndarray) -> dict[int, np.ndarray]:
+    """Hashes of the runs of 1, 2, 4, 8, 16 and WINDOW words, one made of the others."""
+    out = {1: words}
+    for depth in DEPTHS[1:-1]:
+        half = out[depth // 2]
+        out[depth] = joined(half[: -(depth // 2)], half[depth // 2 :])
+    rest = out[WINDOW - DEPTHS[-2]][DEPTHS[-2] :]
+    out[WINDOW] = joined(out[DEPTHS[-2]][: len(rest)], rest)
+    return out
 
 
 def find_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Subtrees of a task's suffixes: each deep node's first suffix, and the repeats by document."""
-    parts: list[tuple[int, int, np.ndarray, dict[int, np.ndarray]]] = []
-    held, number = 0, 0
+    """Subtrees of a task's suffixes: each deep node's first suffix, and the repeats by document.
+
+    First suffixes that stand next to each other and have one anchor go in one row,
+    with the hash of each one's path.
+    """
+    parts: list[tuple[int, int, np.ndarray, np.ndarray, dict[int, np.ndarray]]] = []
+    held = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal parts, held, number
+        nonlocal parts, held
         parts.sort(key=lambda part: part[:2])
         sizes = [len(part[2]) for part in parts]
         id_ = np.repeat([part[0] for part in parts], sizes)
         uid = np.repeat([part[1] for part in parts], sizes)
         start = np.concatenate([part[2] for part in parts])
-        paths = {d: np.concatenate([part[3][d] for part in parts]) for d in (*DEPTHS, -1)}
-        second = paths.pop(-1)
-        first = deep_nodes(paths)
-        keep = first == np.arange(len(first))
-        n = int(keep.sum())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(paths[WINDOW][keep].view(np.int64)),
-                pa.array(second[keep].view(np.int64)),
-                pa.array(id_[keep]),
-                pa.array(uid[keep]),
-                pa.array(start[keep].astype(np.int32)),
-                pa.nulls(n, pa.list_(pa.int32())),
-            ],
-            ["p", "q", "id", "uid", "start", "starts"],
-        )
+        anchor = np.concatenate([part[3] for part in parts])
+        paths = {d: np.concatenate([part[4][d] for part in parts]) for d in DEPTHS}
+        keep = deep_nodes(paths) == np.arange(len(start))
         ids, lists = lists_by(uid[~keep], start[~keep].astype(np.int32))
         none = pa.array(np.zeros(len(ids), np.int64))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(mix(ids).view(np.int64)),
                 none,
-                none,
                 pa.array(ids),
-                pa.array(np.zeros(len(ids), np.int32)),
+                none.cast(pa.int32()),
+                pa.nulls(len(ids), pa.list_(pa.int64())),
                 lists,
             ],
-            ["p", "q", "id", "uid", "start", "starts"],
+            _SUFFIXES,
         )
-        parts, held, number = [], 0, number + 1
+        id_, uid, start, anchor = id_[keep], uid[keep], start[keep], anchor[keep]
+        new = np.ones(len(start), bool)
+        new[1:] = (uid[1:] != uid[:-1]) | (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)
+        heads, lists = lists_by(np.cumsum(new), paths[WINDOW][keep].view(np.int64))
+        first = np.flatnonzero(new)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(anchor[first].view(np.int64)),
+                pa.array(id_[first]),
+                pa.array(uid[first]),
+                pa.array(start[first].astype(np.int32)),
+                lists,
+                pa.nulls(len(first), pa.list_(pa.int32())),
+            ],
+            _SUFFIXES,
+        )
+        parts, held = [], 0
 
     for batch in batches:
         for row in zip(*(batch.column(c) for c in ("id", "uid", "text", "hashes")), strict=True):
@@ -246,12 +265,12 @@ def find_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             wanted = np.unique(row[3].values.to_numpy(zero_copy_only=False)).view(np.uint64)
             words = word_hashes(words_of(text))
             runs, chosen = anchors_of(words)
-            starts = np.flatnonzero(np.isin(runs[chosen], wanted))
-            whole = {d: run_hashes(words, d) for d in DEPTHS}
-            whole[-1] = run_hashes(mix(words, 1), WINDOW)
+            starts = np.flatnonzero(np.isin(runs, wanted)[chosen])
+            hashes = prefix_hashes(words)
             for at in range(0, len(starts), PART):
                 piece = starts[at : at + PART]
-                parts.append((id_, uid, piece, {d: path[piece] for d, path in whole.items()}))
+                paths = {d: path[piece] for d, path in hashes.items()}
+                parts.append((id_, uid, piece, runs[chosen[piece]], paths))
                 held += len(piece)
                 if held >= PART:
                     yield from flush()
@@ -260,14 +279,23 @@ def find_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def repeats(known: DataFrame) -> DataFrame:
-    """`uid` and the starts of its windows that stand earlier in the corpus."""
-    suspects = known.select("id", "uid", "text").join(repeated_anchors(known), "uid")
+    """`uid` and the starts of its windows that stand earlier in the corpus.
+
+    Equal windows have one anchor, so rows are dealt by it, and what is compared
+    within an anchor is the hash of the whole path.
+    """
+    again = saved(repeated_anchors(known), "again")
+    suspects = known.select("id", "uid", "text").join(again, "uid")
     suffixes = suspects.select("id", "uid", "text", "hashes").mapInArrow(find_suffixes, SUFFIXES)
-    node = Window.partitionBy("p", "q", F.col("starts").isNull()).orderBy("id", "uid", "start")
-    placed = suffixes.withColumn("place", F.row_number().over(node))
-    again = placed.filter("starts IS NOT NULL OR place > 1")
-    each = F.coalesce("starts", F.array("start"))
-    return again.groupBy("uid").agg(F.flatten(F.collect_list(each)).alias("starts"))
+    single = suffixes.repartition("anchor").select(
+        "anchor", "id", "uid", "start", "starts", F.posexplode_outer("paths").alias("step", "path")
+    )
+    single = single.withColumn("at", F.col("start") + F.coalesce("step", F.lit(0)))
+    node = Window.partitionBy("anchor", "path").orderBy("id", "uid", "at")
+    placed = single.withColumn("place", F.row_number().over(node))
+    known_again = placed.filter("starts IS NOT NULL OR place > 1")
+    each = F.coalesce("starts", F.array("at"))
+    return known_again.groupBy("uid").agg(F.flatten(F.collect_list(each)).alias("starts"))
 
 
 LEFT = "n_words long, n_removed long, kept string"
