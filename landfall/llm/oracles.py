@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .mixing import MARGINS, POWERS, SHARE
+from .mixing import MARGINS, MOST_ROUNDS, POWERS, SHARE
 from .warc import LEAST_PAYLOAD
 
 WARC = f"""
@@ -21,9 +21,6 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
-ROUNDS = 30
-
-
 def _mixing() -> str:
     """Raking in so many rounds, one common table for each scaling, then the calibration."""
     parts = [
@@ -52,7 +49,7 @@ d AS (
         )
     parts.append("w_0 AS MATERIALIZED (SELECT source, lang, topic, n, n AS weight FROM c)")
     step = 0
-    for _ in range(ROUNDS):
+    for _ in range(MOST_ROUNDS):
         for m in MARGINS:
             parts.append(
                 f"w_{step + 1} AS MATERIALIZED (SELECT source, lang, topic, n, weight * target /"
