@@ -2,7 +2,7 @@
 
 from .contracts import Contract
 from .functions.digest import content_key
-from .functions.names import key_name, qualified_name, snake, staged_name
+from .functions.names import key_name, qualified_name, staged_name
 from .operators.audit import AUDIT_COLUMNS, stamp
 from .operators.changes import first_per_key, new_rows
 from .operators.clean import clean, clean_timestamps, settle_future

@@ -1,7 +1,8 @@
 """Ready contracts for the three lead tables.
 
-Their keys use the ``compat`` encoding with raw extras hashed, so that they
-equal the keys already held by tables loaded before.
+Their keys use the ``compat`` encoding over cleaned values, with raw extras hashed.
+They equal keys made elsewhere only where the cleaning came to the same values, and
+values later than the load are hashed before they are settled.
 """
 
 from __future__ import annotations
@@ -101,7 +102,14 @@ def lead_contracts(system: str, **options) -> dict[str, Contract]:
     }
     return {
         name: Contract(
-            name=name, key=key_name(system, name), extras="hash", **(shape | options)
+            **{
+                "name": name,
+                "key": key_name(system, name),
+                "extras": "hash",
+                "key_encoding": "compat",
+                **shape,
+                **options,
+            }
         )
         for name, shape in shapes.items()
     }

@@ -4,9 +4,10 @@ Two encodings turn a row into one string:
 
 ``compat``  values in frame order, NULLs skipped, joined by ``||``. Rows that
             differ only in where a NULL stands share a key.
-``strict``  fields sorted by name, each as byte length and value, NULL as -1.
+``strict``  fields that are not NULL, sorted by name, each as name and value with
+            their byte lengths; arrays and structs likewise, element by element.
             Different rows give different strings, and neither column order
-            nor session time zone matters.
+            nor session time zone matters, nor a further column that is all NULL.
 """
 
 from __future__ import annotations
@@ -62,7 +63,7 @@ def field_text(field: T.StructField, *, strict: bool, nested: str = "reject") ->
     if isinstance(kind, (T.ArrayType, T.StructType)):
         if nested != "json":
             raise TypeError(f"{field.name}: nested={nested!r} does not hash {kind.simpleString()}")
-        return F.to_json(column)
+        return _nested_text(column, kind) if strict else F.to_json(column)
     if strict and isinstance(kind, T.TimestampType):
         return F.unix_micros(column).cast("string")
     if strict and isinstance(kind, T.BinaryType):
@@ -70,6 +71,34 @@ def field_text(field: T.StructField, *, strict: bool, nested: str = "reject") ->
     return column.cast("string")
 
 
+def _sized(text: Column) -> Column:
+    """Text after its length in bytes; NULL stays NULL."""
+    return F.concat(F.octet_length(text).cast("string"), F.lit("|"), text)
+
+
+def _nested_text(column: Column, kind: T.DataType) -> Column:
+    """Strict text of a value of any type: whole microseconds, hex for bytes, NULLs told apart."""
+    if isinstance(kind, T.ArrayType):
+        each = F.transform(
+            column, lambda e: F.coalesce(_sized(_nested_text(e, kind.elementType)), F.lit("-"))
+        )
+        return F.concat(F.size(column).cast("string"), F.lit("["), F.array_join(each, "|"))
+    if isinstance(kind, T.StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name)
+        parts = [_named(f.name, _nested_text(column[f.name], f.dataType)) for f in fields]
+        return F.when(column.isNotNull(), F.concat_ws("|", F.lit("{"), *parts))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column)
+    return column.cast("string")
+
+
+def _named(name: str, text: Column) -> Column:
+    """Text of a field after its name; NULL stays NULL."""
+    return F.concat(F.lit(f"{len(name.encode())}|{name}|"), _sized(text))
+
+
 def row_text(
     fields: Sequence[T.StructField], *, encoding: str = "strict", nested: str = "reject"
 ) -> Column:
@@ -81,8 +110,7 @@ def row_text(
         raise ValueError(f"unknown key encoding: {encoding!r}")
     parts: list[Column] = []
     for field in sorted(fields, key=lambda f: f.name):
-        text = field_text(field, strict=True, nested=nested)
-        parts += [F.coalesce(F.octet_length(text), F.lit(-1)).cast("string"), text]
+        parts.append(_named(field.name, field_text(field, strict=True, nested=nested)))
     return F.concat_ws("|", *parts) if parts else F.lit("")
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NOT_WORD = re.compile(r"\W+")
-QUALIFIED = re.compile(r'[\w."]+')
+# A bare word, or anything in double quotes.
+IDENTIFIER = re.compile(r'(\w+)|"((?:[^"]|"")+)"')
 
 
 def ref(name: str) -> Column:
@@ -36,11 +37,6 @@ def squashed(name: str) -> str:
     return name.replace("_", "").lower()
 
 
-def snake(name: str) -> str:
-    """``OrderLineType`` -> ``ORDER_LINE_TYPE``, ``XMLFeed`` -> ``XML_FEED``."""
-    return re.sub(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", name).upper()
-
-
 def staged_name(system: str, table: str) -> str:
     """Name of a staged table."""
     return f"STG_{system.upper()}_{table.upper()}"
@@ -64,11 +60,18 @@ def quote_identifier(name: str, left: str = '"', right: str = '"') -> str:
 
 
 def qualified_name(text: str, default_schema: str = "public") -> QualifiedName:
-    """Check and split a table name before it goes into source SQL."""
-    if not QUALIFIED.fullmatch(text):
-        raise ValueError(f"not a table name: {text!r}")
-    schema, dot, table = text.replace('"', "").partition(".")
-    name = QualifiedName(schema, table) if dot else QualifiedName(default_schema, schema)
-    if not all(name):
+    """Read ``table`` or ``schema.table``, each bare or in double quotes.
+
+    Within quotes any character may stand, dots too, and a quote is written twice.
+    """
+    parts, at = [], 0
+    while found := IDENTIFIER.match(text, at):
+        bare, held = found.groups()
+        parts.append(bare or held.replace('""', '"'))
+        at = found.end()
+        if not text.startswith(".", at):
+            break
+        at += 1
+    if at != len(text) or text.endswith(".") or len(parts) not in (1, 2):
         raise ValueError(f"not a table name: {text!r}")
-    return name
+    return QualifiedName(*([default_schema, *parts][-2:]))

@@ -45,7 +45,9 @@ def new_rows(
     over columnar files a count reads footers only. Only keys that are measured
     to take at most ``broadcast_bytes`` are ever broadcast. ``hex_digits`` says
     that the batch's keys are hex digests of that length: it saves the measuring,
-    and large sets of keys travel as bytes, half as long. ``existing_buckets`` says that
+    and large sets of keys travel as bytes, half as long. Existing keys then count
+    in either case, those that are no digests match nothing, and a key of the batch that
+    is no digest in lower case stops the job, whichever way is taken. ``existing_buckets`` says that
     ``existing`` is a table in that many buckets by key. ``compact`` brings the
     new rows together in few partitions if they turn out to be few among many
     rows read, so that writing them does not leave a small file per task.
@@ -59,9 +61,15 @@ def new_rows(
     if existing is not None and existing_rows is None:
         existing_rows = existing.count()
     held = existing.select(ref(key)) if existing_rows else None
+    if hex_digits:
+        batch = _checked(batch, key, hex_digits)
     if held is not None and hex_digits:
         # Keys of another making match none of the batch's, and may be of any length.
-        held = held.filter(F.length(ref(key)) == hex_digits)
+        digest = (F.length(ref(key)) == hex_digits) & F.unhex(ref(key)).isNotNull()
+        held, plain = held.filter(digest), ref(key) == F.lower(ref(key))
+        # Buckets are by the key as it stands, so they serve only if all are in lower case.
+        if not existing_buckets or not held.filter(~plain).isEmpty():
+            held, existing_buckets = held.select(F.lower(ref(key)).alias(key)), None
     if batch_rows is None and (dedupe or held is not None):
         batch_rows = batch.count()
     few = held is not None and _fits(held, existing_rows, *limits)
@@ -126,11 +134,15 @@ def _as_bytes(key: str) -> Column:
     return F.coalesce(F.unhex(ref(key)), F.lit("").cast("binary"))
 
 
-def _checked(key: str, hex_digits: int) -> Column:
-    """A key that is no digest of that length stops the job."""
-    wrong = F.raise_error(F.concat(F.lit(f"a key is not {hex_digits} hex digits: "), ref(key)))
-    good = (F.length(ref(key)) == hex_digits) & F.unhex(ref(key)).isNotNull()
-    return F.when(good, ref(key)).otherwise(wrong.cast("string"))
+def _checked(batch: DataFrame, key: str, hex_digits: int) -> DataFrame:
+    """The batch, in which a key that is no digest of that length stops the job."""
+    says = F.lit(f"a key is not {hex_digits} hex digits in lower case: ")
+    wrong = F.raise_error(F.concat(says, ref(key))).cast("string")
+    good = ref(key).isNull() | ref(key).rlike(f"^[0-9a-f]{{{hex_digits}}}$")
+    checked = F.when(good, ref(key)).otherwise(wrong)
+    if not batch.schema[key].nullable:
+        checked = F.coalesce(checked, F.lit(""))
+    return batch.withColumn(key, checked)
 
 
 def _tally(
@@ -149,7 +161,7 @@ def _tally(
     use_checkpoints(batch.sparkSession)
     seen = batch.filter(ref(key).isNotNull()).select(ref(key).alias(KEY))
     if hex_digits:
-        seen = seen.select(_checked(KEY, hex_digits).alias(KEY)).select(_as_bytes(KEY).alias(KEY))
+        seen = seen.select(_as_bytes(KEY).alias(KEY))
     if held is None or buckets:
         tally = seen.groupBy(KEY).agg(F.count(F.lit(1)).alias(ROWS))
         is_known = F.lit(False)

@@ -98,7 +98,8 @@ class ContractViolation(ValueError):
 def violations(df: DataFrame, schema: T.StructType, *, types: bool = True) -> list[Violation]:
     """Every missing or mistyped column, in contract order (V1).
 
-    Types are compared in full, with precision and scale; nullability is not.
+    Types are compared in full, with precision and scale; nullability is not,
+    neither of columns nor of elements and fields.
     """
     found = {f.name: f.dataType for f in df.schema.fields}
     faults = []
@@ -106,8 +107,7 @@ def violations(df: DataFrame, schema: T.StructType, *, types: bool = True) -> li
         expected = field.dataType.simpleString()
         if field.name not in found:
             faults.append(Violation(field.name, "missing", expected, None))
-        elif types and found[field.name] != field.dataType:
-            actual = found[field.name].simpleString()
+        elif types and (actual := found[field.name].simpleString()) != expected:
             faults.append(Violation(field.name, "type", expected, actual))
     return faults
 

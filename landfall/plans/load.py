@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.digest import HEX_DIGITS
+from ..functions.names import ref
 from ..operators.audit import stamp
 from ..operators.changes import new_rows
 from ..operators.clean import clean, settle_future
@@ -81,7 +82,7 @@ def prepare(spark: SparkSession, spec: TableSpec, as_of: datetime) -> DataFrame:
         df = validate(conform(df, contract), contract.business, types=False)
         df = clean(df, contract, as_of)
     df = add_key(
-        df, key, encoding=spec.key_encoding, digest=spec.key_digest, nested=spec.nested
+        df, key, encoding=spec.encoding, digest=spec.digest, nested=spec.nested
     )
     if contract is not None:
         df = settle_future(df, contract, as_of)
@@ -144,10 +145,12 @@ def _fill_targets(spark, spec: TableSpec, batch: DataFrame, result: LoadResult)
             if result.offered is None:
                 result.offered = result.landed
         if spec.warehouse:
-            rows, offered = batch, result.offered
-            if spec.landing and _from_landing(spark, spec, result.landing_before):
+            rows, offered, fresh = batch, result.offered, False
+            if spec.landing and spec.replaces:
                 rows, offered = spec.landing.read(spark), result.landing_after
-            counts = fill(spark, spec, spec.warehouse, rows, offered)
+            elif spec.landing and spec.mode in ("incremental", "incremental_insert"):
+                rows, offered, fresh = _missed(spark, spec, batch), None, True
+            counts = fill(spark, spec, spec.warehouse, rows, offered, fresh=fresh)
             result.warehouse_before, result.loaded, result.warehouse_after = counts
             if result.offered is None:
                 result.offered = result.loaded
@@ -158,18 +161,27 @@ def _fill_targets(spark, spec: TableSpec, batch: DataFrame, result: LoadResult)
         result.reason = "no new rows"
 
 
-def _from_landing(spark: SparkSession, spec: TableSpec, landing_before: int) -> bool:
-    """Whether the warehouse takes the whole landed table instead of the batch.
+def _missed(spark: SparkSession, spec: TableSpec, batch: DataFrame) -> DataFrame:
+    """Landed rows whose key the warehouse lacks, and the batch's rows without a key.
 
-    A replaced warehouse copies what was landed. One that is added to needs the
-    batch alone while it is in step with the landed table; if an earlier load
-    failed half way it is not, and all landed rows are looked at.
+    Keys decide, as counts may be equal where rows differ. Only the key columns of
+    both sides are compared; wide rows are read for the keys that are missing, those
+    of the batch as well as what earlier loads that broke off have left behind.
     """
-    if spec.replaces:
-        return True
-    if spec.mode not in ("incremental", "incremental_insert"):
-        return False
-    return spec.warehouse.count(spark) != landing_before
+    key = spec.key_column
+    landed, held = spec.landing.read(spark), spec.warehouse.read(spark)
+    if held is None:
+        return landed
+    missing = new_rows(
+        landed.select(ref(key)).filter(ref(key).isNotNull()),
+        held.select(ref(key)),
+        key,
+        dedupe=True,
+        existing_buckets=spec.warehouse.buckets,
+    )
+    rows = landed.join(missing, key, "left_semi").select(*map(ref, landed.columns))
+    loose = batch.filter(ref(key).isNull())
+    return rows.unionByName(loose, allowMissingColumns=True)
 
 
 def _check_types(batch: DataFrame, target: Target, held: DataFrame) -> None:
@@ -180,9 +192,18 @@ def _check_types(batch: DataFrame, target: Target, held: DataFrame) -> None:
 
 
 def fill(
-    spark: SparkSession, spec: TableSpec, target: Target, batch: DataFrame, offered: int | None
+    spark: SparkSession,
+    spec: TableSpec,
+    target: Target,
+    batch: DataFrame,
+    offered: int | None,
+    *,
+    fresh: bool = False,
 ) -> tuple[int, int, int]:
-    """Write a batch to one target by the spec's mode; rows before, written, after."""
+    """Write a batch to one target by the spec's mode; rows before, written, after.
+
+    ``fresh`` says that the target holds none of the batch's keys.
+    """
     key = spec.key_column
     held = None if spec.replaces else target.read(spark)
     before = 0 if held is None else target.count(spark, held)
@@ -201,12 +222,12 @@ def fill(
         write = target.overwrite if held is None else target.append
         rows = new_rows(
             batch,
-            held,
+            None if fresh else held,
             key,
             dedupe=spec.one_per_key,
             batch_rows=offered,
-            existing_rows=before,
-            hex_digits=HEX_DIGITS[spec.key_digest],
+            existing_rows=None if fresh else before,
+            hex_digits=HEX_DIGITS[spec.digest],
             existing_buckets=target.buckets,
             compact=not target.buckets,
         )

@@ -46,8 +46,9 @@ class TableSpec:
     contract: Contract | None = None
     key: str | None = None
     names: str | None = "strict"
-    key_encoding: str = "strict"
-    key_digest: str = "sha3_512"
+    # Of the key; by default the contract's, without one "strict" and "sha3_512".
+    key_encoding: str | None = None
+    key_digest: str | None = None
     nested: str = "reject"
     dedupe: bool | None = None
     landing: Target | None = None
@@ -74,9 +75,17 @@ class TableSpec:
     def key_column(self) -> str | None:
         return self.key or (self.contract.key if self.contract else None)
 
+    @property
+    def encoding(self) -> str:
+        return self.key_encoding or (self.contract.key_encoding if self.contract else "strict")
+
+    @property
+    def digest(self) -> str:
+        return self.key_digest or (self.contract.key_digest if self.contract else "sha3_512")
+
     @property
     def one_per_key(self) -> bool:
-        return self.key_encoding == "strict" if self.dedupe is None else self.dedupe
+        return self.encoding == "strict" if self.dedupe is None else self.dedupe
 
     @property
     def replaces(self) -> bool:

@@ -114,9 +114,8 @@ def new_rows_deduped_by_tally(spark, folder):
     """
 )
 def new_rows_small_batch(spark, folder):
-    """Parts never sold in large lots, with a limit only the parts stay below."""
+    """Parts never sold in large lots; the fixed limit decides what is broadcast."""
     parts = table(spark, folder, "part")
     lots = table(spark, folder, "lineitem").filter(F.col("l_quantity") >= 45)
     sold = lots.select(F.col("l_partkey").alias("p_partkey"))
-    count = parts.count()
-    return new_rows(parts, sold, "p_partkey", batch_rows=count, broadcast_bytes=count * 150)
+    return new_rows(parts, sold, "p_partkey")

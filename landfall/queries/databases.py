@@ -1,18 +1,11 @@
-"""Database scans, on a database embedded in the driver's own process.
-
-Its tables exist only there, so these two run in local mode, not on a cluster.
-"""
+"""A database embedded in the driver's own process, for tests of scans: no query uses it."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
 from ..functions.names import QualifiedName
-from ..operators.naming import clean_names
-from ..sources.jdbc import Database, JdbcTable, Split
-from .registry import query, table
+from ..sources.jdbc import Database
 
 
 def embedded(name: str | None = None) -> Database:
@@ -24,38 +17,3 @@ def put(database: Database, df, name: str) -> QualifiedName:
     """Copy a frame into the database."""
     df.write.jdbc(database.url, name, mode="overwrite")
     return QualifiedName("APP", name.upper())
-
-
-@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
-def jdbc_partitioned_scan(spark, folder):
-    customer, database = table(spark, folder, "customer"), embedded()
-    name = put(database, customer, "customer")
-    source = JdbcTable(database, name, Split("c_custkey", partitions=4))
-    return source.scan(spark)
-
-
-@query(
-    """
-    SELECT 'SUPPLIER' AS table_name, c.column_name, (SELECT count(*) FROM supplier) AS row_count
-    FROM (VALUES ('s_suppkey'), ('s_name'), ('s_nationkey'), ('s_acctbal')) c(column_name)
-    UNION ALL
-    SELECT 'CUSTOMER', c.column_name, (SELECT count(*) FROM customer)
-    FROM (VALUES ('c_custkey'), ('c_name'), ('c_nationkey'), ('c_acctbal'),
-                 ('c_mktsegment')) c(column_name)
-    """
-)
-def jdbc_catalog(spark, folder):
-    """Tables, columns and row counts, all asked of the database."""
-    database = embedded()
-    for name in ("supplier", "customer"):
-        put(database, table(spark, folder, name), name)
-    found = None
-    for row in database.tables(spark, "app", any_case=True).collect():
-        name = QualifiedName("APP", row.table_name)
-        columns = clean_names(database.columns(spark, name)).select(
-            F.lit(name.table).alias("table_name"),
-            "column_name",
-            F.lit(database.count(spark, name)).cast("bigint").alias("row_count"),
-        )
-        found = columns if found is None else found.unionByName(columns)
-    return found

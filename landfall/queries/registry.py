@@ -74,7 +74,7 @@ def strict_text(*columns: str) -> str:
     parts = []
     for column in sorted(columns):
         text = f"CAST({column} AS VARCHAR)"
-        parts += [f"CAST(coalesce(strlen({text}), -1) AS VARCHAR)", text]
+        parts.append(f"'{len(column)}|{column}|' || CAST(strlen({text}) AS VARCHAR) || '|' || {text}")
     return f"concat_ws('|', {', '.join(parts)})"
 
 

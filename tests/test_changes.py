@@ -156,7 +156,8 @@ def test_every_way_is_right_for_digests(spark, way, dedupe, batch, held):
 
     batch = [(digested(k), v) for k, v in batch]
     # Keys of another making in the target match nothing.
-    held = [digested(k) for k in held] + ["no digest", "", "0A"]
+    held = [digested(k) for k in held] + ["no digest", "", "0A", "z" * 64]
+    held[::2] = [k and k.upper() for k in held[::2]]  # case does not matter
     rows = new_rows(
         spark.createDataFrame(batch, SHAPE),
         spark.createDataFrame([(k,) for k in held], "k string"),
@@ -166,16 +167,17 @@ def test_every_way_is_right_for_digests(spark, way, dedupe, batch, held):
         hex_digits=64,
         **WAYS[way],
     )
-    assert found(rows) == brute_force(batch, held, dedupe)
+    assert found(rows) == brute_force(batch, [k and k.lower() for k in held], dedupe)
     assert rows.columns == ["k", "v"]
 
 
-@pytest.mark.parametrize("key", ["abcd", "z" * 64, "A" * 63])
-def test_keys_that_are_no_digests_stop_the_job(spark, key):
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("key", ["abcd", "z" * 64, "A" * 63, "A" * 64])
+def test_keys_that_are_no_digests_stop_the_job(spark, way, key):
     batch = spark.createDataFrame([(key, 1)], SHAPE)
     held = spark.createDataFrame([("x",)], "k string")
     with pytest.raises(Exception, match="a key is not 64 hex digits"):
-        new_rows(batch, held, "k", hex_digits=64, **BOTH_LARGE, broadcast_bytes=1).collect()
+        new_rows(batch, held, "k", hex_digits=64, **WAYS[way]).collect()
 
 
 def test_long_keys_are_not_broadcast_for_being_few(spark):
