@@ -39,6 +39,13 @@ TIMESTAMP_FORMATS = (
     "d MMM yyyy",
     "yyyy/M/d H:mm:ss",
     "yyyy/M/d",
+    "MMM d yyyy h:mma",
+    "MMM  d yyyy h:mma",
+    "MMM d yyyy",
+    "d-MMM-yyyy H:mm:ss",
+    "d-MMM-yyyy",
+    "yyyy.M.d",
+    "yyyyMMdd H:mm:ss",
     "yyyyMMdd'T'HHmmss",
     "yyyyMMdd",
 )

@@ -280,3 +280,16 @@ def test_compat_key_of_a_contract_is_made_in_frame_order(spark):
     )
     text = "x||2024-01-02 00:00:00||1000.00||g"
     assert prepare(spark, spec, NOW).first().K == hashlib.sha3_512(text.encode()).hexdigest()
+
+
+def test_long_json_is_kept_by_default(spark):
+    shape = Contract(name="t", columns="J string", json=["J"])
+    texts = ['"' + "x" * 21_000_000 + '"', "1" * 5001, '{"' + "n" * 50_001 + '": 1}', "{bad"]
+    rows = spark.createDataFrame([(t,) for t in texts], "J string")
+    kept = [r.n for r in clean(rows, shape, AS_OF).selectExpr("length(J) AS n").collect()]
+    assert kept == [len(texts[0]), 5001, len(texts[2]), None]
+
+
+def test_array_types_are_compared_without_nullability(spark):
+    df = spark.sql("SELECT array(1L, 2L) AS a")
+    assert violations(df, spark.createDataFrame([], "a array<bigint>").schema) == []

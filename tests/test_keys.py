@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.functions.digest import row_text, sha3_512
+from landfall.functions.digest import content_key, row_text, sha3_512
 from landfall.operators.keys import add_key, key_sample
 
 TEXT = st.one_of(st.none(), st.text(alphabet="ab|-1:é😀 ", max_size=4))
@@ -58,6 +58,19 @@ def test_strict_text(spark):
     assert df.select(row_text(df.schema.fields)).first()[0] == "1|y|2|é"
 
 
+def test_a_new_null_column_changes_no_strict_key(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "x string, y int")
+    assert keys(df) == keys(df.selectExpr("*", "CAST(NULL AS string) AS later"))
+
+
+def test_strict_tells_nested_rows_apart(spark):
+    rows = ["TIMESTAMP '2024-01-01 00:00:00.000001Z'", "TIMESTAMP '2024-01-01 00:00:00.000002Z'", "NULL"]
+    union = " UNION ALL ".join(f"SELECT named_struct('t', {r}, 'a', array('x', NULL)) AS s" for r in rows)
+    union += " UNION ALL SELECT named_struct('t', NULL, 'a', array('x')) UNION ALL SELECT NULL"
+    found = spark.sql(union).select(content_key(spark.sql(union).schema.fields, nested="json")).collect()
+    assert len({r[0] for r in found}) == 5
+
+
 def test_strict_ignores_column_order_and_zone(spark):
     df = spark.sql("SELECT 1 AS a, TIMESTAMP '2024-01-01 00:00:00Z' AS t, 'x' AS b")
     before = keys(df)
