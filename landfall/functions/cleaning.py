@@ -124,14 +124,14 @@ def shape(pattern: str) -> str | None:
 
 
 # Text that can be a date at all: four characters or more, with a digit.
-_DATELIKE = r"(?s)^(?=.{4}).*\d"
+DATELIKE = r"(?s)^(?=.{4}).*\d"
 
 
 def _fitting(text: Column, pattern: str) -> Column:
     """The text if it is date-like and has the pattern's shape, else NULL."""
     expected = shape(pattern)
     if expected is None:
-        expected = _DATELIKE
+        expected = DATELIKE
     elif "yyyy" not in pattern:
         expected = expected.replace("^", "^(?=.{4})", 1)
     return F.when(text.rlike(expected), text)

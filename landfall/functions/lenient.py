@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .cleaning import DATELIKE
+
 
 def python_json(text: Column) -> Column:
     """The text if Python's ``json`` reads it, else NULL."""
@@ -68,7 +70,7 @@ def free_form_timestamp(text: Column, as_of: datetime, zone: str) -> Column:
         values = [instant(read(v)) for v in texts.to_pylist()]
         return pa.array(values, pa.timestamp("us", "UTC"))
 
-    return parse(text)
+    return parse(F.when(text.rlike(DATELIKE), text))
 
 
 def free_form_date(text: Column, as_of: datetime, zone: str) -> Column:
@@ -80,4 +82,4 @@ def free_form_date(text: Column, as_of: datetime, zone: str) -> Column:
         values = [read(v) for v in texts.to_pylist()]
         return pa.array([None if v is None else v.date() for v in values], pa.date32())
 
-    return parse(text)
+    return parse(F.when(text.rlike(DATELIKE), text))
