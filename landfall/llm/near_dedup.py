@@ -4,8 +4,10 @@ A text's shingles are its runs of `K` words, each told apart from its equals by
 number of its occurrence. Each of `SKETCHES` hash functions picks the `MINIMA`
 smallest of them, puts them back in text order and hashes the tuple; so a tuple agrees
 in two texts that share the shingles in the same order. Every pair of neighbouring
-tuples is a key. Texts that share a key become candidates: each with the first text
-that has the key, so a group of any size costs as many pairs as it has texts.
+tuples is a key. Texts that share a key become candidates: each with the key's hub, the
+text that meets most others, so a group of any size costs as many pairs as it has texts.
+Texts of a key that are in different classes after that are compared with its next
+hub, and so on, until a round finds no more links.
 
 A candidate pair counts if the best alignment of the two rows of shingles matches so
 many that matches / (all - matches) is at least `SIMILARITY`. The alignment keeps to
@@ -196,12 +198,52 @@ def prepared(documents: DataFrame) -> DataFrame:
     )
 
 
-def candidate_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs `a`, `b` of a key's first text and each other text that has it, each pair once."""
+def shared_keys(rows: DataFrame) -> DataFrame:
+    """`key`, `uid` and `place` of every key that several texts have.
+
+    A text's place is the number of texts it meets over all its keys, then its number:
+    the greatest place in a family of edits is that of a text from its middle.
+    """
     keyed = rows.select("uid", F.explode("keys").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("uid").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    pairs = keyed.join(hubs.select("key", "a"), "key").filter("uid <> a")
-    return pairs.select("a", F.col("uid").alias("b")).distinct()
+    often = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = saved(keyed.join(often, "key"), "shared")
+    met = shared.groupBy("uid").agg(F.sum("n").alias("met"))
+    place = F.struct("met", (-F.col("uid")).alias("less")).alias("place")
+    return saved(shared.select("key", "uid").join(met, "uid").select("key", "uid", place), "places")
+
+
+def next_hubs(shared: DataFrame, before: DataFrame | None) -> DataFrame:
+    """Each key's text of the greatest place below the hub before: `key`, `hub`, `hub_root`."""
+    if before is not None:
+        shared = shared.join(before.select("key", "hub"), "key").filter("place < hub")
+    best = shared.groupBy("key").agg(F.max(F.struct("place", "root")).alias("best"))
+    return best.select("key", F.col("best.place").alias("hub"), F.col("best.root").alias("hub_root"))
+
+
+def links_of(shared: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Pairs `a`, `b` of texts that are alike.
+
+    Each round compares every key's hub with the lower texts that have the key and are
+    in another class so far. Texts that are alike, but not like the hub, meet in a later
+    round: these go on as long as one finds a link.
+    """
+    of = lambda side: bodies.select(F.col("uid").alias(side), F.col("text").alias(f"text_{side}"))
+    rooted, hubs, tried, links = shared.withColumn("root", F.col("uid")), None, None, None
+    while True:
+        hubs = saved(next_hubs(rooted, hubs), "hubs")
+        met = rooted.join(hubs, "key").filter("place < hub AND root <> hub_root")
+        pairs = met.select((-F.col("hub.less")).alias("a"), F.col("uid").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = saved(pairs, "pairs")
+        both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "text_a", "text_b")
+        found = saved(both.mapInArrow(verify, "a long, b long"), "alike")
+        tried = pairs if tried is None else tried.union(pairs)
+        links = found if links is None else links.union(found)
+        if found.isEmpty():
+            return links
+        roots = saved(components(links), "roots")
+        rooted = shared.join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
 
 
 def classes(known: DataFrame) -> DataFrame:
@@ -211,13 +253,11 @@ def classes(known: DataFrame) -> DataFrame:
     )
     texts = saved(texts, "texts")
     once = known.select("uid", "keys").join(texts.select("uid"), "uid", "left_semi")
-    pairs = saved(candidate_pairs(once), "pairs")
-    named = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "uid")
+    shared = shared_keys(once)
     body = F.coalesce(F.col("document.text").cast("string"), F.lit("")).alias("text")
-    bodies = saved(known.select("uid", body).join(named, "uid", "left_semi"), "bodies")
-    of = lambda side: bodies.select(F.col("uid").alias(side), F.col("text").alias(f"text_{side}"))
-    links = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "text_a", "text_b")
-    roots = components(links.mapInArrow(verify, "a long, b long"))
+    met = shared.select("uid").distinct()
+    bodies = saved(known.select("uid", body).join(met, "uid", "left_semi"), "bodies")
+    roots = components(links_of(shared, bodies))
     rooted = texts.join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("least"))
     return rooted.join(firsts, "root").select("same_a", "same_b", F.col("least").alias("first"))

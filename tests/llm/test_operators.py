@@ -363,6 +363,27 @@ def test_near_duplicates_are_brute_force(spark, documents):
     assert len(set(found.values())) < len(ids)
 
 
+def test_edits_of_one_text_are_one_class(spark, odd):
+    """Each copy is like the text it was made from, which comes last, and like no other copy."""
+    random = np.random.default_rng(11)
+    texts = []
+    for family in range(3):
+        base = [f"f{family}w{i}" for i in range(200)]
+        copies = []
+        for copy in range(40):
+            edited = list(base)
+            for at in 5 + random.choice(38, 4, replace=False) * 5:
+                edited[at] = f"c{copy}e{at}"
+            copies.append(edited)
+        assert all(similarity(base, c) >= 0.8 for c in copies)
+        assert similarity(copies[0], copies[1]) < 0.8
+        texts += [(100 * family + i, " ".join(c)) for i, c in enumerate([*copies, base])]
+    found = near_dedup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {r.doc_id: r.class_id for r in found.collect()} == {i: i // 100 * 100 for i, _ in texts}
+    kept = near_dedup.keep_first(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 100, 200]
+
+
 def test_repeats_across_parts():
     random = np.random.default_rng(3)
     words = random.integers(0, 3, 600).astype(np.uint64)
