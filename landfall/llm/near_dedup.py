@@ -6,8 +6,8 @@ smallest of them, puts them back in text order and hashes the tuple; so a tuple
 in two texts that share the shingles in the same order. Every pair of neighbouring
 tuples is a key. Texts that share a key become candidates: each with the key's hub, the
 text that meets most others, so a group of any size costs as many pairs as it has texts.
-Texts of a key that are in different classes after that are compared with its next
-hub, and so on, until a round finds no more links.
+The greatest of a text's hubs is compared first; the others only where that leaves the
+two in different groups.
 
 A candidate pair counts if the best alignment of the two rows of shingles matches so
 many that matches / (all - matches) is at least `SIMILARITY`. The alignment keeps to
@@ -212,38 +212,35 @@ def shared_keys(rows: DataFrame) -> DataFrame:
     return saved(shared.select("key", "uid").join(met, "uid").select("key", "uid", place), "places")
 
 
-def next_hubs(shared: DataFrame, before: DataFrame | None) -> DataFrame:
-    """Each key's text of the greatest place below the hub before: `key`, `hub`, `hub_root`."""
-    if before is not None:
-        shared = shared.join(before.select("key", "hub"), "key").filter("place < hub")
-    best = shared.groupBy("key").agg(F.max(F.struct("place", "root")).alias("best"))
-    return best.select("key", F.col("best.place").alias("hub"), F.col("best.root").alias("hub_root"))
+def alike(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Of pairs `a`, `b` those whose texts are alike. Texts are joined in one way at every size."""
+    of = lambda side: bodies.select(F.col("uid").alias(side), F.col("text").alias(f"text_{side}"))
+    both = pairs.join(of("b").hint("merge"), "b").join(of("a").hint("merge"), "a")
+    both = both.select("a", "b", "text_a", "text_b")
+    return saved(both.mapInArrow(verify, "a long, b long"), "alike")
 
 
 def links_of(shared: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Pairs `a`, `b` of texts that are alike.
+    """Pairs `a`, `b` of texts that are alike, out of all pairs of a key's hub and its texts.
 
-    Each round compares every key's hub with the lower texts that have the key and are
-    in another class so far. Texts that are alike, but not like the hub, meet in a later
-    round: these go on as long as one finds a link.
+    Each text is compared with the greatest of its hubs first. What this brings together
+    needs no more comparing: of the other pairs only those between groups are looked at.
     """
-    of = lambda side: bodies.select(F.col("uid").alias(side), F.col("text").alias(f"text_{side}"))
-    rooted, hubs, tried, links = shared.withColumn("root", F.col("uid")), None, None, None
-    while True:
-        hubs = saved(next_hubs(rooted, hubs), "hubs")
-        met = rooted.join(hubs, "key").filter("place < hub AND root <> hub_root")
-        pairs = met.select((-F.col("hub.less")).alias("a"), F.col("uid").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "pairs")
-        both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "text_a", "text_b")
-        found = saved(both.mapInArrow(verify, "a long, b long"), "alike")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = found if links is None else links.union(found)
-        if found.isEmpty():
-            return links
-        roots = saved(components(links), "roots")
-        rooted = shared.join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+    hubs = shared.groupBy("key").agg(F.max("place").alias("hub"))
+    met = shared.join(hubs, "key").filter("place < hub").select(F.col("uid").alias("b"), "hub").distinct()
+    met = saved(met, "met")
+    a = (-F.col("hub.less")).alias("a")
+    first = saved(met.groupBy("b").agg(F.max("hub").alias("hub")).select(a, "b"), "pairs")
+    found = alike(first, bodies)
+    # a text's group goes by its hub, or by the hub of that
+    above = found.select(F.col("b").alias("a"), F.col("a").alias("higher"))
+    top = F.coalesce("higher", "a").alias("top")
+    group = saved(found.join(above, "a", "left").select(F.col("b").alias("uid"), top), "groups")
+    of = lambda side: group.select(F.col("uid").alias(side), F.col("top").alias(f"top_{side}"))
+    rest = met.select(a, "b").join(first, ["a", "b"], "left_anti")
+    rest = rest.join(of("b"), "b", "left").join(of("a"), "a", "left")
+    rest = rest.filter(F.coalesce("top_a", "a") != F.coalesce("top_b", "b")).select("a", "b")
+    return found.union(alike(saved(rest, "pairs"), bodies))
 
 
 def classes(known: DataFrame) -> DataFrame:
@@ -256,7 +253,7 @@ def classes(known: DataFrame) -> DataFrame:
     shared = shared_keys(once)
     body = F.coalesce(F.col("document.text").cast("string"), F.lit("")).alias("text")
     met = shared.select("uid").distinct()
-    bodies = saved(known.select("uid", body).join(met, "uid", "left_semi"), "bodies")
+    bodies = saved(known.select("uid", body).join(met.hint("merge"), "uid", "left_semi"), "bodies")
     roots = components(links_of(shared, bodies))
     rooted = texts.join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("least"))
