@@ -7,7 +7,9 @@ in two texts that share the shingles in the same order. Every pair of neighbouri
 tuples is a key. Texts that share a key become candidates: each with the key's hub, the
 text that meets most others, so a group of any size costs as many pairs as it has texts.
 The greatest of a text's hubs is compared first; the others only where that leaves the
-two in different groups.
+two in different groups. Texts of a key that are in different classes after that are
+compared with each other, in blocks of bounded size: so any two texts that share a key
+are compared, or already in one class.
 
 A candidate pair counts if the best alignment of the two rows of shingles matches so
 many that matches / (all - matches) is at least `SIMILARITY`. The alignment keeps to
@@ -45,6 +47,9 @@ SKETCHES = 24
 MINIMA = 2
 # Hashes worked out at once.
 BLOCK = 1 << 20
+# Texts and characters of a block; texts of one key are compared two blocks at a time.
+TEXTS = 256
+CHARACTERS = 8 << 20
 
 
 def occurrences(shingles: np.ndarray) -> np.ndarray:
@@ -134,12 +139,17 @@ def matches(a: list[int], b: list[int], low: int, high: int) -> int:
     return len(tails)
 
 
+def needed(both: np.ndarray | int, similarity: float = SIMILARITY) -> np.ndarray:
+    """Matches that two rows of so many shingles in all must have."""
+    return np.ceil(similarity * both / (1 + similarity) - 1e-9).astype(np.int64)
+
+
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> float:
     """Similarity of two rows of shingles, or 0 if it is below the one asked for."""
     n, m = len(a), len(b)
     if not n or not m:
         return 0.0
-    need = int(np.ceil(similarity * (n + m) / (1 + similarity) - 1e-9))
+    need = int(needed(n + m, similarity))
     if min(n, m) < need:
         return 0.0
     least = min(n, m)
@@ -180,6 +190,67 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
+def shared_counts(rows: list[np.ndarray]) -> np.ndarray:
+    """How many items each two rows of distinct items have in common."""
+    n = len(rows)
+    owner = np.repeat(np.arange(n), [len(r) for r in rows])
+    _, item, counts = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    several = counts > 1
+    column = np.cumsum(several) - 1
+    owner, column = owner[several[item]], column[item[several[item]]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out, step = np.zeros((n, n), np.float32), max(1, (1 << 22) // n)
+    for base in range(0, int(several.sum()), step):
+        first, end = np.searchsorted(column, [base, base + step])
+        part = np.zeros((n, int(column[end - 1]) + 1 - base), np.float32)
+        part[owner[first:end], column[first:end] - base] = 1
+        out += part @ part.T
+    return out.astype(np.int64)
+
+
+def compared(rows: pa.Table) -> pa.Table:
+    """Links between classes among the texts of one or two blocks of a key.
+
+    A pair that shares several keys is left to the first of them. The count of shared
+    shingles bounds the matches, so only pairs that may be alike are aligned.
+    """
+    uid, root, block = (rows.column(c).to_numpy() for c in ("uid", "root", "block"))
+    keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(uid), -1)
+    place = int(np.flatnonzero(keys[0] == rows.column("key")[0].as_py())[0])
+    todo = np.triu(root[:, None] != root[None, :], 1)
+    if rows.column("low")[0] != rows.column("high")[0]:
+        todo &= block[:, None] != block[None, :]
+    for before in range(place):
+        todo &= keys[:, before, None] != keys[None, :, before]
+    a, b = np.nonzero(todo)
+    found = []
+    if len(a):
+        used, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        a, b = at[: len(a)], at[len(a) :]
+        uid, root = uid[used], root[used].tolist()
+        shingles = [shingles_of(x) for x in rows.column("text").take(pa.array(used)).to_pylist()]
+        sizes = np.array([len(x) for x in shingles])
+        least = needed(sizes[a] + sizes[b])
+        common = shared_counts([occurrences(x) for x in shingles])[a, b]
+        often = np.flatnonzero(common >= least)
+        above: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while x in above:
+                x = above[x]
+            return x
+
+        for k in often[np.argsort(least[often] - common[often], kind="stable")].tolist():
+            i, j = int(a[k]), int(b[k])
+            one, other = top(root[i]), top(root[j])
+            if one != other and aligned(shingles[i], shingles[j]) > 0:
+                above[one] = other
+                found.append((uid[i], uid[j]))
+    both = np.array(found, np.int64).reshape(-1, 2)
+    return pa.table({"a": both[:, 0], "b": both[:, 1]})
+
+
 def prepared(documents: DataFrame) -> DataFrame:
     """The documents with a number, an order, and what tells candidates, kept in the shared folder."""
     last = (1 << 63) - 1
@@ -221,7 +292,7 @@ def alike(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
 
 
 def links_of(shared: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Pairs `a`, `b` of texts that are alike, out of all pairs of a key's hub and its texts.
+    """Pairs `a`, `b` of texts that are alike; any two of one key that are alike are linked by them.
 
     Each text is compared with the greatest of its hubs first. What this brings together
     needs no more comparing: of the other pairs only those between groups are looked at.
@@ -240,7 +311,29 @@ def links_of(shared: DataFrame, bodies: DataFrame) -> DataFrame:
     rest = met.select(a, "b").join(first, ["a", "b"], "left_anti")
     rest = rest.join(of("b"), "b", "left").join(of("a"), "a", "left")
     rest = rest.filter(F.coalesce("top_a", "a") != F.coalesce("top_b", "b")).select("a", "b")
-    return found.union(alike(saved(rest, "pairs"), bodies))
+    found = saved(found.union(alike(saved(rest, "pairs"), bodies)), "links")
+    return found.union(links_between(shared.join(hubs, "key").filter("place < hub"), found, bodies))
+
+
+def links_between(rows: DataFrame, found: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Further links out of all pairs of texts of one key, none of them its hub, that are in different classes.
+
+    A key's texts are dealt to blocks, and each two blocks make a group.
+    """
+    size = bodies.select("uid", F.length("text").alias("size"))
+    classed = saved(size.join(components(found), "uid", "left").withColumn("root", F.coalesce("root", "uid")), "classed")
+    rows = saved(rows.select("key", "uid").join(classed, "uid"), "rooted")
+    blocks = F.greatest(F.count("*") / TEXTS, F.sum("size") / CHARACTERS)
+    blocks = F.least(F.ceil(blocks), F.count("*")).cast("int").alias("blocks")
+    open_ = rows.groupBy("key").agg(blocks, F.min("root").alias("least"), F.max("root").alias("most"))
+    open_ = open_.filter("least <> most").select("key", "blocks")
+    block = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int").alias("block")
+    dealt = rows.join(open_, "key").select("key", "uid", "root", "blocks", block)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    dealt = saved(dealt.select("key", low, high, "block", "uid", "root"), "dealt")
+    grouped = dealt.join(bodies.hint("merge"), "uid").groupBy("key", "low", "high")
+    return saved(grouped.applyInArrow(compared, "a long, b long"), "alike")
 
 
 def classes(known: DataFrame) -> DataFrame:
@@ -253,7 +346,7 @@ def classes(known: DataFrame) -> DataFrame:
     shared = shared_keys(once)
     body = F.coalesce(F.col("document.text").cast("string"), F.lit("")).alias("text")
     met = shared.select("uid").distinct()
-    bodies = saved(known.select("uid", body).join(met.hint("merge"), "uid", "left_semi"), "bodies")
+    bodies = saved(known.select("uid", "keys", body).join(met.hint("merge"), "uid", "left_semi"), "bodies")
     roots = components(links_of(shared, bodies))
     rooted = texts.join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("least"))

@@ -384,6 +384,52 @@ def test_edits_of_one_text_are_one_class(spark, odd):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 100, 200]
 
 
+def families(kind, count, size, seed):
+    """Families of texts of 200 words: chains of 4 edits a step, or siblings whose base is absent."""
+    random = np.random.default_rng(seed)
+    out = []
+    for family in range(count):
+        base = [f"{kind}{family}w{i}" for i in range(200)]
+        at = base
+        for copy in range(size):
+            edited = list(at if kind == "chain" else base)
+            for place in 5 + random.choice(38, 4 if kind == "chain" else 2 + copy % 3, replace=False) * 5:
+                edited[place] = f"{kind}{family}c{copy}e{place}"
+            at = edited
+            out.append(edited)
+    return [out[i] for i in random.permutation(len(out))]
+
+
+def brute_classes(texts):
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            kin = texts[i][0] == texts[j][0]  # other families share no word
+            if kin and root[i] != root[j] and similarity(texts[i], texts[j]) >= 0.8:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return dict(enumerate(root))
+
+
+@pytest.mark.parametrize("block", [256, 4])
+@pytest.mark.parametrize("kind", ["chain", "sibling"])
+def test_chains_and_siblings_are_brute_force(spark, odd, monkeypatch, kind, block):
+    monkeypatch.setattr(near_dedup, "TEXTS", block)
+    texts = families(kind, 4, 20, 7)
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(frame).collect()}
+    assert found == brute_classes(texts)
+
+
+def test_shared_counts_are_brute_force():
+    random = np.random.default_rng(4)
+    rows = [random.choice(50, int(n), replace=False).astype(np.uint64) for n in random.integers(1, 40, 12)]
+    expected = [[len(set(a.tolist()) & set(b.tolist())) for b in rows] for a in rows]
+    got = near_dedup.shared_counts(rows)
+    several = [[i == j or got[i, j] == expected[i][j] for j in range(12)] for i in range(12)]
+    assert np.all(several)
+
+
 def test_repeats_across_parts():
     random = np.random.default_rng(3)
     words = random.integers(0, 3, 600).astype(np.uint64)
