@@ -421,6 +421,15 @@ def test_chains_and_siblings_are_brute_force(spark, odd, monkeypatch, kind, bloc
     assert found == brute_classes(texts)
 
 
+def test_pipeline_keeps_one_of_each_chain_and_sibling_class(spark, odd):
+    import corpus_pipeline
+
+    texts = families("chain", 2, 12, 8) + families("sibling", 2, 12, 9)
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, frame, FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(brute_classes(texts).values()))
+
+
 def test_shared_counts_are_brute_force():
     random = np.random.default_rng(4)
     rows = [random.choice(50, int(n), replace=False).astype(np.uint64) for n in random.integers(1, 40, 12)]
