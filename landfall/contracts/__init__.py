@@ -38,8 +38,8 @@ class Contract:
     date_formats: Sequence[str] = DATE_FORMATS
     # Raw columns no contract column claims: part of the key ("hash") or not.
     extras: str = "ignore"
-    # How JSON is checked that Spark's parser rejects: again by Python's, or not at all.
-    json_check: str = "python"
+    # Whether JSON that Spark's parser rejects is checked again by Python's.
+    json_check: str = "native"
     key_encoding: str = "strict"
     key_digest: str = "sha3_512"
     # Zone of free-form text, if the slower reading of any spelling is wanted.

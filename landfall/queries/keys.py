@@ -73,11 +73,7 @@ def content_key_long_text(spark, folder):
     return keyed.select("doc_key", "doc_id")
 
 
-@query(
-    "SELECT sha256(concat_ws('|', CAST(strlen(d) AS VARCHAR), d, CAST(strlen(i) AS VARCHAR), i))"
-    " AS turn_key, conv_id, turn FROM (SELECT *, CAST(conv_id AS VARCHAR) AS d,"
-    " text AS i FROM conversations) c"
-)
+@query(f"SELECT sha256({strict_text('text', 'conv_id')}) AS turn_key, conv_id, turn FROM conversations")
 def content_key_picked_columns(spark, folder):
     turns = table(spark, folder, "conversations")
     keyed = add_key(turns, "turn_key", digest="sha2_256", columns=("text", "conv_id"))
