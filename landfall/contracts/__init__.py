@@ -38,8 +38,9 @@ class Contract:
     date_formats: Sequence[str] = DATE_FORMATS
     # Raw columns no contract column claims: part of the key ("hash") or not.
     extras: str = "ignore"
-    # Whether JSON that Spark's parser rejects is checked again by Python's.
-    json_check: str = "native"
+    # How JSON is checked that Spark's parser rejects: by its outline, by Python's
+    # parser ("python"), or not at all ("native").
+    json_check: str = "outline"
     key_encoding: str = "strict"
     key_digest: str = "sha3_512"
     # Zone of free-form text, if the slower reading of any spelling is wanted.
@@ -50,8 +51,8 @@ class Contract:
             raise ValueError(f"{self.name}: unknown future policy: {sorted(bad)}")
         if self.extras not in ("hash", "ignore"):
             raise ValueError(f"{self.name}: extras must be 'hash' or 'ignore'")
-        if self.json_check not in ("native", "python"):
-            raise ValueError(f"{self.name}: json_check must be 'native' or 'python'")
+        if self.json_check not in ("outline", "native", "python"):
+            raise ValueError(f"{self.name}: json_check must be 'outline', 'native' or 'python'")
 
     @cached_property
     def business(self) -> T.StructType:

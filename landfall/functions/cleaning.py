@@ -86,8 +86,8 @@ def valid_json(text: Column) -> Column:
     Spark's parser stops after the first value and ignores what follows. So the
     text is parsed as first element of an array whose second is a hash of the
     text: only if the text is one whole value does the hash come back in place.
-    The parser rejects ``NaN`` and repeated object keys; see
-    ``lenient.python_json`` for a check that takes both.
+    The parser rejects ``NaN``, repeated object keys and very long values; see
+    ``json_by_outline`` for a check that takes them.
     """
     text = text.cast("string")
     mark = F.xxhash64(text)
@@ -95,6 +95,33 @@ def valid_json(text: Column) -> Column:
     return F.when(F.try_variant_get(parsed, "$[1]", "bigint") == mark, text)
 
 
+# Parts of JSON text that are the same to its grammar, and the text that remains of them.
+# Control characters are not JSON, in strings or outside, so one can stand for a string.
+_JSON_PARTS = (
+    (r"\x01", "\x02"),
+    (r"\\(?:[\"\\/bfnrt]|u[0-9a-fA-F]{4})", "_"),
+    (r'"[^"\\\x00-\x1f]*+"', "\x01"),
+    (r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?|-?Infinity|NaN|true|false|null", "0"),
+)
+_OUTLINE = r'^[\[\]{},:0\x01 \t\n\r]*+$'
+
+
+def json_by_outline(text: Column) -> Column:
+    """The text if it is JSON once strings are empty and all other values 0, else NULL.
+
+    Neither the length of a value nor a repeated key matters to the parser that
+    reads the outline. That parser takes more than JSON, so the outline may hold only
+    the characters that JSON has outside of strings.
+    """
+    text = text.cast("string")
+    outline = text
+    for part, remains in _JSON_PARTS:
+        outline = F.regexp_replace(outline, part, remains)
+    outline = F.replace(F.when(outline.rlike(_OUTLINE), outline), F.lit("\x01"), F.lit('""'))
+    both = F.concat(F.lit("["), outline, F.lit(",1]"))
+    return F.when(F.get_json_object(both, "$[1]") == "1", text)
+
+
 _TOKEN = re.compile(
     r"'(?P<literal>[^']*)'|(?P<run>(?P<letter>[A-Za-z])(?P=letter)*)|(?P<other>.)", re.DOTALL
 )

@@ -31,9 +31,9 @@ def _cleaned(source: T.StructField, target: T.StructField, contract: Contract, a
     text = value if isinstance(source.dataType, T.StringType) else value.cast("string")
     if target.name in contract.json:
         valid = cleaning.valid_json(text)
-        if contract.json_check == "python":
-            rest = F.when(valid.isNull(), text)
-            valid = F.coalesce(valid, lenient.python_json(rest))
+        again = {"outline": cleaning.json_by_outline, "python": lenient.python_json}
+        if check := again.get(contract.json_check):
+            valid = F.coalesce(valid, check(F.when(valid.isNull(), text)))
         return valid
     if isinstance(kind, (*TIMESTAMPS, T.DateType)):
         if isinstance(source.dataType, (*TIMESTAMPS, T.DateType)):

@@ -199,12 +199,14 @@ def test_json(spark):
     expected = [t if python_takes(t) else None for t in JSON_TEXTS]
     assert apply(spark, cleaning.valid_json, JSON_TEXTS) == expected
     assert apply(spark, lenient.python_json, JSON_TEXTS) == expected
+    assert apply(spark, cleaning.json_by_outline, JSON_TEXTS) == expected
 
 
 def test_json_where_the_checks_differ(spark):
     texts = ["NaN", '{"a":1,"a":2}']
     assert apply(spark, cleaning.valid_json, texts) == [None, None]
     assert apply(spark, lenient.python_json, texts) == texts
+    assert apply(spark, cleaning.json_by_outline, texts) == texts
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
@@ -215,6 +217,7 @@ def test_json_on_scraps(spark, texts):
     for text, mine, theirs in zip(texts, found, expected, strict=True):
         # Objects with a repeated key are the one known difference.
         assert mine == theirs or (mine is None and text.count(":") > 1)
+    assert apply(spark, cleaning.json_by_outline, texts) == expected
 
 
 def test_free_form_timestamp(spark):

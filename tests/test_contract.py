@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import json
 from datetime import UTC, date, datetime
 from decimal import Decimal
@@ -290,6 +291,25 @@ def test_long_json_is_kept_by_default(spark):
     assert kept == [len(texts[0]), 5001, len(texts[2]), None]
 
 
+def test_default_json_check_is_pythons_without_python(spark):
+    shape = Contract(name="t", columns="J string", json=["J"])
+    pieces = ["{", "}", "[", "]", ",", ":", '"a"', '"\\u00e9"', '"\\x"', "-1", "01", "1.", "1e5",
+              "NaN", "-Infinity", "true", "tru", " ", "\t", '"', "\\", "'a'", "\x01", "-", "0", "é"]
+    texts = ["".join(p) for n in (1, 2, 3) for p in itertools.product(pieces, repeat=n)]
+    texts += ['{"a":1,"a":[NaN,{"a":"b\\"c"}]}', '{"a" : 1 , "b":[]}', '{"a":1,}', "1e51e5", '"\x01"']
+
+    def read(text):
+        try:
+            json.loads(text)
+        except ValueError:
+            return None
+        return text
+
+    rows = clean(spark.createDataFrame([(t,) for t in texts], "J string"), shape, AS_OF)
+    assert "Python" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert [r.J for r in rows.collect()] == [read(t) for t in texts]
+
+
 def test_array_types_are_compared_without_nullability(spark):
     df = spark.sql("SELECT array(1L, 2L) AS a")
     assert violations(df, spark.createDataFrame([], "a array<bigint>").schema) == []
