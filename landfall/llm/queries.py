@@ -12,6 +12,7 @@ from . import oracles
 from .boosted_trees import score_documents
 from .common import ship, table
 from .fingerprints import fingerprint_documents
+from .hard_negatives import mine
 from .licenses import scan_licences
 from .mixing import mix
 from .near_dedup import near_duplicates
@@ -94,3 +95,8 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(oracles.HARD_NEGATIVES)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine(table(spark, sf_dir, "embeddings"))

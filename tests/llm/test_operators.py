@@ -66,7 +66,7 @@ def as_rows(frame):
 def test_equals_sql(spark, odd, name):
     frame = queries.QUERIES[name](spark, FOLDER)
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     result = duck.execute(queries.ORACLES[name])
     names = [c[0] for c in result.description]
