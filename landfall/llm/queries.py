@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from .pieces import encode_documents, load_vocabulary
 from .quality_rules import quality_rules
 from .repeats import remove_repeats
 from .secrets import scan_secrets
+from .token_files import store_documents
 from .warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +102,9 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracles.HARD_NEGATIVES)
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return store_documents(table(spark, sf_dir, "documents"), vocabulary)
