@@ -7,10 +7,12 @@ every frame) of the public seekable layout of zstandard, which other readers of
 layout understand as well. A reader takes the tables from the end of the file, then
 only the frames of the documents asked for, and holds each against its checksum.
 
-Encoding is the tokenizers library's, with the vocabulary of a file. Text is cut before
-it where the vocabulary's splitting rule always cuts: a blank or line feed between two
-solid characters. So a text of any length is encoded bit by bit, and a worker encodes a
-word it remembers only once; the ids are those of the whole text.
+Encoding is the tokenizers library's, with the vocabulary of a file. With a byte-level
+vocabulary, a long text goes in pieces, cut where the vocabulary's splitting rule always
+cuts: before a blank between two solid characters. Where a text has no characters beyond
+U+024F and no special token, its parts are split here by that same rule, and the
+library's model encodes each part that the worker does not remember. The ids are always
+those of the whole text.
 
 Documents are encoded and compressed where they are read; what is shuffled into order is
 ids, not text. The order is the document id, then a hash of the text, then the place in
@@ -20,18 +22,18 @@ writes files of other names, and the manifest lists those of the run that counte
 Edge cases: a NULL text is an empty one, of the end id alone. Rows of NULL id come last.
 Rows that repeat an id are documents of their own; equal ones differ in `start` only.
 Empty tables give empty results and no file. Other columns are never looked at. A text
-without any place to cut goes to the library in one piece.
+without any place to cut goes in one piece.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cache
-from itertools import filterfalse
 from typing import BinaryIO
 
 import numpy as np
@@ -50,12 +52,10 @@ END_ID = 2
 FRAME_IDS = 1 << 16
 FILE_BYTES = 32 << 20
 LEVEL = 3
-# Words a worker remembers, the longest of them, and words encoded as one text.
-REMEMBERED = 400_000
+# Parts a worker remembers, the longest of them, and characters of a long text's piece.
+REMEMBERED = 500_000
 LONGEST_WORD = 64
-JOINED = 2000
-# Texts encoded side by side: no more characters than this, but for one long text.
-BATCH_CHARACTERS = 4 << 20
+PIECE = 1 << 20
 # Fixed values of the seekable layout: both skippable frames' marks, the footer's.
 SEEK_MARK, TABLE_MARK, FOOTER_MARK = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
 CHECKED = 0x80
@@ -73,10 +73,38 @@ class TokenFileError(ValueError):
 
 # ---------------------------------------------------------------- encoding
 
-# Not blank to any reading of what a blank is.
-_SOLID = "[^\\s᠎​﻿]"
-_LINES = re.compile(rf"\n(?={_SOLID})(?<={_SOLID}\n)")
-_WORDS = re.compile(rf" (?={_SOLID})(?<={_SOLID} )")
+# A blank between two solid characters, solid to any reading of what a blank is: the
+# splitting rule of byte-level BPE always cuts before it.
+_SOLID = "[^\\s\u180e\u200b\ufeff]"
+_CUT = re.compile(rf" (?={_SOLID})(?<={_SOLID} )")
+# Letters, numbers and blanks up to U+024F, and that splitting rule over them.
+_FAR = re.compile("[^\0-\u024f]")
+_L, _N, _S = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\\t-\\r \u0085\u00a0"
+_PARTS = re.compile(
+    rf" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[{_N}]+| ?[^{_L}{_N}{_S}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+)
+
+
+def byte_letters() -> dict[int, int]:
+    """The character that stands for each byte: printable ones for themselves, others from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 0x100 + k for k, b in enumerate(others)}
+
+
+class Words(dict):
+    """Ids of parts of text, by the model of a byte-level vocabulary; new ones are worked out."""
+
+    def __init__(self, tokenizer, kind: str):
+        super().__init__()
+        self.model, self.kind, self.letters = tokenizer.model, kind, byte_letters()
+
+    def __missing__(self, part: str) -> bytes:
+        letters = part.encode().decode("latin-1").translate(self.letters)
+        ids = np.array([t.id for t in self.model.tokenize(letters)], self.kind).tobytes()
+        if len(part) <= LONGEST_WORD:
+            self[part] = ids
+        return ids
 
 
 class Encoder:
@@ -87,68 +115,43 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.width = width_of(self.tokenizer.get_vocab_size())
-        self.spaced: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
-        self.line_feed = self._each(["\n"])[0]
-
-    def _bytes(self, ids: Iterable[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
-
-    def _each(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [self._bytes(e.ids) for e in found]
-
-    def _words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Words and their ids, each after a blank.
-
-        Words of letters are one part each to the library, so many go as one text and
-        are told apart by the part an id belongs to; if the count of parts says that
-        one is not, each goes by itself.
-        """
-        plain = [w for w in words if w.isalpha()]
-        others = [w for w in words if not w.isalpha()]
-        runs = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
-        found = self.tokenizer.encode_batch(
-            ["".join(f" {w}" for w in run) for run in runs], add_special_tokens=False
+        rules = json.loads(self.tokenizer.to_str())
+        split = rules["pre_tokenizer"] or {}
+        self.plain = (
+            (rules["normalizer"], rules["model"]["type"], split.get("type")) == (None, "BPE", "ByteLevel")
+            and split["use_regex"]
+            and not split["add_prefix_space"]
         )
-        for run, encoded in zip(runs, found, strict=True):
-            part = np.array(encoded.word_ids, np.int64)
-            if part[-1] + 1 != len(run):
-                others += run
-                continue
-            ids = self._bytes(encoded.ids)
-            ends = np.searchsorted(part, np.arange(len(run) + 1)) * self.width
-            yield from zip(run, (ids[a:b] for a, b in zip(ends, ends[1:])), strict=True)
-        yield from zip(others, self._each([f" {w}" for w in others]), strict=True)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[_WORDS.split(line) for line in _LINES.split(text)] for text in texts]
-        if len(self.spaced) + len(self.bare) > REMEMBERED:
-            self.spaced.clear()
-            self.bare.clear()
-        spaced, bare = self.spaced, self.bare
-        rest: set[str] = set()
-        first: set[str] = set()
-        for lines in cut:
-            for words in lines:
-                first.add(words[0])
-                rest.update(filterfalse(spaced.__contains__, words[1:]))
-        spaced.update(self._words(list(rest)))
-        new = list(first - bare.keys())
-        bare.update(zip(new, self._each(new), strict=True))
+        self.special = [t["content"] for t in rules["added_tokens"]]
+        self.words = Words(self.tokenizer, f"<u{self.width}")
+
+    def _whole(self, piece: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0]
+        return np.array(found.ids, f"<u{self.width}").tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """Text of the characters the parts are known for goes part by part, other text as it is."""
+        if not self.plain:
+            return self._whole(text)
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        known = not _FAR.search(text) and not any(s in text for s in self.special)
         out = []
-        for lines in cut:
-            parts = []
-            for words in lines:
-                parts.append(self.line_feed)
-                parts.append(bare[words[0]])
-                parts.extend(map(spaced.__getitem__, words[1:]))
-            out.append(b"".join(parts[1:]))
-        for known, met in ((spaced, rest), (bare, first)):
-            for word in met:
-                if len(word) > LONGEST_WORD:
-                    del known[word]
-        return out
+        for piece in pieces_of(text):
+            if known:
+                out.append(b"".join(map(self.words.__getitem__, _PARTS.findall(piece))))
+            else:
+                out.append(self._whole(piece))
+        return b"".join(out)
+
+
+def pieces_of(text: str) -> Iterator[str]:
+    """The text in pieces of about `PIECE` characters, cut where the splitting rule cuts."""
+    at = 0
+    while cut := _CUT.search(text, at + PIECE):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
 
 
 def width_of(ids: int) -> int:
@@ -181,15 +184,14 @@ def encoded(text: Column, vocabulary: str) -> Column:
     @F.arrow_udf(returnType=ENCODED)
     def encode(texts: pa.Array) -> pa.Array:
         known = encoder_of(vocabulary)
-        end = known._bytes([END_ID])
+        end = np.array([END_ID], f"<u{known.width}").tobytes()
         counts, frames, entries = [], [], []
-        for some in batches(texts):
-            for ids in known.encode(some):
-                ids += end
-                packed, table = frames_of(ids, known.width)
-                counts.append(len(ids) // known.width)
-                frames.append(packed)
-                entries.append(table.tobytes())
+        for text in texts:
+            ids = known.encode(text.as_py()) + end
+            packed, table = frames_of(ids, known.width)
+            counts.append(len(ids) // known.width)
+            frames.append(packed)
+            entries.append(table.tobytes())
         return pa.StructArray.from_arrays(
             [pa.array(counts, pa.int64()), pa.array(frames, pa.binary()), pa.array(entries, pa.binary())],
             ["n_tokens", "frames", "entries"],
@@ -198,19 +200,6 @@ def encoded(text: Column, vocabulary: str) -> Column:
     return encode(text)
 
 
-def batches(texts: pa.Array) -> Iterator[list[str]]:
-    """The texts in lists of bounded size, but for one long text."""
-    some, size = [], 0
-    for text in texts:
-        some.append(text.as_py())
-        size += len(some[-1])
-        if size >= BATCH_CHARACTERS:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
-
-
 # ---------------------------------------------------------------- files
 
 

@@ -41,15 +41,30 @@ def expected(rows, library):
     return out
 
 
-def test_cut_texts_have_the_librarys_ids(library):
+def test_texts_in_pieces_have_the_librarys_ids(library, monkeypatch):
+    monkeypatch.setattr(token_files, "PIECE", 5)
     known = token_files.Encoder(VOCABULARY)
+    assert known.plain
     random = np.random.default_rng(3)
-    alphabet = list("ab \n\t.,'s1é漢 ​́<|>")
-    scraps = ["".join(random.choice(alphabet, random.integers(1, 14))) for _ in range(4000)]
-    for texts in (TEXTS, scraps, TEXTS):
-        for text, ids in zip(texts, known.encode(texts), strict=True):
-            assert np.frombuffer(ids, "<u2").tolist() == library(text), text[:50]
-    assert not any(len(w) > token_files.LONGEST_WORD for w in (*known.spaced, *known.bare))
+    scraps = []
+    for alphabet in ("ab \n\t.,'sÉ1\x00\x85\xa0²", "ab \n.'s1é漢 \u200b\u0301<|>", "aß\u01c6\u00aa\u00ad\x1f ¼_-"):
+        scraps += ["".join(random.choice(list(alphabet), random.integers(1, 14))) for _ in range(3000)]
+    scraps += [chr(a) + b + chr(c) for a in range(0x250) for b in ("", " ", "'") for c in (0x41, 0x20, 0x31, 0x2E)]
+    for text in TEXTS + scraps + TEXTS:
+        assert np.frombuffer(known.encode(text), "<u2").tolist() == library(text), text[:50]
+    assert not any(len(w) > token_files.LONGEST_WORD for w in known.words)
+    monkeypatch.setattr(token_files, "REMEMBERED", 2)
+    assert [known.encode(t) for t in TEXTS[:8]] == [token_files.Encoder(VOCABULARY).encode(t) for t in TEXTS[:8]]
+
+
+def test_another_kind_of_vocabulary(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    known = token_files.Encoder(path)
+    assert not known.plain
+    for text in TEXTS:
+        found = np.frombuffer(known.encode(text), f"<u{known.width}").tolist()
+        assert found == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_whole_table_is_brute_force(spark, library):
@@ -79,7 +94,7 @@ def test_only_frames_asked_for_are_read(spark, library, monkeypatch):
     monkeypatch.setattr(token_files, "FRAME_IDS", 100)
     texts = ["a b c", "d " * 500, "e", "f " * 300]
     known = token_files.Encoder(VOCABULARY)
-    ids = [i + known._bytes([2]) for i in known.encode(texts)]
+    ids = [known.encode(t) + b"\x02\x00" for t in texts]
     packed = [token_files.frames_of(i, 2) for i in ids]
     documents = [(k if k != 2 else None, len(i) // 2) for k, i in enumerate(ids)]
     data = b"".join(f for f, _ in packed)
