@@ -133,3 +133,90 @@ FROM p JOIN s ON s.a = p.a
 WHERE NOT alike AND {LEAST} * positive_score <= 100 * score AND 100 * score <= {MOST} * positive_score
 QUALIFY rank <= {NEGATIVES}
 """
+
+
+def _repair() -> str:
+    """Damage by a bitwise CRC-32, the best way to each state row by row, then the letters walked."""
+    then = lambda way, cost, letter: (
+        f"CASE WHEN {way} IS NOT NULL THEN {{'c': {way}.c + {cost}, 'a': {way}.a || '{letter}'}} END"
+    )
+    if_kept = lambda test, way: f"CASE WHEN NOT bad AND {test} THEN {way} END"
+    keep = lambda way, initial: if_kept(f"initial = '{initial}'", then(way, "cut", "K"))
+    rerole = lambda way: if_kept("TRUE", then(way, "2 + cut", "R"))
+    least = lambda *ways: f"least({', '.join(ways)})"
+    delete = lambda way: then(way, 3, "D")
+    insert = lambda way: then(way, 2, "I")
+    twice = lambda way: then(way, 4, "II")
+    to_user = [f(w) for w in ("q0", "q1", "q3") for f in (lambda w: keep(w, "u"), rerole)]
+    return rf"""
+WITH RECURSIVE r AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(
+           list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':'
+             || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+           lambda crc, b: list_reduce(CAST(range(8) AS BIGINT[]),
+             lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, b)),
+           CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS draw
+  FROM conversations
+), d AS (
+  SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+         CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE WHEN draw = 3 THEN 2 ELSE 1 END)) FROM r WHERE draw <> 0)
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS n FROM d
+), f AS (
+  SELECT conv_id, turn, n, role, text, substr(role, 1, 1) AS initial,
+         NOT regexp_matches(text, '[^ 	-]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][ 	-]*$') AS unended
+  FROM o
+), m AS (
+  SELECT *, blank OR again AS bad, CAST(unended AND NOT blank AND NOT again AS INT) AS cut,
+         coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial
+           NOT IN ('su', 'ua', 'au'), FALSE) AS unlike
+  FROM f
+), s AS (
+  SELECT c.conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again AND NOT blank) AS duplicate,
+         count(*) FILTER (WHERE cut = 1) AS truncated, count(*) FILTER (WHERE unlike) AS illegal,
+         count(n) AS size
+  FROM (SELECT DISTINCT conv_id FROM conversations) c
+  LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY c.conv_id
+), w AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS n, {{'c': 0, 'a': ''}} AS q0,
+         CAST(NULL AS STRUCT(c INT, a VARCHAR)) AS q1, {{'c': 2, 'a': 'I'}} AS q2, {{'c': 4, 'a': 'II'}} AS q3
+  FROM s
+  UNION ALL
+  SELECT conv_id, n, q0, q1, {least("q2", insert("q0"), insert("q1"), insert("q3"))},
+         {least("q3", insert("q2"), twice("q0"), twice("q1"))}
+  FROM (
+    SELECT w.conv_id, m.n, {delete("q0")} AS q0, {least(delete("q1"), keep("q0", "s"))} AS q1,
+           {least(delete("q2"), *to_user)} AS q2, {least(delete("q3"), keep("q2", "a"), rerole("q2"))} AS q3
+    FROM w JOIN m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.n = w.n + 1)
+), b AS (
+  SELECT s.*, least(q0, q3) AS best FROM s
+  JOIN w ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.n = s.size
+), p AS (
+  SELECT conv_id, best.a AS audit, 0 AS pos, CAST(0 AS BIGINT) AS n, 0 AS state,
+         CAST(NULL AS VARCHAR) AS line FROM b
+  UNION ALL
+  SELECT p.conv_id, audit, pos + 1, p.n + step,
+         CASE WHEN letter = 'D' THEN state WHEN letter = 'K' AND initial = 's' THEN 1
+              WHEN state = 2 THEN 3 ELSE 2 END,
+         CASE WHEN letter = 'D' THEN NULL
+              ELSE CASE WHEN letter = 'K' THEN role WHEN state = 2 THEN 'assistant' ELSE 'user' END
+                || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END END
+  FROM (SELECT *, substr(audit, pos + 1, 1) AS letter,
+               CASE WHEN substr(audit, pos + 1, 1) = 'I' THEN 0 ELSE 1 END AS step
+        FROM p WHERE pos < length(audit)) p
+  LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.n = p.n + step AND step = 1
+)
+SELECT b.conv_id, gaps, blank, duplicate, truncated, illegal, CAST(best.c AS BIGINT) AS cost,
+       best.a AS audit, sha256(coalesce(t.text, '')) AS repaired_sha256
+FROM b LEFT JOIN (
+  SELECT conv_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM p GROUP BY conv_id
+) t ON t.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
+
+REPAIR = _repair()

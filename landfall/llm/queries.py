@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from . import oracles
 from .boosted_trees import score_documents
 from .common import ship, table
+from .conversations import repair
 from .fingerprints import fingerprint_documents
 from .hard_negatives import mine
 from .licenses import scan_licences
@@ -108,3 +109,8 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return store_documents(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query(oracles.REPAIR)
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(table(spark, sf_dir, "conversations"))

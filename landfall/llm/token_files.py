@@ -53,7 +53,7 @@ FRAME_IDS = 1 << 16
 FILE_BYTES = 32 << 20
 LEVEL = 3
 # Parts a worker remembers, the longest of them, and characters of a long text's piece.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 LONGEST_WORD = 64
 PIECE = 1 << 20
 # Fixed values of the seekable layout: both skippable frames' marks, the footer's.
@@ -135,7 +135,7 @@ class Encoder:
             return self._whole(text)
         if len(self.words) > REMEMBERED:
             self.words.clear()
-        known = not _FAR.search(text) and not any(s in text for s in self.special)
+        known = (text.isascii() or not _FAR.search(text)) and not any(s in text for s in self.special)
         out = []
         for piece in pieces_of(text):
             if known:
