@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import atexit
 import os
+from functools import reduce
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import _hadoop, new_folder
@@ -55,6 +56,39 @@ def _remove(spark: SparkSession, path: str) -> None:
         files.delete(place, True)
 
 
+# Buckets of numbers whose bits are broadcast at a time; a bucket has 4 KiB for 32,768 numbers.
+BUCKETS = 8192
+
+
+def within(rows: DataFrame, picked: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The rows whose `uid` is among those of `picked`, without a shuffle of the rows.
+
+    One bit a number travels, in bitmaps of a bounded number of buckets at a time, each
+    time joined to the rows of that range alone; files of rising numbers are read once.
+    """
+    buckets = buckets or BUCKETS
+    place = F.bitmap_bit_position("uid")
+    bits = picked.groupBy(F.bitmap_bucket_number("uid").alias("bucket"))
+    bits = saved(bits.agg(F.bitmap_construct_agg(place).alias("bits")), "bits")
+    rank = F.row_number().over(Window.orderBy("bucket")) % buckets
+    starts = bits.select("bucket", rank.alias("rank")).filter(F.col("rank") == 1 % buckets)
+    starts = sorted(r["bucket"] for r in starts.select("bucket").collect())
+    ends = [*(s - 1 for s in starts[1:]), None][: len(starts)]
+    byte = "conv(hex(substring(bits, int(bitmap_bit_position(uid) div 8) + 1, 1)), 16, 10)"
+    is_set = F.expr(f"shiftright(int({byte}), int(bitmap_bit_position(uid) % 8)) % 2 = 1")
+    found = [rows.limit(0)]
+    for start, end in zip(starts, ends, strict=True):
+        inside = F.col("bucket") >= start
+        first = F.col("uid") > (start - 1) * (1 << 15) if start else F.col("uid") >= 0
+        if end is not None:
+            inside &= F.col("bucket") <= end
+            first &= F.col("uid") <= end * (1 << 15)
+        some = rows.filter(first).withColumn("bucket", F.bitmap_bucket_number("uid"))
+        some = some.join(F.broadcast(bits.filter(inside)), "bucket").filter(is_set)
+        found.append(some.select(*rows.columns))
+    return reduce(DataFrame.unionByName, found[1:] or found)
+
+
 def drawn(rows: DataFrame, most: int, *order: str) -> DataFrame:
     """At most so many rows, drawn by a hash of the columns named, the same ones every time.
 

@@ -3,13 +3,16 @@
 A text's shingles are its runs of `K` words, each told apart from its equals by the
 number of its occurrence. Each of `SKETCHES` hash functions picks the `MINIMA`
 smallest of them, puts them back in text order and hashes the tuple; so a tuple agrees
-in two texts that share the shingles in the same order. Every pair of neighbouring
-tuples is a key. Texts that share a key become candidates: each with the key's hub, the
+in two texts that share the shingles in the same order, at `SIMILARITY` with a chance
+of some 0.64. Every pair of neighbouring tuples is a key. Texts that share a key become candidates: each with the key's hub, the
 text that meets most others, so a group of any size costs as many pairs as it has texts.
 The greatest of a text's hubs is compared first; the others only where that leaves the
 two in different groups. Texts of a key that are in different classes after that are
 compared with each other, in blocks of bounded size: so any two texts that share a key
-are compared, or already in one class.
+are compared, or already in one class. Of two texts the sizes and tuples are looked at
+first, as these are narrow: texts are fetched only if one is long enough for the other
+and they agree in `AGREEING` tuples, which two that are alike miss with a chance of some
+1 in 20,000 beside that of sharing no key, some 1 in 2,000.
 
 A candidate pair counts if the best alignment of the two rows of shingles matches so
 many that matches / (all - matches) is at least `SIMILARITY`. The alignment keeps to
@@ -37,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined, mix, saved, word_hashes, words_of
+from .common import joined, mix, saved, within, word_hashes, words_of
 from .components import components
 from .repeats import run_hashes
 
@@ -45,6 +48,10 @@ K = 5
 SIMILARITY = 0.8
 SKETCHES = 24
 MINIMA = 2
+# Tuples in which two texts must agree to be compared.
+AGREEING = 6
+# Pairs that may be broadcast, at some 50 bytes each.
+FEW_PAIRS = 1_000_000
 # Hashes worked out at once.
 BLOCK = 1 << 20
 # Texts and characters of a block; texts of one key are compared two blocks at a time.
@@ -78,38 +85,32 @@ def order_sketch(items: np.ndarray, sketches: int = SKETCHES, minima: int = MINI
     return out
 
 
-def keys_of(sketch: np.ndarray) -> np.ndarray:
-    """A key of every two neighbouring tuples, by their place."""
-    pairs = joined(sketch, np.roll(sketch, -1))
-    return joined(pairs, np.arange(len(sketch), dtype=np.uint64))
-
-
-SIGNED = "same_a long, same_b long, keys array<bigint>"
+SIGNED = "same_a long, same_b long, size long, sketch array<bigint>"
 
 
 def signed(text: Column) -> Column:
-    """A struct: 128 bits that tell whether words are equal, and the candidate keys."""
+    """A struct: 128 bits that tell whether words are equal, the number of shingles, and the tuples."""
 
     @F.arrow_udf(returnType=SIGNED)
     def sign(texts: pa.Array) -> pa.Array:
-        same, keys = [], []
+        same, sketches = [], []
         for x in texts:
             words = word_hashes(words_of(x.as_py()))
             place = np.arange(len(words), dtype=np.uint64)
             ordered = joined(words, place)
-            same.append((_sum(ordered), _sum(mix(ordered, 1)) + len(words)))
             shingles = run_hashes(words, K)
+            same.append((_sum(ordered), _sum(mix(ordered, 1)) + len(words), len(shingles)))
             if len(shingles):
-                keys.append(keys_of(order_sketch(occurrences(shingles))).view(np.int64))
+                sketches.append(order_sketch(occurrences(shingles)).view(np.int64))
             else:
-                keys.append(np.zeros(0, np.int64))
-        ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+                sketches.append(np.zeros(0, np.int64))
+        ends = np.cumsum([0, *map(len, sketches)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(
-            pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))
+            pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *sketches]))
         )
-        both = np.array(same, np.uint64).reshape(-1, 2).view(np.int64)
+        told = np.array(same, np.uint64).reshape(-1, 3).view(np.int64)
         return pa.StructArray.from_arrays(
-            [pa.array(both[:, 0]), pa.array(both[:, 1]), lists], ["same_a", "same_b", "keys"]
+            [*(pa.array(told[:, c]) for c in range(3)), lists], ["same_a", "same_b", "size", "sketch"]
         )
 
     return sign(text)
@@ -209,21 +210,47 @@ def shared_counts(rows: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def compared(rows: pa.Table) -> pa.Table:
-    """Links between classes among the texts of one or two blocks of a key.
+def open_pairs(rows: pa.Table) -> np.ndarray:
+    """Which two texts of one or two blocks of a key are still to be compared, by what is narrow.
 
-    A pair that shares several keys is left to the first of them. The count of shared
-    shingles bounds the matches, so only pairs that may be alike are aligned.
+    They are in different classes, agree in `AGREEING` tuples, are long enough for each
+    other, and share no earlier key, to which they would be left.
     """
-    uid, root, block = (rows.column(c).to_numpy() for c in ("uid", "root", "block"))
-    keys = rows.column("keys").combine_chunks().flatten().to_numpy().reshape(len(uid), -1)
-    place = int(np.flatnonzero(keys[0] == rows.column("key")[0].as_py())[0])
+    root, block, size = (rows.column(c).to_numpy() for c in ("root", "block", "size"))
+    sketch = rows.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(root), -1)
     todo = np.triu(root[:, None] != root[None, :], 1)
     if rows.column("low")[0] != rows.column("high")[0]:
         todo &= block[:, None] != block[None, :]
-    for before in range(place):
-        todo &= keys[:, before, None] != keys[None, :, before]
-    a, b = np.nonzero(todo)
+    if not todo.any():
+        return todo
+    todo &= np.minimum(size[:, None], size[None, :]) >= needed(size[:, None] + size[None, :])
+    equal = [column[:, None] == column[None, :] for column in sketch.T]
+    agreeing = np.zeros(todo.shape, np.uint8)
+    for same in equal:
+        agreeing += same
+    todo &= agreeing >= AGREEING
+    for before in range(rows.column("nth")[0].as_py()):
+        todo &= ~(equal[before] & equal[(before + 1) % len(equal)])
+    return todo
+
+
+ASKED = "key long, low int, high int, uid long"
+
+
+def asked(rows: pa.Table) -> pa.Table:
+    """The texts of one or two blocks that have another to be compared with."""
+    todo = open_pairs(rows)
+    return rows.select(["key", "low", "high", "uid"]).filter(pa.array(todo.any(0) | todo.any(1)))
+
+
+def compared(rows: pa.Table) -> pa.Table:
+    """Links between classes among the texts of one or two blocks of a key.
+
+    The count of shared shingles bounds the matches, so only pairs that may be alike are
+    aligned.
+    """
+    uid, root = rows.column("uid").to_numpy(), rows.column("root").to_numpy()
+    a, b = np.nonzero(open_pairs(rows))
     found = []
     if len(a):
         used, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -251,17 +278,21 @@ def compared(rows: pa.Table) -> pa.Table:
     return pa.table({"a": both[:, 0], "b": both[:, 1]})
 
 
+def body() -> Column:
+    return F.coalesce(F.col("document.text").cast("string"), F.lit(""))
+
+
 def prepared(documents: DataFrame) -> DataFrame:
     """The documents with a number, an order, and what tells candidates, kept in the shared folder."""
     last = (1 << 63) - 1
-    text = F.coalesce(F.col("document.text").cast("string"), F.lit(""))
     rows = documents.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("document"))
-    rows = rows.select("*", text.alias("body"))
-    rows = rows.select("uid", "document", signed(F.col("body")).alias("sign"))
+    rows = rows.select("*", body().alias("body"))
+    rows = rows.select("uid", "document", F.length("body").alias("length"), signed(F.col("body")).alias("sign"))
     return saved(
         rows.select(
             "uid",
             "document",
+            "length",
             F.coalesce(F.col("document.doc_id").cast("long"), F.lit(last)).alias("id"),
             "sign.*",
         ),
@@ -270,28 +301,51 @@ def prepared(documents: DataFrame) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """`key`, `uid` and `place` of every key that several texts have.
+    """`key`, `nth`, `uid` and `place` of every key that several texts have.
 
-    A text's place is the number of texts it meets over all its keys, then its number:
-    the greatest place in a family of edits is that of a text from its middle.
+    A key is two neighbouring tuples, the `nth` and the next. A text's place is the number
+    of texts it meets over all its keys, then its number: the greatest place in a family
+    of edits is that of a text from its middle.
     """
-    keyed = rows.select("uid", F.explode("keys").alias("key"))
+    after = lambda i: F.get("sketch", (i + 1) % F.size("sketch"))
+    keys = F.transform("sketch", lambda x, i: F.xxhash64(x, after(i), i))
+    keyed = rows.select("uid", F.posexplode(keys).alias("nth", "key"))
     often = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = saved(keyed.join(often, "key"), "shared")
     met = shared.groupBy("uid").agg(F.sum("n").alias("met"))
     place = F.struct("met", (-F.col("uid")).alias("less")).alias("place")
-    return saved(shared.select("key", "uid").join(met, "uid").select("key", "uid", place), "places")
+    return saved(shared.select("key", "nth", "uid").join(met, "uid").select("key", "nth", "uid", place), "places")
 
 
-def alike(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Of pairs `a`, `b` those whose texts are alike. Texts are joined in one way at every size."""
-    of = lambda side: bodies.select(F.col("uid").alias(side), F.col("text").alias(f"text_{side}"))
-    both = pairs.join(of("b").hint("merge"), "b").join(of("a").hint("merge"), "a")
+def likely(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Of pairs `a`, `b` those that may be alike by their sizes and tuples."""
+    of = lambda side: known.select(
+        F.col("uid").alias(side), F.col("size").alias(f"size_{side}"), F.col("sketch").alias(f"sketch_{side}")
+    )
+    both = pairs.join(of("b"), "b").join(of("a"), "a")
+    need = F.ceil(SIMILARITY / (1 + SIMILARITY) * (F.col("size_a") + F.col("size_b")) - 1e-9)
+    same = F.zip_with("sketch_a", "sketch_b", lambda x, y: (x == y).cast("int"))
+    agreeing = F.aggregate(same, F.lit(0), lambda n, x: n + x)
+    return both.filter((F.least("size_a", "size_b") >= need) & (agreeing >= AGREEING)).select("a", "b")
+
+
+def alike(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Of pairs `a`, `b` those whose texts are alike. Only texts of such pairs are read.
+
+    Few pairs are sent to the texts; the texts then go to those they are compared with.
+    """
+    pairs = saved(likely(pairs, known), "pairs")
+    texts = known.select("uid", body().alias("text"))
+    of = lambda side: within(texts, pairs.select(F.col(side).alias("uid"))).select(
+        F.col("uid").alias(side), F.col("text").alias(f"text_{side}")
+    )
+    few = pairs.count() <= FEW_PAIRS
+    both = of("b").join(F.broadcast(pairs) if few else pairs, "b").join(of("a"), "a")
     both = both.select("a", "b", "text_a", "text_b")
     return saved(both.mapInArrow(verify, "a long, b long"), "alike")
 
 
-def links_of(shared: DataFrame, bodies: DataFrame) -> DataFrame:
+def links_of(shared: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs `a`, `b` of texts that are alike; any two of one key that are alike are linked by them.
 
     Each text is compared with the greatest of its hubs first. What this brings together
@@ -302,7 +356,7 @@ def links_of(shared: DataFrame, bodies: DataFrame) -> DataFrame:
     met = saved(met, "met")
     a = (-F.col("hub.less")).alias("a")
     first = saved(met.groupBy("b").agg(F.max("hub").alias("hub")).select(a, "b"), "pairs")
-    found = alike(first, bodies)
+    found = alike(first, known)
     # a text's group goes by its hub, or by the hub of that
     above = found.select(F.col("b").alias("a"), F.col("a").alias("higher"))
     top = F.coalesce("higher", "a").alias("top")
@@ -311,29 +365,36 @@ def links_of(shared: DataFrame, bodies: DataFrame) -> DataFrame:
     rest = met.select(a, "b").join(first, ["a", "b"], "left_anti")
     rest = rest.join(of("b"), "b", "left").join(of("a"), "a", "left")
     rest = rest.filter(F.coalesce("top_a", "a") != F.coalesce("top_b", "b")).select("a", "b")
-    found = saved(found.union(alike(saved(rest, "pairs"), bodies)), "links")
-    return found.union(links_between(shared.join(hubs, "key").filter("place < hub"), found, bodies))
+    found = saved(found.union(alike(rest, known)), "links")
+    return found.union(links_between(shared.join(hubs, "key").filter("place < hub"), found, known))
 
 
-def links_between(rows: DataFrame, found: DataFrame, bodies: DataFrame) -> DataFrame:
+def links_between(rows: DataFrame, found: DataFrame, known: DataFrame) -> DataFrame:
     """Further links out of all pairs of texts of one key, none of them its hub, that are in different classes.
 
-    A key's texts are dealt to blocks, and each two blocks make a group.
+    A key's texts are dealt to blocks, and each two blocks make a group. Groups are formed
+    of what is narrow first; texts come only for those that have another to be compared with.
     """
-    size = bodies.select("uid", F.length("text").alias("size"))
-    classed = saved(size.join(components(found), "uid", "left").withColumn("root", F.coalesce("root", "uid")), "classed")
-    rows = saved(rows.select("key", "uid").join(classed, "uid"), "rooted")
-    blocks = F.greatest(F.count("*") / TEXTS, F.sum("size") / CHARACTERS)
+    root = F.coalesce("root", "uid").alias("root")
+    size = known.select("uid", "length", "size", "sketch").join(rows.select("uid").distinct(), "uid", "left_semi")
+    classed = saved(size.join(components(found), "uid", "left").select(*size.columns, root), "classed")
+    rows = saved(rows.select("key", "nth", "uid").join(classed.select("uid", "root", "length"), "uid"), "rooted")
+    blocks = F.greatest(F.count("*") / TEXTS, F.sum("length") / CHARACTERS)
     blocks = F.least(F.ceil(blocks), F.count("*")).cast("int").alias("blocks")
     open_ = rows.groupBy("key").agg(blocks, F.min("root").alias("least"), F.max("root").alias("most"))
     open_ = open_.filter("least <> most").select("key", "blocks")
     block = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int").alias("block")
-    dealt = rows.join(open_, "key").select("key", "uid", "root", "blocks", block)
+    dealt = rows.join(open_, "key").select("key", "nth", "uid", "blocks", block)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    dealt = saved(dealt.select("key", low, high, "block", "uid", "root"), "dealt")
-    grouped = dealt.join(bodies.hint("merge"), "uid").groupBy("key", "low", "high")
-    return saved(grouped.applyInArrow(compared, "a long, b long"), "alike")
+    dealt = saved(dealt.select("key", "nth", low, high, "block", "uid"), "dealt")
+    group = ("key", "low", "high")
+    narrow = dealt.join(classed.select("uid", "root", "size", "sketch"), "uid")
+    wanted = saved(narrow.groupBy(*group).applyInArrow(asked, ASKED), "asked")
+    texts = within(known.select("uid", body().alias("text")), wanted.select("uid"))
+    texts = texts.join(classed.select("uid", "root", "size", "sketch"), "uid")
+    whole = dealt.join(wanted, [*group, "uid"]).join(texts, "uid")
+    return saved(whole.groupBy(*group).applyInArrow(compared, "a long, b long"), "alike")
 
 
 def classes(known: DataFrame) -> DataFrame:
@@ -342,12 +403,8 @@ def classes(known: DataFrame) -> DataFrame:
         F.min(F.struct("id", "uid")).alias("first"), F.min("uid").alias("uid")
     )
     texts = saved(texts, "texts")
-    once = known.select("uid", "keys").join(texts.select("uid"), "uid", "left_semi")
-    shared = shared_keys(once)
-    body = F.coalesce(F.col("document.text").cast("string"), F.lit("")).alias("text")
-    met = shared.select("uid").distinct()
-    bodies = saved(known.select("uid", "keys", body).join(met.hint("merge"), "uid", "left_semi"), "bodies")
-    roots = components(links_of(shared, bodies))
+    shared = shared_keys(within(known.select("uid", "sketch"), texts.select("uid")))
+    roots = components(links_of(shared, known))
     rooted = texts.join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("least"))
     return rooted.join(firsts, "root").select("same_a", "same_b", F.col("least").alias("first"))
@@ -365,5 +422,5 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def keep_first(documents: DataFrame) -> DataFrame:
     """One document of each class, the one of the smallest id, with all its columns."""
     known = prepared(documents)
-    firsts = saved(classes(known).select(F.col("first.uid").alias("uid")).distinct(), "firsts")
-    return known.select("uid", "document").join(firsts, "uid", "left_semi").select("document.*")
+    firsts = classes(known).select(F.col("first.uid").alias("uid")).distinct()
+    return within(known.select("uid", "document"), firsts).select("document.*")

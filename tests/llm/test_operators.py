@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from landfall.llm import boosted_trees, fingerprints, licenses, mixing, near_dedup, oracles, pieces
+from landfall.llm import boosted_trees, common, fingerprints, licenses, mixing, near_dedup, oracles, pieces
 from landfall.llm import quality_rules, queries, repeats, secrets, statistics, warc
 from landfall.llm.common import ship
 
@@ -483,3 +483,12 @@ def test_pipeline(spark, odd):
         assert (now == before) == (name in ("secret_scans", "encoding"))
         before = now
     assert corpus_pipeline.run(spark, FOLDER).count() == before
+
+
+@pytest.mark.parametrize("buckets", [None, 1, 3])
+def test_within_is_a_semi_join(spark, odd, buckets):
+    rows = spark.range(0, 120_000, 1, 5).select(F.monotonically_increasing_id().alias("uid"), "id")
+    rows = common.saved(rows, "rows")
+    for test in ("id % 7 = 1", "id IN (0, 1, 32767, 32768, 32769, 119999)", "id < 70000", "false"):
+        found = common.within(rows, rows.filter(test).select("uid"), buckets)
+        assert sorted(r.id for r in found.collect()) == sorted(r.id for r in rows.filter(test).collect())
