@@ -1,7 +1,7 @@
 """Land, conform, key and incrementally load tables with Spark."""
 
 from .contracts import Contract
-from .functions.digest import content_key
+from .functions.digest import KeyMaking, content_key
 from .functions.names import key_name, qualified_name, staged_name
 from .operators.audit import AUDIT_COLUMNS, stamp
 from .operators.changes import first_per_key, new_rows
@@ -15,10 +15,10 @@ from .operators.conform import (
     violations,
     violations_frame,
 )
-from .operators.keys import add_key, key_sample
+from .operators.keys import KeyMismatch, add_key, key_sample
 from .operators.naming import NameCollision, clean_names
 from .plans.discover import discover
-from .plans.load import LoadResult, load_table, prepare
+from .plans.load import LoadResult, load_table, prepare, rekey
 from .plans.run import last_success, load_all, totals
 from .plans.spec import TableSpec, missing_tables, select_specs
 from .sinks.targets import Target

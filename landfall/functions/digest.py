@@ -1,6 +1,6 @@
 """Content keys as column expressions: D1, D3, D4.
 
-Two encodings turn a row into one string:
+Two encodings turn a row into one string, each in versions that never change:
 
 ``compat``  values in frame order, NULLs skipped, joined by ``||``. Rows that
             differ only in where a NULL stands share a key.
@@ -8,11 +8,14 @@ Two encodings turn a row into one string:
             their byte lengths; arrays and structs likewise, element by element.
             Different rows give different strings, and neither column order
             nor session time zone matters, nor a further column that is all NULL.
+            Version 1 went without names: the length and text of every field by
+            name, -1 for NULL, and nested values as JSON.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -44,6 +47,54 @@ DIGESTS: dict[str, Callable[[Column], Column]] = {
 # Length of a digest in hex digits.
 HEX_DIGITS = {"sha3_512": 128, "sha2_512": 128, "sha2_256": 64}
 
+# Versions of the encodings, the last one of each the present one.
+VERSIONS = {"compat": (1,), "strict": (1, 2)}
+
+
+@dataclass(frozen=True)
+class KeyMaking:
+    """How keys are made: what two keys must have in common to be compared."""
+
+    encoding: str = "strict"
+    digest: str = "sha3_512"
+    nested: str = "reject"
+    version: int | None = None
+
+    def __post_init__(self):
+        if self.encoding not in VERSIONS:
+            raise ValueError(f"unknown key encoding: {self.encoding!r}")
+        if self.digest not in DIGESTS:
+            raise ValueError(f"unknown digest: {self.digest!r}, expected one of {sorted(DIGESTS)}")
+        if self.version is None:
+            object.__setattr__(self, "version", VERSIONS[self.encoding][-1])
+        elif self.version not in VERSIONS[self.encoding]:
+            raise ValueError(f"the {self.encoding} encoding has no version {self.version}")
+
+    @property
+    def name(self) -> str:
+        """As it is recorded with a table."""
+        return "/".join((self.encoding, str(self.version), self.digest, self.nested))
+
+    @classmethod
+    def named(cls, name: str) -> KeyMaking:
+        encoding, version, digest, nested = name.split("/")
+        return cls(encoding, digest, nested, int(version))
+
+    def others(self) -> list[KeyMaking]:
+        """Makings of keys of the same digest."""
+        every = [(e, v) for e, versions in VERSIONS.items() for v in versions]
+        found = [replace(self, encoding=e, version=v) for e, v in every]
+        return [m for m in found if m != self]
+
+    def key(self, fields: Sequence[T.StructField]) -> Column:
+        return content_key(
+            fields,
+            encoding=self.encoding,
+            digest=self.digest,
+            nested=self.nested,
+            version=self.version,
+        )
+
 
 def _holds(data_type: T.DataType, kinds: tuple[type, ...]) -> bool:
     if isinstance(data_type, kinds):
@@ -55,15 +106,17 @@ def _holds(data_type: T.DataType, kinds: tuple[type, ...]) -> bool:
     return False
 
 
-def field_text(field: T.StructField, *, strict: bool, nested: str = "reject") -> Column:
-    """Text of one field for hashing."""
+def field_text(
+    field: T.StructField, *, strict: bool, nested: str = "reject", as_json: bool = False
+) -> Column:
+    """Text of one field for hashing; ``as_json`` writes strict nested values as JSON."""
     column, kind = ref(field.name), field.dataType
     if _holds(kind, (T.MapType, T.VariantType)):
         raise TypeError(f"{field.name}: {kind.simpleString()} has no stable text to hash")
     if isinstance(kind, (T.ArrayType, T.StructType)):
         if nested != "json":
             raise TypeError(f"{field.name}: nested={nested!r} does not hash {kind.simpleString()}")
-        return _nested_text(column, kind) if strict else F.to_json(column)
+        return _nested_text(column, kind) if strict and not as_json else F.to_json(column)
     if strict and isinstance(kind, T.TimestampType):
         return F.unix_micros(column).cast("string")
     if strict and isinstance(kind, T.BinaryType):
@@ -100,9 +153,13 @@ def _named(name: str, text: Column) -> Column:
 
 
 def row_text(
-    fields: Sequence[T.StructField], *, encoding: str = "strict", nested: str = "reject"
+    fields: Sequence[T.StructField],
+    *,
+    encoding: str = "strict",
+    nested: str = "reject",
+    version: int | None = None,
 ) -> Column:
-    """One string for the whole row."""
+    """One string for the whole row, in the present version unless another is named."""
     if encoding == "compat":
         texts = [field_text(f, strict=False, nested=nested) for f in fields]
         return F.concat_ws(SEPARATOR, *texts) if texts else F.lit("")
@@ -110,6 +167,10 @@ def row_text(
         raise ValueError(f"unknown key encoding: {encoding!r}")
     parts: list[Column] = []
     for field in sorted(fields, key=lambda f: f.name):
+        if version == 1:
+            text = field_text(field, strict=True, nested=nested, as_json=True)
+            parts += [F.coalesce(F.octet_length(text), F.lit(-1)).cast("string"), text]
+            continue
         parts.append(_named(field.name, field_text(field, strict=True, nested=nested)))
     return F.concat_ws("|", *parts) if parts else F.lit("")
 
@@ -120,6 +181,7 @@ def content_key(
     encoding: str = "strict",
     digest: str = "sha3_512",
     nested: str = "reject",
+    version: int | None = None,
 ) -> Column:
     """Hex digest over the given fields.
 
@@ -128,5 +190,5 @@ def content_key(
     """
     if digest not in DIGESTS:
         raise ValueError(f"unknown digest: {digest!r}, expected one of {sorted(DIGESTS)}")
-    text = row_text(fields, encoding=encoding, nested=nested)
+    text = row_text(fields, encoding=encoding, nested=nested, version=version)
     return F.coalesce(DIGESTS[digest](text), F.lit(""))

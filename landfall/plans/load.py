@@ -10,16 +10,16 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..functions.digest import HEX_DIGITS
+from ..functions.digest import HEX_DIGITS, KeyMaking
 from ..functions.names import ref
 from ..operators.audit import stamp
 from ..operators.changes import new_rows
 from ..operators.clean import clean, settle_future
 from ..operators.conform import ContractViolation, conform, project, validate, violations
-from ..operators.keys import add_key
+from ..operators.keys import KeyMismatch, add_key, check_making, recognised, recorded, rekeyed
 from ..operators.naming import clean_names
 from ..sinks.targets import Target
-from ..sources.shared import staged
+from ..sources.shared import staged, use_checkpoints
 from .spec import TableSpec
 
 
@@ -68,21 +68,29 @@ class TargetAbsent(LookupError):
     """The mode needs a target that is not there."""
 
 
+def contents(spark: SparkSession, spec: TableSpec, as_of: datetime) -> DataFrame:
+    """The table's rows with the values that keys are made from."""
+    df, contract = spec.source.scan(spark), spec.contract
+    if contract is None:
+        return clean_names(df, spec.names) if spec.names else df
+    df = validate(conform(df, contract), contract.business, types=False)
+    return clean(df, contract, as_of)
+
+
 def prepare(spark: SparkSession, spec: TableSpec, as_of: datetime) -> DataFrame:
     """The table's rows as the targets hold them: one lazy plan, no action.
 
     The key is made from cleaned values, before values later than ``as_of``
     are settled, so it is the same in every run.
     """
-    df, contract, key = spec.source.scan(spark), spec.contract, spec.key_column
-    if contract is None:
-        if spec.names:
-            df = clean_names(df, spec.names)
-    else:
-        df = validate(conform(df, contract), contract.business, types=False)
-        df = clean(df, contract, as_of)
+    contract, key = spec.contract, spec.key_column
     df = add_key(
-        df, key, encoding=spec.encoding, digest=spec.digest, nested=spec.nested
+        contents(spark, spec, as_of),
+        key,
+        encoding=spec.encoding,
+        digest=spec.digest,
+        nested=spec.nested,
+        version=spec.making.version,
     )
     if contract is not None:
         df = settle_future(df, contract, as_of)
@@ -172,13 +180,15 @@ def _missed(spark: SparkSession, spec: TableSpec, batch: DataFrame) -> DataFrame
     landed, held = spec.landing.read(spark), spec.warehouse.read(spark)
     if held is None:
         return landed
+    use_checkpoints(spark)
     missing = new_rows(
         landed.select(ref(key)).filter(ref(key).isNotNull()),
         held.select(ref(key)),
         key,
         dedupe=True,
+        hex_digits=HEX_DIGITS[spec.digest],
         existing_buckets=spec.warehouse.buckets,
-    )
+    ).checkpoint()
     rows = landed.join(missing, key, "left_semi").select(*map(ref, landed.columns))
     loose = batch.filter(ref(key).isNull())
     return rows.unionByName(loose, allowMissingColumns=True)
@@ -191,6 +201,42 @@ def _check_types(batch: DataFrame, target: Target, held: DataFrame) -> None:
         raise ContractViolation(faults)
 
 
+def rekey(
+    spark: SparkSession,
+    spec: TableSpec,
+    target: Target,
+    as_of: datetime | None = None,
+    theirs: KeyMaking | None = None,
+) -> int:
+    """Give a target the keys that loads by the spec make; rows it holds, 0 if nothing was to do.
+
+    How the held keys were made is what the target says or its rows show, or ``theirs``.
+    Rows whose key their own columns no longer give, since values were settled after it
+    was made, are found again in the source, which must still hold them.
+    """
+    key, held = spec.key_column, target.read(spark)
+    if held is None or key is None:
+        return 0
+    theirs = theirs or target.making(held, key) or recognised(held, key, spec.making)
+    if theirs is None:
+        raise KeyMismatch(f"{spec.name}: cannot tell how the held keys were made")
+    if theirs == spec.making:
+        return 0
+    before = target.count(spark, held)
+    source = None
+    if spec.contract is not None:
+        source = contents(spark, spec, as_of or datetime.now(UTC))
+    rows = rekeyed(held, key, spec.making, theirs, source)
+    if target.publish == "switch" and not target.buckets:
+        written = target.overwrite(rows, key)
+    else:
+        with staged(rows) as copy:
+            written = target.overwrite(recorded(copy, key, spec.making), key)
+    if written != before:
+        raise CountMismatch(f"held {before}, re-keyed {written}")
+    return written
+
+
 def fill(
     spark: SparkSession,
     spec: TableSpec,
@@ -211,13 +257,18 @@ def fill(
         raise TargetAbsent("target does not exist")
     if held is not None:
         _check_types(batch, target, held)
+        if key and spec.mode != "truncate_append":
+            check_making(held, key, spec.making, target.making(held, key))
     if spec.replaces:
         write, rows = target.overwrite, batch
     elif spec.mode in ("append", "truncate_append"):
+        write, rows = target.append, batch
         if spec.mode == "truncate_append":
-            target.truncate(spark, batch.schema, key)
             before = 0
-        write, rows = target.append, batch
+            if target.publish == "switch":
+                write = target.overwrite
+            else:
+                target.truncate(spark, batch.schema, key)
     else:
         write = target.overwrite if held is None else target.append
         rows = new_rows(
@@ -231,7 +282,7 @@ def fill(
             existing_buckets=target.buckets,
             compact=not target.buckets,
         )
-    written = write(rows, key)
+    written = write(recorded(rows, key, spec.making) if key else rows, key)
     after = target.count(spark)
     if after != before + written or (spec.replaces and offered not in (None, written)):
         raise CountMismatch(f"held {before}, offered {offered}, wrote {written}, holds {after}")

@@ -9,6 +9,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import Contract
+from ..functions.digest import KeyMaking
 from ..operators.audit import CREATOR
 from ..sinks.targets import Target
 
@@ -49,6 +50,8 @@ class TableSpec:
     # Of the key; by default the contract's, without one "strict" and "sha3_512".
     key_encoding: str | None = None
     key_digest: str | None = None
+    # Of the encoding; the present one unless an older one is named.
+    key_version: int | None = None
     nested: str = "reject"
     dedupe: bool | None = None
     landing: Target | None = None
@@ -83,6 +86,10 @@ class TableSpec:
     def digest(self) -> str:
         return self.key_digest or (self.contract.key_digest if self.contract else "sha3_512")
 
+    @property
+    def making(self) -> KeyMaking:
+        return KeyMaking(self.encoding, self.digest, self.nested, self.key_version)
+
     @property
     def one_per_key(self) -> bool:
         return self.encoding == "strict" if self.dedupe is None else self.dedupe

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..plans.load import load_table
+from ..plans.load import load_table, rekey
 from ..plans.run import load_all
 from ..plans.spec import TableSpec, missing_tables, select_specs
 from ..sinks.targets import Target
@@ -203,3 +203,43 @@ def expected_tables(spark, folder):
     """Which of the wanted names the market segments do not list."""
     segments = table(spark, folder, "customer").select(F.lower("c_mktsegment").alias("table_name"))
     return missing_tables(spark, ("part", "building", "machinery"), segments)
+
+
+@query(_ALL)
+def rekeyed_then_loaded(spark, folder):
+    """Old orders were landed under the first version of the encoding; no order comes twice."""
+    orders, old = _halves(spark, folder)
+    target = Target(path=new_folder(spark, "orders"), publish="switch")
+    _load(spark, old, target, key_version=1)
+    rekey(spark, _order_spec(orders, None, landing=target), target)
+    _load(spark, orders, target)
+    return wall_clock(target.read(spark))
+
+
+@query(
+    f"""
+    SELECT 'orders' AS "table", 'failed' AS status,
+           'KeyMismatch: held keys are strict/1/sha2_256/reject, the load''s '
+             || 'strict/2/sha2_256/reject: re-key the table' AS reason, count(*) AS held
+    FROM orders WHERE {_OLD}
+    """
+)
+def keys_of_another_making(spark, folder):
+    """A load is refused where the target's keys were made in another way."""
+    orders, old = _halves(spark, folder)
+    target = _target(spark)
+    _load(spark, old, target, key_version=1)
+    report = load_all(spark, [_order_spec(orders, None, landing=target)], load_time(spark))
+    held = target.read(spark).agg(F.count(F.lit(1)).alias("held"))
+    return report.select("table", "status", "reason").join(held)
+
+
+@query(f"{_ALL} WHERE {_OLD}")
+def switched_result(spark, folder):
+    """Replaced twice by a switch, once as a whole and once by dropping all rows first."""
+    orders, old = _halves(spark, folder)
+    target = Target(path=new_folder(spark, "orders"), publish="switch")
+    _load(spark, orders, target, mode="historical")
+    _load(spark, orders.limit(3), target, mode="historical")
+    _load(spark, old, target, mode="truncate_append")
+    return wall_clock(target.read(spark))

@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.digest import KeyMaking
 from ..functions.names import ref
+from ..operators.keys import RECORD, making_of
 from ..sources.tables import TableSource, empty_frame, read_if_present
+from .publish import ordered_as, recover, replace_folder, replace_table
 
 # Reader options that go with a table, not with a query.
 _SCAN_OPTIONS = {"dbtable", "partitioncolumn", "lowerbound", "upperbound", "numpartitions"}
@@ -31,6 +34,9 @@ class Target:
     ``buckets`` (catalog tables only) keeps the table hashed by its key, so that
     finding new rows never shuffles it; it asks for loads that keep one row per
     key.
+
+    ``publish`` says how the table is replaced: ``direct`` by Spark's overwrite, or
+    ``switch``, beside the table and then in one step (see :mod:`.publish`).
     """
 
     path: str | None = None
@@ -42,10 +48,15 @@ class Target:
     on_truncate: Mapping[str, str] = field(default_factory=lambda: {"truncate": "true"})
     exists_sql: str | None = None
     buckets: int | None = None
+    publish: str = "direct"
 
     def __post_init__(self):
         if self.path and self.table:
             raise ValueError("a target has a path or a table name, not both")
+        if self.publish not in ("direct", "switch"):
+            raise ValueError("publish must be 'direct' or 'switch'")
+        if self.publish == "switch" and not (self.path or self.table):
+            raise ValueError("only folders and catalog tables can be switched")
         if self.buckets and not self.table:
             raise ValueError("only catalog tables have buckets")
 
@@ -53,6 +64,8 @@ class Target:
         """The whole table, or ``None`` if it does not exist."""
         if self.table:
             return spark.read.table(self.table) if spark.catalog.tableExists(self.table) else None
+        if self.path and self.publish == "switch":
+            recover(spark, self.path)
         if self.exists_sql and not self._ask(spark, self.exists_sql).take(1):
             return None
         return read_if_present(spark, TableSource(self.path, self.format, self.options))
@@ -80,6 +93,25 @@ class Target:
             return int(self._ask(spark, f"SELECT COUNT(*) AS total FROM {name}").first()[0])
         return held.count()
 
+    def making(self, held: DataFrame, key: str) -> KeyMaking | None:
+        """How the table says its keys were made; connectors that keep no notes say nothing.
+
+        Files have a note on the column. A catalog table's columns keep their first notes,
+        so it has one of its own.
+        """
+        if key not in held.columns:
+            return None
+        if self.table:
+            notes = held.sparkSession.sql(f"SHOW TBLPROPERTIES {self.table}")
+            note = notes.filter(F.col("key") == RECORD).first()
+            return KeyMaking.named(note["value"]) if note else None
+        return making_of(held, key)
+
+    def _note(self, df: DataFrame, key: str | None) -> None:
+        if self.table and key and RECORD in df.schema[key].metadata:
+            note = df.schema[key].metadata[RECORD]
+            df.sparkSession.sql(f"ALTER TABLE {self.table} SET TBLPROPERTIES ('{RECORD}' = '{note}')")
+
     def _ask(self, spark: SparkSession, sql: str) -> DataFrame:
         """Result of a query the connector passes on."""
         options = {k: v for k, v in self.options.items() if k.lower() not in _SCAN_OPTIONS}
@@ -87,6 +119,8 @@ class Target:
 
     def overwrite(self, df: DataFrame, key: str | None = None) -> int:
         """Replace the table (K1, K4); rows written."""
+        if self.publish == "switch":
+            return self._switch(df, key)
         return self._write(df, "overwrite", key, self.on_overwrite)
 
     def append(self, df: DataFrame, key: str | None = None) -> int:
@@ -98,6 +132,17 @@ class Target:
         self._write(empty_frame(spark, schema), "overwrite", key, self.on_truncate)
 
     def _write(self, df: DataFrame, mode: str, key: str | None, more: Mapping[str, str]) -> int:
+        writer, seen = self._writer(df, mode, key, more)
+        if self.table:
+            writer.saveAsTable(self.table)
+        elif self.path:
+            writer.save(self.path)
+        else:
+            writer.save()
+        self._note(df, key)
+        return seen.get["rows"]
+
+    def _writer(self, df: DataFrame, mode: str, key: str | None, more: Mapping[str, str]):
         if self.buckets:
             df = df.repartition(self.buckets, ref(key))
         # Counted in the tasks that write, as rows of a task that is run again
@@ -107,10 +152,23 @@ class Target:
         writer = df.write.format(self.format).options(**{**self.options, **more}).mode(mode)
         if self.buckets:
             writer = writer.bucketBy(self.buckets, key).sortBy(key)
+        return writer, seen
+
+    def _switch(self, df: DataFrame, key: str | None) -> int:
+        spark = df.sparkSession
+        if self.table and not spark.catalog.tableExists(self.table):
+            return self._write(df, "overwrite", key, self.on_overwrite)
         if self.table:
-            writer.saveAsTable(self.table)
-        elif self.path:
-            writer.save(self.path)
+            df = ordered_as(df, spark.read.table(self.table))
+        writer, seen = self._writer(df, "errorifexists", key, self.on_overwrite)
+        if self.path:
+            replace_folder(spark, self.path, writer.save)
         else:
-            writer.save()
+            replace_table(
+                spark,
+                self.table,
+                df,
+                lambda name, place: writer.option("path", place).saveAsTable(name),
+            )
+            self._note(df, key)
         return seen.get["rows"]
