@@ -15,8 +15,10 @@ from .operators.conform import (
     violations,
     violations_frame,
 )
+from .operators.key_filter import KeyFilter
 from .operators.keys import KeyMismatch, add_key, key_sample
 from .operators.naming import NameCollision, clean_names
+from .operators.snapshots import changed_rows, tally_both
 from .plans.discover import discover
 from .plans.load import LoadResult, load_table, prepare, rekey
 from .plans.run import last_success, load_all, totals

@@ -271,19 +271,48 @@ def fill(
                 target.truncate(spark, batch.schema, key)
     else:
         write = target.overwrite if held is None else target.append
+        kept = target.key_filter
+        if kept and not fresh and before and kept.rows(spark) == before:
+            existing, existing_rows = kept.known(batch, key).checkpoint(), None
+        else:
+            existing, existing_rows = (None, None) if fresh else (held, before)
         rows = new_rows(
             batch,
-            None if fresh else held,
+            existing,
             key,
             dedupe=spec.one_per_key,
             batch_rows=offered,
-            existing_rows=None if fresh else before,
+            existing_rows=existing_rows,
             hex_digits=HEX_DIGITS[spec.digest],
             existing_buckets=target.buckets,
             compact=not target.buckets,
         )
+    keys = _kept_keys(spark, spec, target, rows, before)
     written = write(recorded(rows, key, spec.making) if key else rows, key)
     after = target.count(spark)
     if after != before + written or (spec.replaces and offered not in (None, written)):
         raise CountMismatch(f"held {before}, offered {offered}, wrote {written}, holds {after}")
+    if target.key_filter and key:
+        _keep_keys(spark, target, key, keys, written, after)
     return before, written, after
+
+
+def _kept_keys(spark, spec: TableSpec, target: Target, rows: DataFrame, before: int):
+    """The keys about to be written, if the target's filter is in step with what it holds.
+
+    They are written down first: once the rows are there, they are no longer new.
+    """
+    kept, by_key = target.key_filter, spec.mode in ("incremental", "incremental_insert")
+    if not (kept and by_key and spec.key_column and before) or kept.rows(spark) != before:
+        return None
+    use_checkpoints(spark)
+    return rows.select(ref(spec.key_column)).checkpoint()
+
+
+def _keep_keys(spark, target: Target, key: str, keys: DataFrame | None, written: int, after: int):
+    """Bring the target's filter in step: by the keys written, or anew from all it holds."""
+    if keys is not None and written:
+        target.key_filter.add(keys, key, written)
+    elif keys is None:
+        target.key_filter.clear(spark)
+        target.key_filter.add(target.keys(spark, key), key, after)

@@ -8,6 +8,7 @@ from ..operators.audit import AUDIT_COLUMNS, stamp
 from ..operators.changes import new_rows
 from ..operators.keys import add_key
 from ..operators.naming import clean_names
+from ..operators.snapshots import changed_rows, tally_both
 from .registry import (
     AS_OF,
     LOADED_UNTIL,
@@ -119,3 +120,53 @@ def new_rows_small_batch(spark, folder):
     lots = table(spark, folder, "lineitem").filter(F.col("l_quantity") >= 45)
     sold = lots.select(F.col("l_partkey").alias("p_partkey"))
     return new_rows(parts, sold, "p_partkey")
+
+
+# A later snapshot of the orders: some are gone, some cost more, some come twice.
+_SNAPSHOT = f"""
+    SELECT {", ".join(c for c in ORDERS if c != "o_totalprice")},
+           CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+    FROM orders WHERE o_orderkey % 5 <> 0
+    UNION ALL SELECT {", ".join(c for c in ORDERS if c != "o_totalprice")}, o_totalprice
+    FROM orders WHERE o_orderkey % 11 = 0
+"""
+_PLAIN = f"SELECT {', '.join(c for c in ORDERS if c != 'o_totalprice')}, o_totalprice FROM orders"
+
+
+def _snapshot(spark, folder):
+    orders = table(spark, folder, "orders").select(*ORDERS)
+    price = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    later = orders.filter(F.col("o_orderkey") % 5 != 0).withColumn("o_totalprice", price)
+    later = later.unionByName(orders.filter(F.col("o_orderkey") % 11 == 0))
+    keyed = lambda rows: add_key(rows, "order_key", digest="sha2_256")
+    return keyed(later), keyed(orders)
+
+
+@query(
+    f"""
+    SELECT 'new' AS change, * FROM (({_SNAPSHOT}) EXCEPT ALL ({_PLAIN})) n
+    UNION ALL SELECT 'gone', * FROM (({_PLAIN}) EXCEPT ALL ({_SNAPSHOT})) g
+    """
+)
+def snapshot_changes(spark, folder):
+    """What a full snapshot adds to the orders held, and what it no longer has."""
+    later, held = _snapshot(spark, folder)
+    new, gone = changed_rows(later, held, "order_key")
+    both = new.withColumn("change", F.lit("new")).unionByName(gone.withColumn("change", F.lit("gone")))
+    return both.drop("order_key")
+
+
+@query(
+    f"""
+    SELECT offered, held, count(*) AS row_count FROM (
+        SELECT count(*) FILTER (WHERE side = 1) AS offered, count(*) FILTER (WHERE side = 2) AS held
+        FROM (SELECT *, 1 AS side FROM ({_SNAPSHOT}) UNION ALL SELECT *, 2 FROM ({_PLAIN})) b
+        GROUP BY {", ".join(ORDERS)}) c
+    WHERE offered <> held GROUP BY offered, held
+    """
+)
+def snapshot_tally(spark, folder):
+    """How often rows occur in a snapshot and in what is held, where that differs."""
+    later, held = _snapshot(spark, folder)
+    tally = tally_both(later, held, "order_key").toDF("order_key", "offered", "held")
+    return tally.groupBy("offered", "held").agg(F.count(F.lit(1)).alias("row_count"))

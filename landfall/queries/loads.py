@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.key_filter import KeyFilter
 from ..plans.load import load_table, rekey
 from ..plans.run import load_all
 from ..plans.spec import TableSpec, missing_tables, select_specs
@@ -243,3 +244,15 @@ def switched_result(spark, folder):
     _load(spark, orders.limit(3), target, mode="historical")
     _load(spark, old, target, mode="truncate_append")
     return wall_clock(target.read(spark))
+
+
+@query(_ALL)
+def append_by_key_filter(spark, folder):
+    """Three loads that ask a kept filter, the last two bringing rows that are held already."""
+    orders, old = _halves(spark, folder)
+    home = new_folder(spark, "orders")
+    target = Target(path=f"{home}/rows", key_filter=KeyFilter(f"{home}/keys"))
+    _load(spark, old.filter(F.pmod("o_orderkey", F.lit(2)) == 0), target)
+    _load(spark, old, target)
+    _load(spark, orders, target)
+    return wall_clock(target.read(spark))

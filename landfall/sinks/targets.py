@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.digest import KeyMaking
 from ..functions.names import ref
+from ..operators.key_filter import KeyFilter
 from ..operators.keys import RECORD, making_of
 from ..sources.tables import TableSource, empty_frame, read_if_present
 from .publish import ordered_as, recover, replace_folder, replace_table
@@ -37,6 +38,9 @@ class Target:
 
     ``publish`` says how the table is replaced: ``direct`` by Spark's overwrite, or
     ``switch``, beside the table and then in one step (see :mod:`.publish`).
+
+    ``key_filter`` is kept beside the table, so that loads of small batches by key do
+    not read all keys held.
     """
 
     path: str | None = None
@@ -49,6 +53,7 @@ class Target:
     exists_sql: str | None = None
     buckets: int | None = None
     publish: str = "direct"
+    key_filter: KeyFilter | None = None
 
     def __post_init__(self):
         if self.path and self.table:
