@@ -58,11 +58,11 @@ class KeyFilter:
         held = keys.filter(ref(key).isNotNull()).select(ref(key).alias("key"))
         place = held.select("key", self._prefix("key", FILE_DIGITS).alias("digits"))
         place = place.repartition("digits").sortWithinPartitions("digits", "key")
-        place.write.partitionBy("digits").parquet(f"{self.folder}/keys/{run}")
-        kept = spark.read.schema("key string").parquet(f"{self.folder}/keys/{run}")
+        place.write.partitionBy("digits").parquet(f"{self.folder}/keys/run={run}")
+        kept = spark.read.schema("key string").parquet(f"{self.folder}/keys/run={run}")
         bits = kept.select(self._prefix("key", self.digits).alias("prefix"), F.explode(_places("key")).alias("at"))
         bits = bits.groupBy("prefix").agg(F.bitmap_construct_agg("at").alias("bits"))
-        bits.write.parquet(f"{self.folder}/filters/{run}")
+        bits.write.parquet(f"{self.folder}/filters/run={run}")
         line = spark.createDataFrame([(run, rows)], "run string, rows long")
         line.coalesce(1).write.mode("append").parquet(f"{self.folder}/runs")
 
@@ -74,7 +74,7 @@ class KeyFilter:
         offered = offered.select("key", self._prefix("key", self.digits).alias("prefix"))
         filters = None
         for run in runs:
-            own = spark.read.schema("prefix string, bits binary").parquet(f"{self.folder}/filters/{run}")
+            own = spark.read.schema("prefix string, bits binary").parquet(f"{self.folder}/filters/run={run}")
             own = own.withColumn("run", F.lit(run))
             filters = own if filters is None else filters.unionByName(own)
         tested = offered.join(filters, "prefix")
@@ -97,21 +97,25 @@ class KeyFilter:
         files = maybe.select("run", self._prefix("key", FILE_DIGITS).alias("digits")).distinct()
         named = files.limit(MOST_FILES + 1).collect()
         if len(named) > MOST_FILES:
-            paths = [f"{self.folder}/keys/{r.run}" for r in self._runs(spark).collect()]
+            paths = [f"{self.folder}/keys/run={r.run}" for r in self._runs(spark).collect()]
         else:
-            paths = [f"{self.folder}/keys/{f.run}/digits={f.digits}" for f in named]
+            paths = [f"{self.folder}/keys/run={f.run}/digits={f.digits}" for f in named]
         # a run without keys has no files, and a key that seems held may have none either
         paths = [p for p in paths if path_exists(spark, p)]
         if not paths:
             return spark.createDataFrame([], "key string")
-        return spark.read.schema("key string").parquet(*paths).select("key")
+        return self._keys_in(spark, paths)
+
+    def _keys_in(self, spark: SparkSession, paths: list[str]) -> DataFrame:
+        reader = spark.read.schema("key string").option("basePath", f"{self.folder}/keys")
+        return reader.parquet(*paths).select("key")
 
     def compact(self, spark: SparkSession) -> None:
         """Bring all runs into one, so that a key is tested against one filter."""
         runs = [r.run for r in self._runs(spark).collect()]
-        paths = [f"{self.folder}/keys/{run}" for run in runs]
+        paths = [f"{self.folder}/keys/run={run}" for run in runs]
         fresh = KeyFilter(f"{self.folder}-{uuid.uuid4().hex}", self.digits)
-        keys = spark.read.schema("key string").parquet(*paths).select("key")
+        keys = self._keys_in(spark, paths)
         fresh.add(keys, "key", self.rows(spark))
         self.clear(spark)
         files, place = _hadoop(spark, fresh.folder)

@@ -39,6 +39,8 @@ def test_small_batches_read_few_key_files(spark, tmp_path):
     fresh = keys(spark, 50_000, 50_050)
     assert len(held.lookup(held.maybe(fresh, "K").limit(0)).inputFiles()) == 0
     assert held.known(fresh, "K").collect() == []
+    both = keys(spark, 19_990, 20_010)
+    assert held.known(both, "K").count() == 20
     assert held.known(spark.sql("SELECT CAST(NULL AS STRING) AS K"), "K").collect() == []
 
 
