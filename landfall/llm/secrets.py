@@ -4,8 +4,8 @@ Base patterns are an assignment to a telling name, an access key, and a long run
 hex digits. The entropy scan slides a window over candidate strings, keeps the
 count of every character in it, and corrects the Shannon entropy by the two
 characters that change at each step. Each character class has a threshold of its
-own. Strings that an allow-list knows as harmless (addresses, paths, identifiers in
-a public form, words without digits) are passed over.
+own. An allow-list takes out what is harmless, segment by segment: names, joined words,
+numbers, identifiers in a public form; so a key in a path or behind a name is found.
 
 Edge cases: a NULL text is an empty one and has no spans. A NULL id is kept.
 Repeated rows get equal results, an empty table an empty one. Texts are scanned
@@ -37,24 +37,44 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "entropy")
 
-WINDOW = 24
+WINDOW = 20
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}")
-# Least bits a character in a window, by class of the candidate.
-THRESHOLDS = {"hex": 3.0, "alphanumeric": 3.9, "base64": 4.0}
-ALLOWED = (
-    re.compile(r"[A-Za-z+/_=-]+"),
-    re.compile(r"[0-9+/_=-]+"),
-    re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"[a-z0-9]+([-_/][a-z0-9]*[a-z][a-z0-9]*){3,}"),
-)
+# Least bits a character in a window, by class of the string: a random one of that class
+# has them but for a few in a hundred.
+THRESHOLDS = {"hex": 3.0, "letters": 3.55, "alphanumeric": 3.55, "base64": 3.7}
+# Allow-list: forms of public identifiers, words (also joined ones), and numbers.
+PUBLIC = re.compile(r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-fA-F])")
+SEGMENT = re.compile(r"[A-Za-z0-9]+")
+NAME = re.compile(r"([A-Za-z]+)[0-9]{0,4}|[0-9]+")
+PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# Letters that make one sound, and rows of sounds that words do not have.
+SOUND = re.compile(r"sch|ch|ck|gh|ng|ph|sh|st|th|tz")
+UNLIKE_WORDS = re.compile(r"[^aeiouy]{6}|[aeiouy]{5}|^[^aeiouy]{3,}$")
+# Characters that are left of a stretch once the allow-list has been through it.
+LEAST_LEFT = 16
 _TERM = [0.0, 0.0] + [n * math.log2(n) for n in range(2, WINDOW + 1)]
 _HINTS = ("passw", "secret", "token", "api")
 
 
-def class_of(candidate: str) -> str:
-    if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", candidate):
+def class_of(string: str) -> str:
+    if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", string):
         return "hex"
-    return "alphanumeric" if candidate.isalnum() else "base64"
+    if string.isalpha():
+        return "letters"
+    return "alphanumeric" if string.isalnum() else "base64"
+
+
+def harmless(segment: str) -> bool:
+    """Whether letters and digits between two signs read as a name or a number."""
+    m = NAME.fullmatch(segment)
+    if m is None:
+        return False
+    if m[1] is None or len(m[1]) <= 4:
+        return True
+    parts = PART.findall(m[1])
+    if len(m[1]) < 3 * len(parts):
+        return False
+    return not any(UNLIKE_WORDS.search(SOUND.sub("t", part.lower())) for part in parts)
 
 
 def window_spans(candidate: str, threshold: float, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -95,14 +115,37 @@ def base_spans(text: str) -> list[Span]:
 
 
 def entropy_spans(text: str) -> list[Span]:
-    """Stretches of high entropy within candidate strings that the allow-list doesn't know."""
+    """Stretches of high entropy in candidate strings, less what the allow-list knows of them.
+
+    Windows slide over each long segment of a candidate, and over the candidate as a
+    whole. The allow-list looks at single segments: of a stretch those go that read as
+    names or numbers, at both ends, and the stretch goes if little is left of it.
+    """
     found: list[Span] = []
     for m in CANDIDATE.finditer(text):
-        candidate = m.group()
-        if any(known.fullmatch(candidate) for known in ALLOWED):
+        candidate = PUBLIC.sub(lambda u: "-" * len(u[0]), m.group())
+        segments = [(s.start(), s.end()) for s in SEGMENT.finditer(candidate) if not harmless(s[0])]
+        if not segments:
             continue
-        for start, end in window_spans(candidate, THRESHOLDS[class_of(candidate)]):
-            found.append(("entropy", m.start() + start, m.start() + end))
+        stretches = []
+        if any(c in candidate for c in "+/_=-"):
+            stretches = window_spans(candidate, THRESHOLDS["base64"])
+        for start, end in segments:
+            if end - start >= WINDOW:
+                piece = candidate[start:end]
+                spans = window_spans(piece, THRESHOLDS[class_of(piece)])
+                stretches += [(start + a, start + b) for a, b in spans]
+        kept: list[tuple[int, int]] = []
+        for start, end in sorted(stretches):
+            inside = [(max(a, start), min(b, end)) for a, b in segments if a < end and b > start]
+            if sum(b - a for a, b in inside) < LEAST_LEFT:
+                continue
+            start, end = inside[0][0], inside[-1][1]
+            if kept and start <= kept[-1][1]:
+                start, before = kept.pop()
+                end = max(end, before)
+            kept.append((start, end))
+        found += [("entropy", m.start() + a, m.start() + b) for a, b in kept]
     return found
 
 

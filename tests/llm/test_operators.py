@@ -293,19 +293,78 @@ def test_secrets_are_brute_force(documents):
         assert got.n_assign == sum(k == "assign" for k, _, _ in base)
 
 
+def brute_windows(piece, threshold):
+    """Stretches by the entropy of every window, each worked out from its own counts."""
+    out = []
+    for end in range(secrets.WINDOW, len(piece) + 1):
+        counts = Counter(piece[end - secrets.WINDOW : end]).values()
+        bits = -sum(n / secrets.WINDOW * np.log2(n / secrets.WINDOW) for n in counts)
+        if bits >= threshold - 1e-9:
+            if out and out[-1][1] >= end - secrets.WINDOW:
+                out[-1] = (out[-1][0], end)
+            else:
+                out.append((end - secrets.WINDOW, end))
+    return out
+
+
+def brute_entropy(text):
+    """Positions that entropy spans cover."""
+    out = set()
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        body = re.sub(secrets.PUBLIC, lambda u: "-" * 36, m.group())
+        odd = [(s.start(), s.end()) for s in re.finditer("[A-Za-z0-9]+", body) if not secrets.harmless(s.group())]
+        tried = [(0, len(body), "base64")] if re.search(r"[+/_=-]", body) else []
+        tried += [(a, b, secrets.class_of(body[a:b])) for a, b in odd if b - a >= secrets.WINDOW]
+        for a, b, kind in tried:
+            for c, d in brute_windows(body[a:b], secrets.THRESHOLDS[kind]):
+                c, d = a + c, a + d
+                inside = [(max(c, x), min(d, y)) for x, y in odd if x < d and y > c]
+                if sum(y - x for x, y in inside) >= secrets.LEAST_LEFT:
+                    out |= set(range(m.start() + inside[0][0], m.start() + inside[-1][1]))
+    return out
+
+
+def test_entropy_spans_are_brute_force_over_whole_texts(documents):
+    random = np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_/+= ")
+    made = ["".join(random.choice(letters[:k], 200)) for k in (26, 36, 52, 62, 64, 67, 68) for _ in range(30)]
+    for text in [r.text or "" for r in documents.collect()] + made:
+        spans = secrets.entropy_spans(text)
+        covered = [i for _, a, b in spans for i in range(a, b)]
+        assert len(covered) == len(set(covered)) and set(covered) == brute_entropy(text)
+
+
+@pytest.mark.parametrize(
+    "text, key",
+    [
+        ("reset/user/token/x9k2m4p7q1z8w3v6t5r0y2u4", "x9k2m4p7q1z8w3v6t5r0y2u4"),
+        ("svc-prod-eu-k8x2m9q4z7w1v6t3r5y0p2n8", "k8x2m9q4z7w1v6t3r5y0p2n8"),
+        ("set qzXvKpLmWtRbNcYsHdGf now", "qzXvKpLmWtRbNcYsHdGf"),
+        ("x x9k2m4p7q1z8w3v6t5r0.", "x9k2m4p7q1z8w3v6t5r0"),
+    ],
+)
+def test_keys_in_paths_and_behind_names(text, key):
+    assert [text[a:b] for _, a, b in secrets.entropy_spans(text)] == [key]
+    assert secrets.masked(text) == text.replace(key, "[SECRET]")
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "see 123e4567-e89b-12d3-a456-426614174000 and some-long-words-in-a-row",
+        "users/123e4567-e89b-12d3-a456-426614174000/photos",
+        "getElementsByClassNameFromDocument internationalization_of_configuration_parameters",
+        "articles/2020/09/12/quick-brown-fox-jumps-over-lazy-dog /usr/local/lib/python3/site-packages",
+        "a" * 40 + " " + "-" * 50 + " " + "0123456789" * 4 + " Donaudampfschifffahrtsgesellschaft",
+    ],
+)
+def test_names_and_public_forms_are_left_alone(text):
+    assert secrets.entropy_spans(text) == []
+
+
 def test_entropy_windows():
     candidate = "aaaaaaaaaaaaaaaa0f3b9c72d1e84a5607c2b9d8e1f4a3c5"
-    expected = []
-    for end in range(secrets.WINDOW, len(candidate) + 1):
-        window = Counter(candidate[end - secrets.WINDOW : end])
-        bits = -sum(n / secrets.WINDOW * np.log2(n / secrets.WINDOW) for n in window.values())
-        if bits >= 3.0:
-            if expected and expected[-1][1] >= end - secrets.WINDOW:
-                expected[-1] = (expected[-1][0], end)
-            else:
-                expected.append((end - secrets.WINDOW, end))
-    assert secrets.window_spans(candidate, 3.0) == expected != []
-    assert secrets.entropy_spans("see 123e4567-e89b-12d3-a456-426614174000 and some-long-words-in-a-row") == []
+    assert secrets.window_spans(candidate, 3.0) == brute_windows(candidate, 3.0) != []
     assert "abcdef123" not in secrets.masked('x password = "abcdef123" y')
 
 
