@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,20 +71,31 @@ def _moment(source, kind, value, text, contract: Contract, as_of) -> Column:
     return parsed if is_date else cleaning.in_range(parsed.cast(kind), as_of)
 
 
-def clean(df: DataFrame, contract: Contract, as_of: Moment = None) -> DataFrame:
+def clean(
+    df: DataFrame,
+    contract: Contract,
+    as_of: Moment = None,
+    losses: Observation | None = None,
+) -> DataFrame:
     """Clean every contract column in one projection; others pass through.
 
-    Of the others, only timestamps are range-checked (P8, C12).
+    Of the others, only timestamps are range-checked (P8, C12). ``losses`` gets, for each
+    column, how many values became NULL; it is filled by the first job over the frame,
+    which has to read it whole, and costs no job of its own.
     """
     targets = {f.name: f for f in contract.business.fields}
-    return df.select(
-        *(
-            _cleaned(field, targets[field.name], contract, as_of).alias(field.name)
-            if field.name in targets
-            else _raw(field, as_of).alias(field.name)
-            for field in df.schema.fields
-        )
-    )
+    cleaned = [
+        _cleaned(field, targets[field.name], contract, as_of).alias(field.name)
+        if field.name in targets
+        else _raw(field, as_of).alias(field.name)
+        for field in df.schema.fields
+    ]
+    if losses is None:
+        return df.select(*cleaned)
+    had = {name: f"__had_{place}" for place, name in enumerate(df.columns)}
+    both = df.select(*cleaned, *(ref(name).isNotNull().alias(flag) for name, flag in had.items()))
+    counts = [F.count_if(ref(flag) & ref(name).isNull()).alias(name) for name, flag in had.items()]
+    return both.observe(losses, *counts).drop(*had.values())
 
 
 def settle_future(df: DataFrame, contract: Contract, as_of: Moment = None) -> DataFrame:

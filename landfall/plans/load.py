@@ -7,7 +7,8 @@ from contextlib import contextmanager
 from dataclasses import dataclass, fields
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.digest import HEX_DIGITS, KeyMaking
@@ -41,6 +42,8 @@ class LoadResult:
     warehouse_after: int | None = None
     as_of: datetime | None = None
     seconds: float | None = None
+    # Column -> values that cleaning made NULL, if they were counted.
+    lost: dict[str, int] | None = None
 
     def row(self) -> tuple:
         return tuple(getattr(self, f.name) for f in fields(self))
@@ -54,6 +57,7 @@ _COUNTS = {"source_rows", "offered", "landing_before", "landed", "landing_after"
 _TYPES = dict.fromkeys(_COUNTS, T.LongType()) | {
     "as_of": T.TimestampType(),
     "seconds": T.DoubleType(),
+    "lost": T.MapType(T.StringType(), T.LongType()),
 }
 RESULT_SCHEMA = T.StructType(
     [T.StructField(f.name, _TYPES.get(f.name, T.StringType())) for f in fields(LoadResult)]
@@ -64,20 +68,28 @@ class CountMismatch(RuntimeError):
     """Rows got lost or came up on the way."""
 
 
+class ContentMismatch(RuntimeError):
+    """As many rows as there should be, but not the ones written."""
+
+
 class TargetAbsent(LookupError):
     """The mode needs a target that is not there."""
 
 
-def contents(spark: SparkSession, spec: TableSpec, as_of: datetime) -> DataFrame:
+def contents(
+    spark: SparkSession, spec: TableSpec, as_of: datetime, losses: Observation | None = None
+) -> DataFrame:
     """The table's rows with the values that keys are made from."""
     df, contract = spec.source.scan(spark), spec.contract
     if contract is None:
         return clean_names(df, spec.names) if spec.names else df
     df = validate(conform(df, contract), contract.business, types=False)
-    return clean(df, contract, as_of)
+    return clean(df, contract, as_of, losses)
 
 
-def prepare(spark: SparkSession, spec: TableSpec, as_of: datetime) -> DataFrame:
+def prepare(
+    spark: SparkSession, spec: TableSpec, as_of: datetime, losses: Observation | None = None
+) -> DataFrame:
     """The table's rows as the targets hold them: one lazy plan, no action.
 
     The key is made from cleaned values, before values later than ``as_of``
@@ -85,7 +97,7 @@ def prepare(spark: SparkSession, spec: TableSpec, as_of: datetime) -> DataFrame:
     """
     contract, key = spec.contract, spec.key_column
     df = add_key(
-        contents(spark, spec, as_of),
+        contents(spark, spec, as_of, losses),
         key,
         encoding=spec.encoding,
         digest=spec.digest,
@@ -101,17 +113,22 @@ def prepare(spark: SparkSession, spec: TableSpec, as_of: datetime) -> DataFrame:
 
 
 @contextmanager
-def _batch(spark: SparkSession, spec: TableSpec, as_of: datetime):
+def _batch(spark: SparkSession, spec: TableSpec, as_of: datetime, losses: Observation | None):
     """The prepared rows, and their number if it is known before they are written.
 
     A load that replaces its target reads the source once anyway. Others look
     at the batch several times, so a source that may change is staged first.
+    Losses are counted by the one job that is sure to read all rows: the write of a load
+    that replaces, the staging, else the counting of the batch.
     """
-    df = prepare(spark, spec, as_of)
-    if spec.source.repeatable:
-        yield df, df.count()
+    plain = prepare(spark, spec, as_of)
+    df = plain if losses is None else prepare(spark, spec, as_of, losses)
+    if spec.source.repeatable and spec.replaces:
+        yield df, plain.count()
+    elif spec.source.repeatable:
+        yield plain, df.count()
     elif spec.replaces:
-        yield df, 0 if df.isEmpty() else None
+        yield df, 0 if plain.isEmpty() else None
     else:
         with staged(df) as copy:
             yield copy, copy.count()
@@ -129,13 +146,16 @@ def load_table(spark: SparkSession, spec: TableSpec, as_of: datetime | None = No
     result = LoadResult(spec.name, spec.mode, as_of=as_of)
     if spec.count_source:
         result.source_rows = spec.source.count(spark)
-    with _batch(spark, spec, as_of) as (batch, result.offered):
+    losses = Observation() if spec.count_losses else None
+    with _batch(spark, spec, as_of, losses) as (batch, result.offered):
         _check_source(result)
         if result.offered == 0:
             result.status, result.reason = "skipped", "empty"
         else:
             _fill_targets(spark, spec, batch, result)
             _check_source(result)
+            if losses is not None and result.status == "success":
+                result.lost = {name: n for name, n in losses.get.items() if n}
     result.seconds = round(time.monotonic() - started, 3)
     return result
 
@@ -288,15 +308,34 @@ def fill(
             compact=not target.buckets,
         )
     keys = _kept_keys(spark, spec, target, rows, before)
-    written = write(recorded(rows, key, spec.making) if key else rows, key)
+    rows = recorded(rows, key, spec.making) if key else rows
+    appended_to = held if spec.check_content and before and write == target.append else None
+    content = 0 if appended_to is None else multiset(appended_to)
+    seen = Observation()
+    if spec.check_content:
+        rows = rows.observe(seen, content_sum(rows).alias("content"))
+    written = write(rows, key)
     after = target.count(spark)
     if after != before + written or (spec.replaces and offered not in (None, written)):
         raise CountMismatch(f"held {before}, offered {offered}, wrote {written}, holds {after}")
+    if spec.check_content:
+        expected, found = content + int(seen.get["content"] or 0), multiset(target.read(spark))
+        if expected != found:
+            raise ContentMismatch(f"rows add up to {expected} as written, to {found} as held")
     if target.key_filter and key:
         _keep_keys(spark, target, key, keys, written, after)
     return before, written, after
 
 
+def content_sum(df: DataFrame) -> Column:
+    """A sum over hashes of whole rows: the same for the same rows in any order."""
+    return F.sum(F.xxhash64(*(ref(c) for c in sorted(df.columns))).cast("decimal(38,0)"))
+
+
+def multiset(df: DataFrame) -> int:
+    return int(df.agg(content_sum(df)).first()[0] or 0)
+
+
 def _kept_keys(spark, spec: TableSpec, target: Target, rows: DataFrame, before: int):
     """The keys about to be written, if the target's filter is in step with what it holds.
 

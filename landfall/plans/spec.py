@@ -59,6 +59,10 @@ class TableSpec:
     creator: str = CREATOR
     # Ask the source for its own row count and hold the rows read against it.
     count_source: bool = False
+    # Count the values that cleaning made NULL, column by column.
+    count_losses: bool = False
+    # Hold the content of what the targets then have against what was written.
+    check_content: bool = False
 
     def __post_init__(self):
         if self.mode not in MODES:
@@ -67,6 +71,8 @@ class TableSpec:
             raise ValueError(f"{self.name}: no target to load into")
         if self.count_source and not hasattr(self.source, "count"):
             raise ValueError(f"{self.name}: the source cannot count its rows")
+        if self.count_losses and not self.contract:
+            raise ValueError(f"{self.name}: nothing is cleaned without a contract")
         if self.mode == "incremental_insert" and not self.key_column:
             raise ValueError(f"{self.name}: incremental_insert needs a key column")
         for target in filter(None, (self.landing, self.warehouse)):

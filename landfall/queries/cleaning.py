@@ -12,8 +12,10 @@ from ..functions.names import key_name
 from ..operators.clean import clean, settle_future
 from ..operators.conform import conform, project
 from ..plans.load import prepare
+from ..plans.run import load_all
 from ..plans.spec import TableSpec
 from ..sinks.targets import Target
+from ..sources.shared import new_folder
 from ..sources.tables import FrameSource
 from .registry import AS_OF, audit_sql, compat_text, load_time, query, table, wall_clock
 
@@ -313,10 +315,9 @@ def _assignment_sql() -> str:
     """
 
 
-@query(_assignment_sql())
-def lead_assignment_contract(spark, folder):
-    """Events as raw assignments, through the ready contract: every step before a write."""
-    raw = table(spark, folder, "events").select(
+def _assignments(spark, folder):
+    """Events as raw assignments."""
+    return table(spark, folder, "events").select(
         F.col("event_id").alias("LeadAssignmentGuid"),
         F.col("user_id").cast("string").alias("AgentCode"),
         F.expr(_MOMENT).alias("PurchaseDate"),
@@ -326,9 +327,14 @@ def lead_assignment_contract(spark, folder):
         F.when(F.col("event_type") == "error", "T").otherwise("no").alias("IsDeletedSource"),
         F.concat("event_type", F.lit(" note")).alias("Note"),
     )
+
+
+@query(_assignment_sql())
+def lead_assignment_contract(spark, folder):
+    """Events through the ready contract: every step before a write."""
     spec = TableSpec(
         name="lead_assignment",
-        source=FrameSource(raw),
+        source=FrameSource(_assignments(spark, folder)),
         system="SHOP",
         contract=lead_contracts("shop")["lead_assignment"],
         key_encoding="compat",
@@ -336,3 +342,35 @@ def lead_assignment_contract(spark, folder):
         warehouse=Target(format="noop"),
     )
     return wall_clock(prepare(spark, spec, load_time(spark)))
+
+
+@query(
+    f"""
+    SELECT column_name, lost FROM (
+        SELECT count(*) FILTER (WHERE raw IS NOT NULL AND bought IS NULL) AS "PURCHASE_DATE",
+               count(*) FILTER (WHERE paid IS NOT NULL AND price IS NULL) AS "PURCHASE_PRICE",
+               count(*) FILTER (WHERE broken IS NOT NULL AND NOT json_valid(broken)) AS "METADATA"
+        FROM (
+            SELECT *, coalesce(TRY_CAST(CASE WHEN raw LIKE '%-%' THEN raw END AS TIMESTAMP),
+                            try_strptime(raw, ['%-m/%-d/%Y %H:%M', '%-m/%-d/%Y', '%Y%m%d'])) AS bought,
+                   TRY_CAST(paid AS DOUBLE) AS price
+            FROM (SELECT *, {_MOMENT} AS raw, {_PRICE} AS paid, {_PROPS} AS broken FROM events) r
+        ) c
+    ) counts UNPIVOT (lost FOR column_name IN ("PURCHASE_DATE", "PURCHASE_PRICE", "METADATA"))
+    WHERE lost > 0
+    """
+)
+def loss_report(spark, folder):
+    """How many values of each column cleaning made NULL, counted while the rows are landed."""
+    spec = TableSpec(
+        name="lead_assignment",
+        source=FrameSource(_assignments(spark, folder)),
+        system="SHOP",
+        contract=lead_contracts("shop")["lead_assignment"],
+        key_encoding="compat",
+        landing=Target(new_folder(spark, "assignments")),
+        count_losses=True,
+        check_content=True,
+    )
+    report = load_all(spark, [spec], load_time(spark))
+    return report.select(F.explode("lost").alias("column_name", "lost"))
