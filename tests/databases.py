@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from ..functions.names import QualifiedName
-from ..sources.jdbc import Database
+from landfall.functions.names import QualifiedName
+from landfall.sources.jdbc import Database
 
 
 def embedded(name: str | None = None) -> Database:

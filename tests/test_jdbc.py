@@ -4,12 +4,12 @@ from collections import Counter
 import pytest
 from pyspark.sql.functions import spark_partition_id
 
+from databases import embedded, put
 from landfall.functions.names import QualifiedName
 from landfall.plans.discover import discover
 from landfall.plans.load import load_table
 from landfall.plans.run import load_all
 from landfall.plans.spec import TableSpec
-from landfall.queries.databases import embedded, put
 from landfall.sinks.targets import Target
 from landfall.sources.jdbc import DIALECTS, Database, JdbcTable, Split, typed_projection
 from landfall.sources.tables import TableSource
