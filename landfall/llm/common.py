@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -66,6 +67,36 @@ def within(rows: DataFrame, picked: DataFrame, buckets: int | None = None) -> Da
     One bit a number travels, in bitmaps of a bounded number of buckets at a time, each
     time joined to the rows of that range alone; files of rising numbers are read once.
     """
+    found = [rows.limit(0)]
+    for first, bits in _bit_ranges(picked, buckets):
+        some = rows.filter(first).withColumn("bucket", F.bitmap_bucket_number("uid"))
+        some = some.join(F.broadcast(bits), "bucket").filter(F.expr(_IS_SET))
+        found.append(some.select(*rows.columns))
+    return reduce(DataFrame.unionByName, found[1:] or found)
+
+
+def without(rows: DataFrame, picked: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The other rows, in the same way."""
+    found = [rows]
+    for first, bits in _bit_ranges(picked, buckets, whole=True):
+        some = rows.filter(first).withColumn("bucket", F.bitmap_bucket_number("uid"))
+        some = some.join(F.broadcast(bits), "bucket", "left")
+        some = some.filter(F.coalesce(~F.expr(_IS_SET), F.lit(True)))
+        found.append(some.select(*rows.columns))
+    return reduce(DataFrame.unionByName, found[1:] or found)
+
+
+_BYTE = "conv(hex(substring(bits, int(bitmap_bit_position(uid) div 8) + 1, 1)), 16, 10)"
+_IS_SET = f"shiftright(int({_BYTE}), int(bitmap_bit_position(uid) % 8)) % 2 = 1"
+
+
+def _bit_ranges(
+    picked: DataFrame, buckets: int | None, whole: bool = False
+) -> Iterator[tuple[Column, DataFrame]]:
+    """Ranges of `uid`, and the bitmaps of the numbers picked in each.
+
+    Ranges that are `whole` leave no number out, also where none is picked.
+    """
     buckets = buckets or BUCKETS
     place = F.bitmap_bit_position("uid")
     bits = picked.groupBy(F.bitmap_bucket_number("uid").alias("bucket"))
@@ -73,20 +104,16 @@ def within(rows: DataFrame, picked: DataFrame, buckets: int | None = None) -> Da
     rank = F.row_number().over(Window.orderBy("bucket")) % buckets
     starts = bits.select("bucket", rank.alias("rank")).filter(F.col("rank") == 1 % buckets)
     starts = sorted(r["bucket"] for r in starts.select("bucket").collect())
+    if whole and starts:
+        starts[0] = 0
     ends = [*(s - 1 for s in starts[1:]), None][: len(starts)]
-    byte = "conv(hex(substring(bits, int(bitmap_bit_position(uid) div 8) + 1, 1)), 16, 10)"
-    is_set = F.expr(f"shiftright(int({byte}), int(bitmap_bit_position(uid) % 8)) % 2 = 1")
-    found = [rows.limit(0)]
     for start, end in zip(starts, ends, strict=True):
         inside = F.col("bucket") >= start
         first = F.col("uid") > (start - 1) * (1 << 15) if start else F.col("uid") >= 0
         if end is not None:
             inside &= F.col("bucket") <= end
             first &= F.col("uid") <= end * (1 << 15)
-        some = rows.filter(first).withColumn("bucket", F.bitmap_bucket_number("uid"))
-        some = some.join(F.broadcast(bits.filter(inside)), "bucket").filter(is_set)
-        found.append(some.select(*rows.columns))
-    return reduce(DataFrame.unionByName, found[1:] or found)
+        yield first, bits.filter(inside)
 
 
 def drawn(rows: DataFrame, most: int, *order: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import new_folder
-from .common import saved
+from .common import saved, without
 
 LEAST_PAYLOAD = 100
 ARCHIVE_BYTES = 64 << 20
@@ -99,10 +99,17 @@ def page_of(urn: str | None) -> int | None:
     return int(number) if number else None
 
 
-def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
-    """The gzip member of one page's record."""
+def record_bytes(
+    page_id: int | None,
+    url: str | None,
+    payload: bytes,
+    refers_to: int | None,
+    told: tuple[str, int] | None = None,
+) -> bytes:
+    """The gzip member of one page's record; a revisit may go by its payload's digest and length."""
+    digest, length = told or (sha256(payload), len(payload))
     http = (
-        f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}"
+        f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}"
         "\r\n\r\n"
     ).encode()
     block = http if refers_to is not None else http + payload
@@ -110,7 +117,7 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to
         "WARC-Type": "response" if refers_to is None else "revisit",
         "WARC-Record-ID": page_urn(page_id),
         "WARC-Date": "1970-01-01T00:00:00Z",
-        "WARC-Payload-Digest": sha256(payload),
+        "WARC-Payload-Digest": digest,
         "WARC-Block-Digest": sha256(block),
         "Content-Type": HTTP,
         "Content-Length": str(len(block)),
@@ -199,30 +206,44 @@ def read_archive(folder: str, name: str) -> Iterator[Record]:
 
 
 def plan_records(pages: DataFrame, least_payload: int = LEAST_PAYLOAD) -> DataFrame:
-    """Pages with `refers_to`, the page whose payload a revisit shares."""
+    """Responses with their html, and revisits with the page they refer to, digest and length.
+
+    Which page is which is found by ids, digests and lengths; html is not shuffled.
+    """
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    digested = pages.select(
-        "page_id",
-        F.col("url").cast("string").alias("url"),
-        payload.alias("html"),
-        F.sha2(payload.cast("binary"), 256).alias("digest"),
+    digested = saved(
+        pages.select(
+            F.monotonically_increasing_id().alias("uid"),
+            F.col("page_id").cast("long").alias("page_id"),
+            F.col("url").cast("string").alias("url"),
+            payload.alias("html"),
+            F.sha2(payload.cast("binary"), 256).alias("digest"),
+            F.octet_length(payload).cast("long").alias("bytes"),
+        ),
+        "pages",
     )
+    narrow = digested.select("uid", "page_id", "url", "digest", "bytes")
     first = (
-        digested.filter(F.octet_length("html") >= least_payload)
+        narrow.filter(F.col("bytes") >= least_payload)
         .groupBy("digest")
-        .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .select("digest", "first")
-    )
-    revisit = (F.col("first").isNotNull()) & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return digested.join(first, "digest", "left").select(
-        "page_id", "url", "html", F.when(revisit, F.col("first")).cast("long").alias("refers_to")
+        .agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
+        .filter("n > 1 AND refers_to IS NOT NULL")
+        .select("digest", "refers_to")
     )
+    again = narrow.join(first, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
+    again = saved(again, "revisits")
+    told = ("page_id", "url", "html", "refers_to", "digest", "bytes")
+    revisits = again.withColumn("html", F.lit(None).cast("string")).select(*told)
+    nobody = F.lit(None).cast("long").alias("refers_to")
+    others = without(digested, again.select("uid")).withColumn("refers_to", nobody)
+    return others.select(*told).unionByName(revisits)
 
 
 def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write the records below a shared folder; the manifest: `archive` and its `records`."""
 
+    told = ("page_id", "url", "html", "refers_to", "digest", "bytes")
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = store_of(folder)
         store.create_dir(path, recursive=True)
@@ -230,12 +251,14 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
         attempt = f"{context.partitionId():06d}-{uuid.uuid4().hex}"
         out, name, count, done = None, "", 0, []
         for batch in batches:
-            for row in zip(*(batch.column(c) for c in ("page_id", "url", "html", "refers_to")), strict=True):
-                page_id, url, html, refers_to = (x.as_py() for x in row)
+            for row in zip(*(batch.column(c) for c in told), strict=True):
+                page_id, url, html, refers_to, digest, length = (x.as_py() for x in row)
                 if out is None:
                     name, count = f"{attempt}-{len(done):04d}.warc.gz", 0
                     out = store.open_output_stream(f"{path}/{name}", compression=None)
-                out.write(record_bytes(page_id, url, html.encode(), refers_to))
+                payload = (html or "").encode()
+                known = (f"sha256:{digest}", length)
+                out.write(record_bytes(page_id, url, payload, refers_to, known))
                 count += 1
                 if out.tell() >= archive_bytes:
                     out.close()

@@ -551,3 +551,7 @@ def test_within_is_a_semi_join(spark, odd, buckets):
     for test in ("id % 7 = 1", "id IN (0, 1, 32767, 32768, 32769, 119999)", "id < 70000", "false"):
         found = common.within(rows, rows.filter(test).select("uid"), buckets)
         assert sorted(r.id for r in found.collect()) == sorted(r.id for r in rows.filter(test).collect())
+        others = common.without(rows, rows.filter(test).select("uid"), buckets)
+        assert sorted(r.id for r in others.collect()) == sorted(
+            r.id for r in rows.filter(f"NOT ({test})").collect()
+        )
