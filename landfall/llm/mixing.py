@@ -3,7 +3,8 @@
 Tokens are summed by cell (source, language, topic). The cells' weights are raked:
 scaled to the target shares of the sources, of the languages, of the topics, and
 again, until no scaling changes anything; where cells are so few that no weights meet
-all targets, that is after `MOST_ROUNDS` rounds, with the topics' targets met. A document is then sampled with a
+all targets, or only after more rounds, that is after `MOST_ROUNDS` rounds, with the
+topics' targets met, and a warning says how far each margin's shares are off. A document is then sampled with a
 probability in proportion to its cell's weight per token, calibrated so that the
 expected number of sampled tokens is the budget; a probability is never above 1.
 Whether a document is in follows from its id alone, so a rerun draws the same ones.
@@ -22,6 +23,7 @@ Other columns are never looked at, and stay as they are in `sample_documents`.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -101,7 +103,26 @@ def rake(cells: DataFrame, powers: Mapping[str, float] = POWERS) -> DataFrame:
         off = current.agg(F.max("off")).first()[0]
         if off is None or off < TOLERANCE:
             return current.select(*powers, "n", "weight")
-    return current.select(*powers, "n", "weight")
+    raked = current.select(*powers, "n", "weight")
+    missed = ", ".join(f"{margin} {off:.2g}" for margin, off in deviations(raked, powers).items())
+    warnings.warn(f"targets not met after {MOST_ROUNDS} rounds, shares are off by: {missed}", NotMet, stacklevel=2)
+    return raked
+
+
+class NotMet(UserWarning):
+    """Raked weights whose sums are not the targets."""
+
+
+def deviations(raked: DataFrame, powers: Mapping[str, float] = POWERS) -> dict[str, float]:
+    """For each margin how far the share of a value is from its target at most."""
+    out = {}
+    for margin, power in powers.items():
+        shares = raked.groupBy(margin).agg(F.sum("weight").alias("weight")).join(targets(raked, margin, power), margin)
+        whole = shares.agg(F.sum("weight").alias("weight"), F.sum(f"goal_{margin}").alias("goal")).first()
+        if whole["weight"]:
+            off = F.abs(F.col("weight") / whole["weight"] - F.col(f"goal_{margin}") / whole["goal"])
+            out[margin] = shares.agg(F.max(off)).first()[0]
+    return out
 
 
 def calibrate(raked: DataFrame, share: float = SHARE) -> DataFrame:

@@ -523,6 +523,20 @@ def test_mixing_meets_its_targets(documents):
     assert expected == pytest.approx(mixing.SHARE, abs=1e-4)
 
 
+def test_missed_targets_are_told(spark, odd):
+    cells = [("a", "en", "x", 100), ("a", "fr", "y", 5), ("b", "fr", "x", 7), ("c", "de", "y", 900), ("c", "en", "x", 1)]
+    rows = spark.createDataFrame(cells, "source string, lang string, topic string, n long")
+    with pytest.warns(mixing.NotMet, match="source .*lang .*topic"):
+        raked = mixing.rake(rows)
+    off = mixing.deviations(raked)
+    frame = raked.toPandas()
+    for margin in mixing.MARGINS:
+        goal = frame.groupby(margin)["n"].sum() ** mixing.POWERS[margin]
+        share = frame.groupby(margin)["weight"].sum() / frame["weight"].sum()
+        assert off[margin] == pytest.approx((share - goal / goal.sum()).abs().max(), abs=1e-12)
+    assert off["source"] > 1e-3 and off["topic"] < 1e-9
+
+
 def test_statistics_of_no_words():
     assert statistics.count_text("")[0] == 0
     assert oracles.MIXING.count("AS MATERIALIZED") > 10
