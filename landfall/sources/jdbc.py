@@ -27,10 +27,14 @@ _INFORMATION_COLUMNS = (
 
 @dataclass(frozen=True)
 class Dialect:
-    """What differs between databases: the catalog queries and the quotes."""
+    """What differs between databases: the catalog queries, numbered rows and the quotes."""
 
     tables: str = _INFORMATION_TABLES
     columns: str = _INFORMATION_COLUMNS
+    # The rows of a relation with their place in an order, as column "place".
+    numbered: str = (
+        "SELECT {columns}, ROW_NUMBER() OVER (ORDER BY {columns}) AS place FROM {table} WHERE {known}"
+    )
     left: str = '"'
     right: str = '"'
 
@@ -53,6 +57,10 @@ DIALECTS = {
             " FROM sys.syscolumns c JOIN sys.systables t ON c.referenceid = t.tableid"
             " JOIN sys.sysschemas s ON t.schemaid = s.schemaid"
         ),
+        numbered=(
+            "SELECT {columns}, ROW_NUMBER() OVER () AS place FROM"
+            " (SELECT {columns} FROM {table} WHERE {known} ORDER BY {columns}) ordered"
+        ),
     ),
 }
 
@@ -61,6 +69,15 @@ def literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def constant(value: object) -> str:
+    """A value as SQL compares a column with it; dates and times go as quoted text."""
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, int | float | Decimal):
+        return str(value)
+    return literal(str(value))
+
+
 @dataclass(frozen=True)
 class Database:
     """A connection, as options for Spark's reader."""
@@ -123,6 +140,11 @@ class Split:
     By ranges of a number, date or timestamp column, with bounds taken from
     the database if not given; or, where values pile up, by ``predicates`` that
     together cover each row once.
+
+    With ``equal_depth`` the database is asked for the values that cut its rows into parts
+    of as many rows each, whatever their distribution; it sorts the column for that, so
+    an index on it helps. Rows of one value are in one part, unless a ``tie`` column
+    cuts them further. NULLs are in parts of their own.
     """
 
     column: str | None = None
@@ -130,6 +152,14 @@ class Split:
     lower: str | None = None
     upper: str | None = None
     predicates: Sequence[str] = ()
+    equal_depth: bool = False
+    tie: str | None = None
+
+    def __post_init__(self):
+        if self.equal_depth and not self.column:
+            raise ValueError("parts of equal depth need a column")
+        if self.tie and not self.equal_depth:
+            raise ValueError("a tie column goes with equal_depth")
 
 
 @dataclass(frozen=True)
@@ -153,15 +183,18 @@ class JdbcTable:
     def scan(self, spark: SparkSession) -> DataFrame:
         """The table as a frame; Catalyst sends filters and columns down."""
         split = self.split
-        if split.predicates:
+        predicates = list(split.predicates)
+        if split.equal_depth and split.partitions > 1 and not predicates:
+            predicates = self._parts(spark)
+        if predicates:
             return spark.read.jdbc(
                 self.database.url,
                 self.relation,
-                predicates=list(split.predicates),
+                predicates=predicates,
                 properties={"fetchsize": str(self.database.fetch_size), **self.database.options},
             )
         reader = self.database._reader(spark).option("dbtable", self.relation)
-        if split.column and split.partitions > 1:
+        if split.column and split.partitions > 1 and not split.equal_depth:
             lower, upper = split.lower, split.upper
             if lower is None or upper is None:
                 lower, upper = self._bounds(spark)
@@ -186,6 +219,45 @@ class JdbcTable:
             low, high = math.floor(low), math.ceil(high)
         return low, high
 
+    def _cuts(self, spark: SparkSession, names: Sequence[str], known: str) -> list[tuple]:
+        """Values of the columns at every n-th of the rows where they are known, in order."""
+        database, parts = self.database, self.split.partitions
+        table = database._quoted(self.name)
+        total = database.query(spark, f"SELECT COUNT(*) AS total FROM {table} WHERE {known}").first()[0]
+        places = sorted({int(total) * part // parts + 1 for part in range(1, parts)})
+        if int(total) < 2:
+            return []
+        numbered = database.dialect.numbered.format(
+            columns=", ".join(names), table=table, known=known
+        )
+        wanted = ", ".join(map(str, places))
+        sql = f"SELECT {', '.join(names)}, place FROM ({numbered}) numbered WHERE place IN ({wanted})"
+        found = sorted(database.query(spark, sql).collect(), key=lambda row: row[-1])
+        return list(dict.fromkeys(tuple(row)[:-1] for row in found))
+
+    def _parts(self, spark: SparkSession) -> list[str]:
+        """Predicates of parts between the cuts; each row, NULLs included, is in one of them."""
+        split, quote = self.split, self.database.dialect.quote
+        names = [quote(name) for name in (split.column, split.tie) if name]
+        known = " AND ".join(f"{name} IS NOT NULL" for name in names)
+        unknown = [f"{names[0]} IS NULL"]
+        if split.tie:
+            unknown.append(f"{names[0]} IS NOT NULL AND {names[1]} IS NULL")
+
+        def before(cut: tuple) -> str:
+            first = f"{names[0]} < {constant(cut[0])}"
+            if len(cut) == 1:
+                return first
+            return f"({first} OR ({names[0]} = {constant(cut[0])} AND {names[1]} < {constant(cut[1])}))"
+
+        cuts, parts = self._cuts(spark, names, known), []
+        for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+            inside = [known]
+            inside += [f"NOT {before(low)}"] if low else []
+            inside += [before(high)] if high else []
+            parts.append(" AND ".join(inside))
+        return parts + unknown
+
     def count(self, spark: SparkSession) -> int:
         return self.database.count(spark, self.name)
 

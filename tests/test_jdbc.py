@@ -203,3 +203,54 @@ def test_replacing_needs_no_way_to_ask_for_the_table(spark):
     )
     for _run in range(2):
         assert load_table(spark, spec).warehouse_after == 25
+
+
+def parts_of(scan):
+    return Counter(r.part for r in scan.select(spark_partition_id().alias("part")).collect())
+
+
+def skewed(spark):
+    """Most keys lie close together, a few far out, some are NULL; a third have one group."""
+    return spark.sql(
+        "SELECT id, IF(id % 50 = 7, NULL, CAST(pow(1.02, id) AS bigint)) AS far,"
+        " IF(id % 3 = 0, 'hot', CONCAT('it''s ', id)) AS grp,"
+        " CAST(IF(id % 3 = 0, 5, id) AS decimal(12,2)) / 4 AS amount,"
+        " TIMESTAMP '2024-01-01 00:00:00.25' + make_dt_interval(0, 0, 0, pow(id, 2)) AS seen"
+        " FROM range(1, 1201)"
+    )
+
+
+@pytest.mark.parametrize(
+    "column, tie", [("far", None), ("seen", None), ("grp", "id"), ("amount", "seen")]
+)
+def test_parts_of_equal_depth(spark, database, column, tie):
+    rows = skewed(spark)
+    types = "grp VARCHAR(40)"  # text is a CLOB by default, which no database sorts
+    rows.write.option("createTableColumnTypes", types).jdbc(database.url, f"depth_{column}")
+    name = QualifiedName("APP", f"DEPTH_{column.upper()}")
+    split = Split(column, 8, equal_depth=True, tie=tie)
+    scan = JdbcTable(database, name, split).scan(spark)
+    sizes = parts_of(scan)
+    assert sorted(r.id for r in scan.collect()) == list(range(1, 1201))
+    assert max(sizes.values()) <= 2 * 1200 / 8 and len(sizes) >= 8
+    if column == "far":  # ranges of equal width put nearly all rows into one part
+        assert max(parts_of(JdbcTable(database, name, Split(column, 8)).scan(spark)).values()) > 900
+
+
+def test_equal_depth_of_one_value_and_of_none(spark, database):
+    for label, rows in {
+        "same": spark.sql("SELECT 3 AS n FROM range(20)"),
+        "nulls": spark.sql("SELECT CAST(NULL AS int) AS n FROM range(20)"),
+        "none": spark.createDataFrame([], "n int"),
+        "single": spark.sql("SELECT 1 AS n"),
+    }.items():
+        name = put(database, rows, f"depth_of_{label}")
+        scan = JdbcTable(database, name, Split("n", 4, equal_depth=True)).scan(spark)
+        assert scan.count() == rows.count()
+
+
+def test_equal_depth_asks_for_a_column():
+    with pytest.raises(ValueError, match="need a column"):
+        Split(partitions=4, equal_depth=True)
+    with pytest.raises(ValueError, match="goes with equal_depth"):
+        Split("a", 4, tie="b")
