@@ -19,11 +19,13 @@ from .operators.key_filter import KeyFilter
 from .operators.keys import KeyMismatch, add_key, key_sample
 from .operators.naming import NameCollision, clean_names
 from .operators.snapshots import changed_rows, tally_both
+from .operators.widening import wider_schema, wider_type
 from .plans.discover import discover
 from .plans.load import LoadResult, load_table, prepare, rekey
 from .plans.run import last_success, load_all, totals
 from .plans.spec import TableSpec, missing_tables, select_specs
 from .sinks.targets import Target
+from .sources.high_water import HighWater
 from .sources.jdbc import Database, JdbcTable, Split
 from .sources.tables import FrameSource, TableSource, empty_frame, landing_path
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from contextlib import contextmanager
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -134,15 +134,34 @@ def _batch(spark: SparkSession, spec: TableSpec, as_of: datetime, losses: Observ
             yield copy, copy.count()
 
 
-def load_table(spark: SparkSession, spec: TableSpec, as_of: datetime | None = None) -> LoadResult:
+def _later(spark: SparkSession, spec: TableSpec, since: int | None) -> TableSpec:
+    """The spec with its source read from the mark on, unless a target has yet to be filled."""
+    if spec.high_water is None or since is None:
+        return spec
+    if not all(t.exists(spark) for t in (spec.landing, spec.warehouse) if t):
+        return spec
+    return replace(spec, source=spec.high_water.later(spec.source, since))
+
+
+def load_table(
+    spark: SparkSession,
+    spec: TableSpec,
+    as_of: datetime | None = None,
+    *,
+    since: int | None = None,
+) -> LoadResult:
     """Load one table into its targets; errors are raised.
 
+    ``since`` is when the last successful load began, in microseconds since 1970, for
+    specs with a high-water mark.
+
     A source without rows leaves the targets alone. Running a load again is
     safe in every mode but ``append``: rows an earlier run, whole or broken off,
     has brought in are found and left out.
     """
     started = time.monotonic()
     as_of = as_of or datetime.now(UTC)
+    spec = _later(spark, spec, since)
     result = LoadResult(spec.name, spec.mode, as_of=as_of)
     if spec.count_source:
         result.source_rows = spec.source.count(spark)
@@ -271,11 +290,14 @@ def fill(
     ``fresh`` says that the target holds none of the batch's keys.
     """
     key = spec.key_column
+    by_key = key and spec.mode in ("incremental", "incremental_insert")
     held = None if spec.replaces else target.read(spark)
     before = 0 if held is None else target.count(spark, held)
     if held is None and spec.mode not in ("historical", "incremental"):
         raise TargetAbsent("target does not exist")
     if held is not None:
+        if target.widen:
+            held, batch = target.widened(held, batch, keyed=bool(by_key))
         _check_types(batch, target, held)
         if key and spec.mode != "truncate_append":
             check_making(held, key, spec.making, target.making(held, key))

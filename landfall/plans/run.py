@@ -39,19 +39,21 @@ def load_all(
     ``attempts`` times. Each try finds the rows an earlier one brought in;
     ``append`` does not look for them, so it is tried once. ``left_out`` (table
     -> reason) and the tables of ``expected`` that no spec covers are reported
-    as well. The report is also added to ``run_log``.
+    as well. The report is also added to ``run_log``, which also tells specs with a
+    high-water mark when their table was last loaded.
     """
     if policy not in ("isolate", "fail_fast"):
         raise ValueError(f"unknown failure policy: {policy!r}")
     specs, as_of = list(specs), as_of or datetime.now(UTC)
+    marks = _marks(spark, specs, run_log)
 
     def tried(spec: TableSpec) -> LoadResult:
         for _again in range(0 if spec.mode == "append" else attempts - 1):
             try:
-                return load_table(spark, spec, as_of)
+                return load_table(spark, spec, as_of, since=marks.get(spec.name))
             except Exception:
                 log.warning("%s: failed, will be tried again", spec.name, exc_info=True)
-        return load_table(spark, spec, as_of)
+        return load_table(spark, spec, as_of, since=marks.get(spec.name))
 
     def one(spec: TableSpec) -> LoadResult:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
@@ -91,6 +93,16 @@ def load_all(
     return report
 
 
+def _marks(spark: SparkSession, specs: list[TableSpec], run_log: Target | None) -> dict[str, int]:
+    """Table -> start of its last successful load, for the specs that ask."""
+    names = [spec.name for spec in specs if spec.high_water]
+    found = last_success(spark, run_log) if names and run_log is not None else None
+    if found is None:
+        return {}
+    micros = F.unix_micros("as_of").alias("micros")
+    return {r.table: r.micros for r in found.filter(F.col("table").isin(names)).select("table", micros).collect()}
+
+
 def totals(report: DataFrame) -> DataFrame:
     """Tables per status."""
     return report.groupBy("status").agg(F.count(F.lit(1)).alias("tables"))

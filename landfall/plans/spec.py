@@ -12,6 +12,7 @@ from ..contracts import Contract
 from ..functions.digest import KeyMaking
 from ..operators.audit import CREATOR
 from ..sinks.targets import Target
+from ..sources.high_water import HighWater
 
 MODES = ("historical", "incremental", "append", "truncate_append", "incremental_insert")
 
@@ -63,6 +64,8 @@ class TableSpec:
     count_losses: bool = False
     # Hold the content of what the targets then have against what was written.
     check_content: bool = False
+    # Read the source from the last success in the run log on (see HighWater).
+    high_water: HighWater | None = None
 
     def __post_init__(self):
         if self.mode not in MODES:
@@ -75,6 +78,10 @@ class TableSpec:
             raise ValueError(f"{self.name}: nothing is cleaned without a contract")
         if self.mode == "incremental_insert" and not self.key_column:
             raise ValueError(f"{self.name}: incremental_insert needs a key column")
+        if self.high_water and not (
+            self.mode in ("incremental", "incremental_insert") and self.key_column
+        ):
+            raise ValueError(f"{self.name}: a high-water mark needs a load by key")
         for target in filter(None, (self.landing, self.warehouse)):
             by_key = self.mode in ("incremental", "incremental_insert") and self.key_column
             if target.buckets and not (by_key and self.one_per_key):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ..operators.key_filter import KeyFilter
@@ -9,6 +11,7 @@ from ..plans.load import load_table, rekey
 from ..plans.run import load_all
 from ..plans.spec import TableSpec, missing_tables, select_specs
 from ..sinks.targets import Target
+from ..sources.high_water import HighWater
 from ..sources.shared import new_folder
 from ..sources.tables import FrameSource, TableSource, empty_frame
 from .registry import (
@@ -256,3 +259,53 @@ def append_by_key_filter(spark, folder):
     _load(spark, old, target)
     _load(spark, orders, target)
     return wall_clock(target.read(spark))
+
+
+_NARROW = "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_custkey % 3 = 0"
+
+
+@query(
+    f"""
+    SELECT sha256({strict_text("o_orderkey", "o_custkey", "o_orderdate")}) AS order_key,
+           o_orderkey, o_custkey, o_orderdate, CAST(NULL AS VARCHAR) AS o_orderstatus,
+           CAST(NULL AS DOUBLE) AS o_totalprice, CAST(NULL AS VARCHAR) AS o_orderpriority
+    FROM ({_NARROW})
+    UNION ALL
+    SELECT {_KEY}, o_orderkey, o_custkey, o_orderdate, o_orderstatus, o_totalprice, o_orderpriority
+    FROM orders
+    """
+)
+def widened_append(spark, folder):
+    """Some orders came with fewer columns and narrower customers; then all come whole."""
+    orders = table(spark, folder, "orders")
+    narrow = orders.filter("o_custkey % 3 = 0").select(
+        "o_orderkey", F.col("o_custkey").cast("int"), "o_orderdate"
+    )
+    target = Target(path=new_folder(spark, "orders"), widen=True)
+    _load(spark, narrow, target)
+    _load(spark, narrow.withColumn("o_custkey", F.col("o_custkey").cast("bigint")), target)
+    _load(spark, orders, target)
+    return wall_clock(target.read(spark).select("order_key", *ORDERS))
+
+
+@query(
+    f"""
+    WITH second AS (
+        SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders
+        WHERE o_orderdate >= TIMESTAMP '{LOADED_UNTIL}' - INTERVAL 30 DAY
+    )
+    SELECT {_KEY}, * FROM orders WHERE {_OLD}
+    UNION ALL SELECT {_KEY}, * FROM second
+    """
+)
+def high_water_rerun(spark, folder):
+    """Every price has changed since the first load; the second reads the last month and later."""
+    orders, old = _halves(spark, folder)
+    target, log = _target(spark), _target(spark, "log")
+    water = HighWater("o_orderdate", timedelta(days=30))
+    first = spark.sql(f"SELECT TIMESTAMP '{LOADED_UNTIL}' AS t").first().t.astimezone()
+    changed = orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    for rows, now in ((old, first), (changed, load_time(spark))):
+        spec = _order_spec(rows, target, landing=target, high_water=water)
+        load_all(spark, [spec], now, policy="fail_fast", run_log=log)
+    return wall_clock(target.read(spark).select("order_key", *ORDERS))

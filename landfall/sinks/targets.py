@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.digest import KeyMaking
-from ..functions.names import ref
+from ..functions.names import quoted, ref
+from ..operators.conform import ContractViolation, Violation
 from ..operators.key_filter import KeyFilter
 from ..operators.keys import RECORD, making_of
+from ..operators.widening import wider_schema, widened_to
 from ..sources.tables import TableSource, empty_frame, read_if_present
 from .publish import ordered_as, recover, replace_folder, replace_table
+from .schema_note import note_schema, noted_schema
 
 # Reader options that go with a table, not with a query.
 _SCAN_OPTIONS = {"dbtable", "partitioncolumn", "lowerbound", "upperbound", "numpartitions"}
@@ -39,6 +42,10 @@ class Target:
     ``publish`` says how the table is replaced: ``direct`` by Spark's overwrite, or
     ``switch``, beside the table and then in one step (see :mod:`.publish`).
 
+    ``widen`` lets appended rows bring wider types and more columns than the table holds
+    (see :mod:`..operators.widening`): Parquet folders, which then note their schema, and
+    catalog tables, whose columns can be added to but keep their types.
+
     ``key_filter`` is kept beside the table, so that loads of small batches by key do
     not read all keys held.
     """
@@ -54,6 +61,7 @@ class Target:
     buckets: int | None = None
     publish: str = "direct"
     key_filter: KeyFilter | None = None
+    widen: bool = False
 
     def __post_init__(self):
         if self.path and self.table:
@@ -64,6 +72,8 @@ class Target:
             raise ValueError("only folders and catalog tables can be switched")
         if self.buckets and not self.table:
             raise ValueError("only catalog tables have buckets")
+        if self.widen and (self.format != "parquet" or not (self.path or self.table)):
+            raise ValueError("only Parquet folders and catalog tables are widened")
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         """The whole table, or ``None`` if it does not exist."""
@@ -73,7 +83,8 @@ class Target:
             recover(spark, self.path)
         if self.exists_sql and not self._ask(spark, self.exists_sql).take(1):
             return None
-        return read_if_present(spark, TableSource(self.path, self.format, self.options))
+        schema = noted_schema(spark, self.path) if self.widen else None
+        return read_if_present(spark, TableSource(self.path, self.format, self.options, schema))
 
     def exists(self, spark: SparkSession) -> bool:
         return self.read(spark) is not None
@@ -122,6 +133,35 @@ class Target:
         options = {k: v for k, v in self.options.items() if k.lower() not in _SCAN_OPTIONS}
         return spark.read.format(self.format).options(**options).option("query", sql).load()
 
+    def widened(
+        self, held: DataFrame, batch: DataFrame, *, keyed: bool
+    ) -> tuple[DataFrame, DataFrame]:
+        """The table as wide as it must be to take the batch, and the batch as wide (K3)."""
+        spark = held.sparkSession
+        schema = wider_schema(held.schema, batch.schema, keyed=keyed)
+        shape = [(f.name, f.dataType) for f in schema.fields]
+        if shape != [(f.name, f.dataType) for f in held.schema.fields]:
+            if self.table:
+                self._add_columns(held, schema)
+            else:
+                note_schema(spark, self.path, schema)
+            held = self.read(spark)
+        return held, widened_to(batch, schema)
+
+    def _add_columns(self, held: DataFrame, schema: T.StructType) -> None:
+        kinds = {f.name: f.dataType for f in held.schema.fields}
+        faults = [
+            Violation(f.name, "type", kinds[f.name].simpleString(), f.dataType.simpleString())
+            for f in schema.fields
+            if f.name in kinds and kinds[f.name] != f.dataType
+        ]
+        if faults:
+            raise ContractViolation(faults)
+        added = ", ".join(
+            f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields if f.name not in kinds
+        )
+        held.sparkSession.sql(f"ALTER TABLE {self.table} ADD COLUMNS ({added})")
+
     def overwrite(self, df: DataFrame, key: str | None = None) -> int:
         """Replace the table (K1, K4); rows written."""
         if self.publish == "switch":
