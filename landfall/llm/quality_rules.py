@@ -1,15 +1,20 @@
 """Rules on text statistics, and an isolation forest over what passes them.
 
 Base rules reject a text of fewer than 50 words, or with more than half of its
-words in repeated windows of three words. The others are judged by an isolation
-forest over ratios of the counts: trees of random splits, in which an odd text is
-alone after few splits. The forest is grown from labelled texts, and the score
-beyond which a text is rejected is set where the labelled texts are told apart
-best while at most `max_false` of the good ones go.
+words in repeated windows of three words. The others are judged by isolation
+forests over ratios of the counts: trees of random splits, in which an odd text is
+alone after few splits. Each group of ratios has a forest, so that a text odd in one
+group is not hidden by the splits on the others; the forests see all ratios between
+them. They are grown from labelled texts, and the score of each beyond which a text is
+rejected is set where the labelled texts are told apart best while at most its share
+of `max_false` of the good ones go.
 
 Edge cases: a NULL text is an empty one and fails the base rules. Rows with a
 NULL id are judged like others, but carry no label. Repeated rows get equal
-verdicts. An empty table gives an empty result. Without any labelled text the
+verdicts, as do texts with equal counts; a score equal to the threshold is rejected, and
+of thresholds that tell labels apart equally well the highest is taken. A very long text
+is counted whole in one task, in memory that grows with that text alone, and its ratios
+do not grow with its length. An empty table gives an empty result. Without any labelled text the
 base rules alone decide. Other columns are never looked at.
 """
 
@@ -32,8 +37,15 @@ TREES = 100
 TREE_ROWS = 256
 SAMPLE_ROWS = 10_000
 MAX_FALSE = 0.005
-# What the forest looks at; more features drown these in random splits.
-LOOKED_AT = [FEATURES.index(name) for name in ("symbols", "short", "upper", "word_length")]
+# What each forest looks at: make of words, repetition, kinds of characters and lines.
+GROUPS = tuple(
+    tuple(map(FEATURES.index, names))
+    for names in (
+        ("symbols", "short", "upper", "word_length"),
+        ("dup_lines", "repeat_words", "most_common", "distinct"),
+        ("digits", "punctuation", "stops", "wide", "line_words"),
+    )
+)
 BINS = 2_000
 EULER = 0.5772156649015329
 
@@ -121,27 +133,36 @@ def grow_forest(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed:
 
 @dataclass(frozen=True)
 class Rules:
-    """The fitted forest and the score from which a text is rejected; no forest rejects nothing."""
+    """A forest a group and the score from which it rejects a text; no forests reject nothing."""
 
-    forest: Forest | None
-    threshold: float
+    forests: tuple[Forest, ...]
+    thresholds: tuple[float, ...]
 
-    def anomaly(self, counts: Column) -> Column:
-        """Score of a struct of COUNTS."""
-        if self.forest is None:
-            return F.lit(0.0)
-        forest = self.forest
+    def scores(self, counts: Column) -> Column:
+        """Score by each forest of a struct of COUNTS."""
+        forests = self.forests
 
-        @F.arrow_udf(returnType=T.DoubleType())
+        @F.arrow_udf(returnType=T.ArrayType(T.DoubleType()))
         def score(rows: pa.Array) -> pa.Array:
             columns = dict(zip(COUNTS, map(np.asarray, rows.flatten()), strict=True))
-            return pa.array(forest.score(features(columns)[:, LOOKED_AT]))
+            seen = features(columns)
+            parts = zip(forests, GROUPS, strict=True)
+            scored = np.column_stack([forest.score(seen[:, group]) for forest, group in parts])
+            offsets = np.arange(0, scored.size + 1, len(forests), dtype=np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(scored.ravel()))
 
         return score(counts)
 
+    def anomaly(self, counts: Column) -> Column:
+        """The greatest score in terms of its forest's threshold: rejected from 1 on."""
+        if not self.forests:
+            return F.lit(0.0)
+        limits = F.array(*map(F.lit, self.thresholds))
+        return F.array_max(F.zip_with(self.scores(counts), limits, lambda s, limit: s / limit))
+
     def rejects(self, counts: Column, anomaly: Column) -> Column:
         failed = base_failed(counts["n_words"], counts["n_repeat_words"])
-        return failed | (anomaly >= self.threshold)
+        return failed | (anomaly >= 1.0)
 
 
 def fit_rules(
@@ -150,11 +171,11 @@ def fit_rules(
     sample_rows: int = SAMPLE_ROWS,
     max_false: float = MAX_FALSE,
 ) -> Rules:
-    """Grow the forest and set its threshold.
+    """Grow the forests and set their thresholds.
 
     `counted` has `doc_id` and `counts`; `labels` has `doc_id` and `quality`. At most
-    `sample_rows` labelled rows come to the driver to grow trees from. The threshold
-    looks at every labelled row, as a histogram of scores.
+    `sample_rows` labelled rows come to the driver to grow trees from. The thresholds
+    look at every labelled row, as histograms of scores.
     """
     known = labels.select("doc_id", "quality").filter("quality IN (0, 1)").distinct()
     counts = F.col("counts")
@@ -162,19 +183,29 @@ def fit_rules(
     rows = rows.filter(~base_failed(counts["n_words"], counts["n_repeat_words"]))
     sample = drawn(rows.select("doc_id", "counts.*"), sample_rows, "doc_id", *COUNTS).toPandas()
     if sample.empty:
-        return Rules(None, 1.0)
+        return Rules((), ())
     seen = features({name: sample[name].to_numpy() for name in COUNTS})
-    forest = grow_forest(seen[:, LOOKED_AT])
-    bin_ = F.least(F.floor(Rules(forest, 1.0).anomaly(counts) * BINS), F.lit(BINS - 1))
-    tally = rows.select(bin_.alias("bin"), "quality").groupBy("bin", "quality").count().collect()
-    beyond = np.zeros((2, BINS + 1))
+    forests = tuple(grow_forest(seen[:, group]) for group in GROUPS)
+    scores = Rules(forests, ()).scores(counts)
+    each = rows.select("quality", F.posexplode(scores).alias("forest", "score"))
+    bin_ = F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).alias("bin")
+    tally = each.groupBy("forest", bin_, "quality").count().collect()
+    histograms = np.zeros((len(GROUPS), 2, BINS + 1))
     for row in tally:
-        beyond[row["quality"], row["bin"]] += row["count"]
-    beyond = np.cumsum(beyond[:, ::-1], axis=1)[:, ::-1]  # rows with at least this score
+        histograms[row["forest"], row["quality"], row["bin"]] += row["count"]
+    share = max_false / len(GROUPS)
+    return Rules(forests, tuple(threshold(histogram, share) for histogram in histograms))
+
+
+def threshold(histogram: np.ndarray, max_false: float) -> float:
+    """The score that tells bad (row 0) from good (row 1) best while few good ones reach it.
+
+    A histogram has a bin for scores from each 1 / BINS on, and an empty last one.
+    """
+    beyond = np.cumsum(histogram[:, ::-1], axis=1)[:, ::-1]  # rows with at least this score
     bad, good = beyond[0] / max(beyond[0, 0], 1), beyond[1] / max(beyond[1, 0], 1)
-    bad[-1] = good[-1] = 0.0
     gain = np.where(good <= max_false, bad - good, -1.0)
-    return Rules(forest, float(BINS - np.argmax(gain[::-1])) / BINS)
+    return float(BINS - np.argmax(gain[::-1])) / BINS
 
 
 def judge(counted: DataFrame, rules: Rules) -> DataFrame:
