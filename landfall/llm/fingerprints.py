@@ -16,14 +16,16 @@ Spark works them out once a row.
 
 Edge cases: a NULL text is an empty one; texts without words have an empty
 fingerprint, alike to each other (1) and to no other (0). A text of fewer than K
-words is one k-mer. A NULL id comes last; rows with equal ids come in order of their
-texts. The only row of a table is its own next one. An empty table gives an empty
+words is one k-mer. A NULL id comes last; rows with equal ids, or none, come in order
+of a hash of their texts, then of the texts, so that many of them need not be in one
+task (only rows equal in both are). The only row of a table is its own next one. An empty table gives an empty
 result. Other columns are never looked at. Positions are exact for texts of up to
 2^24 words, beyond that they wrap, equally for equal texts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,6 +41,7 @@ PLACE_BITS = 24
 _PLACE = (1 << PLACE_BITS) - 1
 # Blocks of the order by id, per shuffle partition, so that hashing evens them out.
 BLOCKS = 4
+TIE_BITS = 31
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -142,14 +145,24 @@ def likeness(a: Column, b: Column, bins: int = BINS, minima: int = MINIMA) -> Co
     return F.when(filled == 0, 1.0).otherwise(F.pow(share, F.lit(1.0 / minima)))
 
 
+def tie_of(text: Column) -> Column:
+    """What orders rows of one id before their texts do: 31 bits of the text's hash."""
+    return F.shiftrightunsigned(F.xxhash64(text), 64 - TIE_BITS)
+
+
 def blocks_by_id(rows: DataFrame, blocks: int) -> DataFrame:
     """Rows with `block`: quantiles of the ids, numbered as the ids fall, NULL last.
 
-    The cuts lie in an array of arrays, so that few of them are looked at per row.
+    An id that holds several quantiles, or NULL, is cut further by `tie_of`, into as
+    many slices. The cuts lie in an array of arrays, so that few of them are looked at
+    per row.
     """
     marks = [i / blocks for i in range(1, blocks)] or [0.5]
-    found = rows.agg(F.percentile_approx("doc_id", marks, 10 * blocks)).first()[0]
-    cuts = sorted(set(found or [0]), reverse=True)
+    found, total, known = rows.agg(
+        F.percentile_approx("doc_id", marks, 10 * blocks), F.count(F.lit(1)), F.count("doc_id")
+    ).first()
+    times = Counter(found or [0])
+    cuts = sorted(times, reverse=True)
     wide = max(1, round(len(cuts) ** 0.5))
     parts = [cuts[i : i + wide] for i in range(0, len(cuts), wide)]
     id_ = F.col("doc_id")
@@ -157,15 +170,28 @@ def blocks_by_id(rows: DataFrame, blocks: int) -> DataFrame:
     part = above(F.lit([p[0] for p in parts]).cast("array<bigint>")) - 1
     fine = above(F.get(F.array(*(F.lit(p).cast("array<bigint>") for p in parts)), part))
     number = F.when(part < 0, 0).otherwise(part * wide + fine)
-    return rows.withColumn("block", F.when(id_.isNull(), len(cuts) + 1).otherwise(number))
+    number = F.when(id_.isNull(), len(cuts) + 1).otherwise(number).cast("long")
+    slices = F.lit(0)
+    if hot := {id_: n + 1 for id_, n in times.items() if n > 1}:
+        counts = F.create_map(*(F.lit(x).cast("long") for pair in hot.items() for x in pair))
+        slices = F.coalesce(F.try_element_at(counts, id_), F.lit(0))
+    nulls = -(-(total - known) * blocks // max(total, 1))
+    if nulls > 1:
+        slices = F.when(id_.isNull(), F.lit(nulls)).otherwise(slices)
+    if hot or nulls > 1:
+        # An id of several quantiles is the least of its block: its slices come last there.
+        slice_ = F.floor(tie_of(F.col("text")) * slices / F.lit(1 << TIE_BITS)) + 1
+        number = number * (blocks + 2) + F.when(slices > 0, slice_).otherwise(0)
+    return rows.withColumn("block", number)
 
 
 def with_next(documents: DataFrame) -> DataFrame:
     """`doc_id`, `text`, `entries`, and `next_text` and `next_entries` of the row that follows.
 
-    The order is by falling id, NULL last, then by text; the first row follows the
-    last. A window runs within each block of ids, which also gets a copy of the next
-    block's first row, so every text is shuffled once, and no task sees the whole.
+    The order is by falling id, NULL last, then by a hash of the text, then by the text;
+    the first row follows the last. A window runs within each block of ids, which also
+    gets a copy of the next block's first row, so every text is shuffled once, and no
+    task sees the whole.
     """
     spark = documents.sparkSession
     blocks = BLOCKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -178,15 +204,18 @@ def with_next(documents: DataFrame) -> DataFrame:
         F.coalesce(F.lag("block").over(ring), F.max("block").over(Window.partitionBy())).alias("previous"),
     )
     same = (F.col("block") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("head"))
+    first = F.min(F.struct(tie_of(F.col("text")).alias("tie"), "text")).alias("first")
     copies = (
         rows.join(F.broadcast(links), same)
         .groupBy("previous", "doc_id")
-        .agg(F.min("text").alias("text"))
-        .select("doc_id", "text", F.col("previous").alias("block"), F.lit(True).alias("copy"))
+        .agg(first)
+        .select("doc_id", "first.text", F.col("previous").alias("block"), F.lit(True).alias("copy"))
     )
     dealt = rows.withColumn("copy", F.lit(False)).unionByName(copies).repartition("block")
     printed = dealt.withColumn("entries", fingerprint(F.col("text")))
-    order = Window.partitionBy("block").orderBy("copy", F.col("doc_id").desc_nulls_last(), "text")
+    order = Window.partitionBy("block").orderBy(
+        "copy", F.col("doc_id").desc_nulls_last(), tie_of(F.col("text")), "text"
+    )
     ahead = [F.lead(name).over(order).alias(f"next_{name}") for name in ("text", "entries")]
     return printed.select("*", *ahead).filter("NOT copy").drop("block", "copy")
 

@@ -1,6 +1,7 @@
 """Each corpus operator against brute force, and on odd rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -8,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from landfall.llm import boosted_trees, common, fingerprints, licenses, mixing, near_dedup, oracles, pieces
@@ -569,3 +571,157 @@ def test_within_is_a_semi_join(spark, odd, buckets):
         assert sorted(r.id for r in others.collect()) == sorted(
             r.id for r in rows.filter(f"NOT ({test})").collect()
         )
+
+
+def test_forest_scores_against_brute_force():
+    """Every row's way down every tree by single steps, and the score of its mean length."""
+    random = np.random.default_rng(5)
+    x = np.round(random.normal(size=(300, 3)), 1)  # with ties
+    forest = quality_rules.grow_forest(x, trees=20, rows=64)
+
+    def length(tree, row):
+        node = 0
+        while (feature := forest.feature[tree, node]) >= 0:
+            beyond = row[feature] >= forest.split[tree, node]
+            node = forest.left[tree, node] + int(beyond)
+        return forest.depth[tree, node]
+
+    n = forest.rows
+    harmonic = sum(1 / i for i in range(1, n))
+    expected = 2 * harmonic - 2 * (n - 1) / n
+    means = np.array([np.mean([length(t, row) for t in range(20)]) for row in x])
+    # The mean depth is reckoned by the logarithm, not by the sum.
+    assert abs(float(quality_rules.mean_depth(n)) - expected) < 0.02
+    got = forest.score(x)
+    assert np.allclose(got, 2.0 ** (-means / float(quality_rules.mean_depth(n))))
+    equal = {}
+    for row, score in zip(map(tuple, x), got, strict=True):
+        assert equal.setdefault(row, score) == score
+
+
+def test_threshold_against_brute_force():
+    random = np.random.default_rng(3)
+    for _ in range(20):
+        bad, good = random.integers(400, 1200, 60), random.integers(300, 900, 200)
+        histogram = np.zeros((2, quality_rules.BINS + 1))
+        for row, scores in enumerate((bad, good)):
+            np.add.at(histogram[row], scores, 1)
+        limit = quality_rules.threshold(histogram, 0.05)
+        gains = {
+            cut: (bad >= cut).mean() - (good >= cut).mean()
+            for cut in range(quality_rules.BINS + 1)
+            if (good >= cut).mean() <= 0.05
+        }
+        best = max(gains.values())
+        assert limit == max(c for c, g in gains.items() if abs(g - best) < 1e-12) / quality_rules.BINS
+
+
+def test_forests_see_every_ratio():
+    seen = sorted(i for group in quality_rules.GROUPS for i in group)
+    assert seen == list(range(len(statistics.FEATURES)))
+
+
+def test_texts_odd_in_one_group_only_are_rejected(spark):
+    """Texts past the base rules that repeat lines, or are mostly digits, go; clean ones stay."""
+    import random
+
+    draw = random.Random(4)
+    words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(3, 9))) for _ in range(900)]
+
+    def clean():
+        lines = [" ".join(draw.choices(words, k=draw.randint(8, 14))) + "." for _ in range(9)]
+        return "\n".join(lines)
+
+    def repeated():
+        lines = clean().split("\n")
+        return "\n".join([*lines, *["so it goes"] * 8])
+
+    def digits():
+        return "\n".join(" ".join(str(draw.randint(100, 99999999)) for _ in range(10)) + "." for _ in range(9))
+
+    made = [(clean, 1)] * 600 + [(repeated, 0)] * 20 + [(digits, 0)] * 20
+    rows = [(i, make(), quality) for i, (make, quality) in enumerate(made)]
+    documents = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    verdict = {r.doc_id: r for r in quality_rules.quality_rules(documents, labels).collect()}
+    assert not any(r.base_failed for r in verdict.values())
+    kept = [sum(verdict[i].kept for i in span) for span in (range(600), range(600, 620), range(620, 640))]
+    assert kept[0] >= 597 and kept[1] <= 2 and kept[2] <= 2
+
+
+def order_minhash(text):
+    """A text's entries by plain loops, with Spark's chained 64-bit hashes."""
+
+    def chained(*values):
+        seed = 42
+        for value in values:
+            if isinstance(value, str):
+                raw = value.encode()
+            else:  # a long, or the number of an occurrence as an int
+                raw = value[0].to_bytes(value[1], "little", signed=True)
+            seed = xxhash.xxh64_intdigest(raw, seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    if not words:
+        return []
+    top = lambda h: h >> 24
+    seen, items = Counter(), []
+    for place in range(max(len(words) - 2, 1)):
+        hash_ = top(chained(*words[place : place + 3]))
+        items.append((top(chained((hash_, 8), (seen[hash_], 4))), place))
+        seen[hash_] += 1
+    bins = {}
+    for hash_, place in sorted(items):
+        bins.setdefault(hash_ >> 34, []).append((place, hash_))
+    entries = []
+    for bin_, members in sorted(bins.items()):
+        hashes = [(h, 8) for _, h in sorted(members[:2])]
+        entry = ((bin_ << 58) % (1 << 64)) | ((chained(*hashes) % (1 << 64)) >> 6)
+        entries.append(entry - (1 << 64) if entry >> 63 else entry)
+    return entries
+
+
+def alike(a, b):
+    filled = {e >> 58 for e in a} | {e >> 58 for e in b}
+    return (len(set(a) & set(b)) / len(filled)) ** 0.5 if filled else 1.0
+
+
+def fingerprints_by_force(rows):
+    tie = lambda text: xxhash.xxh64_intdigest(text.encode(), 42) >> 33
+    texts = [(i, t or "") for i, t in rows]
+    texts.sort(key=lambda r: (r[0] is None, -(r[0] or 0), tie(r[1]), r[1]))
+    out = []
+    for at, (id_, text) in enumerate(texts):
+        after = texts[(at + 1) % len(texts)][1]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        own, other, follower = map(order_minhash, (text, edited, after))
+        shown = [" ".join(f"{e % (1 << 64):X}" for e in entries) for entries in (own, other)]
+        digest = hashlib.sha256(edited.encode()).hexdigest()
+        out.append((id_, len(text), digest, *shown, round(alike(own, other), 9), round(alike(own, follower), 9)))
+    return Counter(out)
+
+
+def fingerprints_found(spark, frame):
+    found = fingerprints.fingerprint_documents(frame).collect()
+    return Counter((*row[:5], round(row[5], 9), round(row[6], 9)) for row in map(tuple, found))
+
+
+def test_fingerprints_against_brute_force(spark):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in documents.collect()]
+    assert fingerprints_found(spark, documents) == fingerprints_by_force(rows)
+
+
+def test_fingerprints_of_rows_of_one_id_and_of_none(spark):
+    """A third without id, a third of one id, repeated rows: cut into blocks, none lost."""
+    draw = random.Random(8)
+    text = lambda: " ".join(draw.choices("abcdefghij", k=draw.randint(0, 12)))
+    rows = [(None, text()) for _ in range(150)] + [(7, text()) for _ in range(150)]
+    rows += [(draw.randint(-50, 50), text()) for _ in range(150)] + [(None, None), (3, "a b")] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert fingerprints_found(spark, frame) == fingerprints_by_force(rows)
+    blocked = fingerprints.blocks_by_id(frame.select("doc_id", common.text_of().alias("text")), 32)
+    sizes = [r["count"] for r in blocked.groupBy("block").count().collect()]
+    assert max(sizes) <= 4 * len(rows) / 32
