@@ -62,7 +62,7 @@ def new_rows(
         existing_rows = existing.count()
     held = existing.select(ref(key)) if existing_rows else None
     if hex_digits:
-        batch = _checked(batch, key, hex_digits)
+        batch = checked_keys(batch, key, hex_digits)
     if held is not None and hex_digits:
         # Keys of another making match none of the batch's, and may be of any length.
         digest = (F.length(ref(key)) == hex_digits) & F.unhex(ref(key)).isNotNull()
@@ -96,7 +96,7 @@ def new_rows(
     return kept.hint("rebalance") if compact else kept
 
 
-def _cost(df: DataFrame, key: str) -> Column:
+def key_cost(df: DataFrame, key: str) -> Column:
     """Bytes one key takes in a broadcast."""
     kind = df.schema[key].dataType
     if isinstance(kind, (T.StringType, T.BinaryType)):
@@ -113,7 +113,7 @@ def _fits(
     a chance, so never over a large table.
     """
     if key_bytes is None and rows * ROW_BYTES <= broadcast_bytes:
-        return (df.agg(F.sum(_cost(df, key))).first()[0] or 0) <= broadcast_bytes
+        return (df.agg(F.sum(key_cost(df, key))).first()[0] or 0) <= broadcast_bytes
     return rows * (ROW_BYTES + (key_bytes or 0)) <= broadcast_bytes
 
 
@@ -134,7 +134,7 @@ def _as_bytes(key: str) -> Column:
     return F.coalesce(F.unhex(ref(key)), F.lit("").cast("binary"))
 
 
-def _checked(batch: DataFrame, key: str, hex_digits: int) -> DataFrame:
+def checked_keys(batch: DataFrame, key: str, hex_digits: int) -> DataFrame:
     """The batch, in which a key that is no digest of that length stops the job."""
     says = F.lit(f"a key is not {hex_digits} hex digits in lower case: ")
     wrong = F.raise_error(F.concat(says, ref(key))).cast("string")
@@ -197,7 +197,7 @@ def _by_tally(
     keyed, on = batch.filter(ref(key).isNotNull()), key
     if hex_digits:
         keyed, on = keyed.withColumn(KEY, _as_bytes(key)), KEY
-    is_fresh, once, cost = ~ref(KNOWN), ref(ROWS) == 1, _cost(tally, KEY)
+    is_fresh, once, cost = ~ref(KNOWN), ref(ROWS) == 1, key_cost(tally, KEY)
     size = tally.agg(
         F.coalesce(F.sum(F.when(is_fresh & once, cost)), F.lit(0)).alias("once"),
         F.coalesce(F.sum(F.when(is_fresh & ~once, cost)), F.lit(0)).alias("more"),

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions.digest import HEX_DIGITS, KeyMaking
 from ..functions.names import ref
 from ..operators.audit import stamp
-from ..operators.changes import new_rows
+from ..operators.changes import checked_keys, new_rows
 from ..operators.clean import clean, settle_future
 from ..operators.conform import ContractViolation, conform, project, validate, violations
 from ..operators.keys import KeyMismatch, add_key, check_making, recognised, recorded, rekeyed
@@ -315,7 +315,9 @@ def fill(
         write = target.overwrite if held is None else target.append
         kept = target.key_filter
         if kept and not fresh and before and kept.rows(spark) == before:
-            existing, existing_rows = kept.known(batch, key).checkpoint(), None
+            batch = checked_keys(batch, key, HEX_DIGITS[spec.digest])
+            batch, existing = kept.sift(batch, key, compact=not spec.one_per_key)
+            existing_rows = None
         else:
             existing, existing_rows = (None, None) if fresh else (held, before)
         rows = new_rows(

@@ -1,14 +1,17 @@
 """Kept key filters against the exact join, and how little they read."""
 
 from datetime import UTC, datetime
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from landfall.operators import key_filter
+from landfall.operators.changes import new_rows
 from landfall.operators.key_filter import KeyFilter
 from landfall.operators.snapshots import changed_rows
-from landfall.plans.load import load_table
+from landfall.plans import load
+from landfall.plans.load import load_table, prepare
 from landfall.plans.spec import TableSpec
 from landfall.sinks.targets import Target
 from landfall.sources.tables import FrameSource
@@ -111,6 +114,56 @@ def test_filter_that_dies_after_the_rows(spark, tmp_path, monkeypatch):
     assert target.count(spark) == target.key_filter.rows(spark) == 15
 
 
+def test_plain_keys_and_digits_are_told_apart(spark, tmp_path):
+    held, rest = ["a", "6162", "AB", "\u00e9", "0" * 63], ["61", "ab", "c3a9", "6", None]
+    kept, schema = KeyFilter(str(tmp_path / "f"), digits=1), "K string"
+    kept.add(spark.createDataFrame([(k,) for k in held], schema), "K", len(held))
+    batch = spark.createDataFrame([(k,) for k in held * 2 + rest], schema)
+    assert sorted(r.K for r in kept.known(batch, "K").collect()) == sorted(held)
+
+
+@pytest.mark.parametrize("limit, dedupe", [(1, True), (100_000, True), (100_000, False)])
+def test_rows_of_many_held_keys_are_not_shuffled(spark, tmp_path, monkeypatch, limit, dedupe):
+    monkeypatch.setattr(key_filter, "BROADCAST_BYTES", limit, raising=False)
+    monkeypatch.setattr(load, "new_rows", partial(new_rows, broadcast_bytes=limit))
+    plans, sifted, append = [], [], Target.append
+    sift = KeyFilter.sift
+
+    def appended(self, df, key=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return append(self, df, key)
+
+    def watched(self, *args, **options):
+        sifted.append(sift(self, *args, **options))
+        return sifted[-1]
+
+    monkeypatch.setattr(Target, "append", appended)
+    monkeypatch.setattr(KeyFilter, "sift", watched)
+    target = Target(str(tmp_path / "t"), key_filter=KeyFilter(str(tmp_path / "f"), digits=1))
+    rows = spark.range(40_000).select("id", F.lit("x").alias("bits"), F.lit("y").alias("run"))
+    load_table(spark, spec(rows.limit(20_000), target), NOW)
+    maybe = target.key_filter.maybe(keyed(rows, target), "K").select("key").distinct().count()
+    assert 20_000 < maybe < 21_000
+    again = rows.union(rows.filter("id % 100 = 7"))
+    result = load_table(spark, spec(again, target, dedupe=dedupe), NOW)
+    held = target.read(spark)
+    assert held.select("id").distinct().count() == 40_000
+    assert result.landed == held.count() - 20_000 == (20_000 if dedupe else 20_200)
+    if limit == 100_000:
+        assert sifted[0][1] is None
+        assert not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
+        # only rows of keys that come twice are shuffled
+        exchanges = [x for p in plans for x in p.splitlines() if " Exchange hashpartitioning" in x]
+        assert len(exchanges) <= 1
+    else:
+        assert sifted[0][1] is not None
+    assert load_table(spark, spec(again, target, dedupe=dedupe), NOW).landed == 0
+
+
+def keyed(rows, target):
+    return prepare(rows.sparkSession, spec(rows, target), NOW)
+
+
 @pytest.mark.parametrize("limit", [1 << 20, 1])
 def test_snapshot_both_ways(spark, limit):
     frame = lambda *rows: spark.createDataFrame(rows, "K string, v int")
