@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.llm.common import saved, ship, table
+from landfall.llm.common import saved, ship, small_batches, table
 from landfall.llm.mixing import sample_documents
 from landfall.llm.near_dedup import keep_first
 from landfall.llm.pieces import encode_documents, load_vocabulary
@@ -19,21 +19,27 @@ from landfall.llm.quality_rules import keep_good
 from landfall.llm.secrets import mask_secrets
 
 
+def ready(spark: SparkSession) -> None:
+    """What Python workers need: this library, and batches that are small beside their memory."""
+    ship(spark)
+    small_batches(spark)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
-    ship(spark)
+    ready(spark)
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays."""
-    ship(spark)
+    ready(spark)
     return keep_first(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; all documents stay."""
-    ship(spark)
+    ready(spark)
     return mask_secrets(docs)
 
 
@@ -44,7 +50,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's pieces."""
-    ship(spark)
+    ready(spark)
     return encode_documents(docs, load_vocabulary())
 
 

@@ -27,6 +27,17 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", home)
 
 
+# Rows that a Python worker and its executor hold at a time; texts are wide.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Let the session send no more than so many rows at a time to Python; a lower number stays."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= rows:
+        spark.conf.set(_BATCH, str(rows))
+
+
 # Spark drops a query's shuffle files when it ends, not when the driver collects its garbage.
 _TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -144,18 +155,9 @@ def numbered(words: list, known: dict | None = None) -> np.ndarray:
     return np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
 
 
-_HASHES: dict[bytes, int] = {}
-REMEMBERED = 500_000
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash of each word; a worker remembers those of words it has met."""
-    if len(_HASHES) > REMEMBERED:
-        _HASHES.clear()
-    known, digest = _HASHES, xxhash.xxh3_64_intdigest
-    return np.fromiter(
-        (known.get(w) or known.setdefault(w, digest(w)) for w in words), np.uint64, len(words)
-    )
+    """A 64-bit hash of each word. Nothing is remembered: a look-up takes as long as the hash."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:

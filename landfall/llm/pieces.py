@@ -37,9 +37,9 @@ SIGN = "▁"  # how the vocabulary writes a blank
 # Letters, as far as a pattern can tell them.
 LETTER = r"[^\W\d_²³¹]"
 # What a worker remembers: segments, and the longest of them.
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 100_000, 48
 # Segments worked out at once, and characters of text split at once.
-SIDE_BY_SIDE, CHARACTERS = 20_000, 1_000_000
+SIDE_BY_SIDE, CHARACTERS = 20_000, 250_000
 
 
 @dataclass(frozen=True)
@@ -172,10 +172,27 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        """Drop all remembered segments: `seen` has their places in `paths` and `totals`."""
+        """Drop all remembered segments: `seen` has their places in `paths`, `totals` and `met`, in order."""
         self.seen.clear()
         self.paths = Runs.of([], np.int32)
         self.totals = np.zeros(0)
+        self.met = np.zeros(0, np.int32)
+
+    def forget_rare(self) -> None:
+        """Keep the segments that were met again most often, half as many as may be remembered."""
+        most = REMEMBERED // 2
+        kept = np.argsort(-self.met, kind="stable")[:most]
+        kept = np.sort(kept[self.met[kept] > 0])
+        flat, lengths = self.paths.take(kept)
+        if len(flat) > 8 * most:
+            kept, flat, lengths = kept[:0], flat[:0], lengths[:0]
+        held = np.zeros(len(self.seen), bool)
+        held[kept] = True
+        words = [word for word, stays in zip(self.seen, held.tolist(), strict=True) if stays]
+        totals, met = self.totals[kept], self.met[kept] // 2
+        self.forget()
+        self._remember(words, flat, lengths, totals)
+        self.met = met
 
     def ends_at(self, node: int) -> tuple[tuple[int, float, int], ...]:
         """The pieces that end at a node, by its output links: longest first."""
@@ -298,12 +315,15 @@ class Encoder:
         self.seen.update(zip(words, range(first, first + len(words)), strict=True))
         self.paths.add(ids, counts)
         self.totals = np.concatenate((self.totals, totals))
+        self.met = np.concatenate((self.met, np.zeros(len(words), np.int32)))
 
     def meet(self, segments: set[str]) -> None:
-        """Work out the segments that are not remembered; forget the others if they are too many."""
+        """Work out the segments that are not remembered; forget rare ones if those are too many."""
         if len(self.seen) > REMEMBERED or len(self.paths.flat) > 8 * REMEMBERED:
-            self.forget()
+            self.forget_rare()
         new = [s for s in segments if s not in self.seen]
+        again = (self.seen[s] for s in segments if s in self.seen)
+        self.met[np.fromiter(again, np.int64, len(segments) - len(new))] += 1
         short = [s for s in new if len(s) <= LONGEST]
         for first in range(0, len(short), SIDE_BY_SIDE):
             self.best_paths(short[first : first + SIDE_BY_SIDE])
